@@ -5,6 +5,7 @@ from sylva.functions.paths import (  # noqa: F401
     diff_signature,
     fork_nodes,
     leaf,
+    mask_token,
     masked_token,
     padded_symbol,
     path_ids,

@@ -37,11 +37,16 @@ def fork_nodes(path: str | Column = "path") -> Column:
     return F.filter(_col(path), lambda n: n["child_count"] != 1)
 
 
+def mask_token(leaf_type: str | Column, leaf_is_named: str | Column, value: str | Column) -> Column:
+    """Token of a terminal: its text when it is named and not an identifier, else its grammar type."""
+    keep_text = _col(leaf_is_named) & (_col(leaf_type) != F.lit("identifier"))
+    return F.when(keep_text, F.coalesce(_col(value), F.lit(""))).otherwise(_col(leaf_type))
+
+
 def masked_token(path: str | Column = "path", value: str | Column = "leaf_value") -> Column:
-    """Token of the terminal: its text when it is named and not an identifier, else its grammar type."""
+    """:func:`mask_token` of the last node of a path array."""
     last = leaf(path)
-    keep_text = last["is_named"] & (last["type"] != F.lit("identifier"))
-    return F.when(keep_text, F.coalesce(_col(value), F.lit(""))).otherwise(last["type"])
+    return mask_token(last["type"], last["is_named"], value)
 
 
 def token_key(token: str | Column) -> Column:

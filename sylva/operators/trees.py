@@ -14,28 +14,55 @@ frontier node has children; ``max_depth`` guards against cycles in bad input.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.paths import fork_nodes, path_ids
+from sylva.functions.paths import fork_nodes, padded_symbol, path_ids
 from sylva.schemas import PATH_NODE_FIELDS
 from sylva.session import ensure_checkpoint_dir
 
-_CARRY = ["doc_id", "node_id", "child_count", "value", "start_row"]
+# Node columns a walk carries for every frontier row (the leaf's own attributes).
+_NODE_COLS = ["doc_id", "node_id", "parent_id", "symbol", "type", "is_named", "is_extra", "child_count",
+              "value", "start_row"]
+_CARRY = [c for c in _NODE_COLS if c != "parent_id"]
+
+
+@dataclass(frozen=True)
+class Fold:
+    """A value folded along a path, root first.
+
+    ``init()`` is the value at the start node and ``step(acc)`` the value at a
+    child given its parent's value ``acc``; both read the current node's
+    columns (``symbol``, ``type``, ``child_count``, ...).
+    """
+
+    init: Callable[[], Column]
+    step: Callable[[Column], Column]
 
 
 def _path_elem() -> Column:
     return F.struct(*[F.col(c) for c in PATH_NODE_FIELDS])
 
 
+def write_table(df: DataFrame) -> DataFrame:
+    """Materialize ``df`` as a Parquet table in the checkpoint folder and read it back.
+
+    This cuts lineage in one columnar pass; the folder is the shared one named
+    by ``spark.checkpoint.dir`` so the table outlives a lost executor.
+    """
+    base = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{base.rstrip('/')}/sylva-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint that computes ``df`` only once (cache, write, uncache)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    return write_table(df)
 
 
 def node_predicates(nodes: DataFrame) -> DataFrame:
@@ -72,23 +99,22 @@ def node_children(nodes: DataFrame, i: int | None = None) -> DataFrame:
     return edges if i is None else edges.where(F.col("child_idx") == F.lit(i))
 
 
-def root_paths(nodes: DataFrame, start: Column | None = None, max_depth: int = 10_000,
-               checkpoint_every: int = 8) -> DataFrame:
-    """All paths from each start node down to every terminal below it, every node kept.
+def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None = None,
+               max_depth: int = 10_000, checkpoint_every: int = 8) -> DataFrame:
+    """Fold values along every path from a start node down to each terminal below it.
 
     ``start`` is a predicate over ``nodes`` choosing the start nodes (default:
-    the roots, ``parent_id IS NULL``). Output ``leaf_paths``: ``doc_id``,
-    ``leaf_ord`` (preorder id of the terminal, i.e. document order),
-    ``path`` (root first), ``leaf_value``, ``leaf_row``.
+    the roots, ``parent_id IS NULL``). One output row per terminal:
+    ``doc_id, leaf_ord`` (its preorder id = document order), the terminal's own
+    ``leaf_symbol, leaf_type, leaf_is_named, leaf_is_extra, leaf_value,
+    leaf_row`` and one column per fold.
 
     Each level is cached and the loop asks only whether the new frontier has
     an inner node (a ``take(1)``); every ``checkpoint_every`` levels, and once
-    for the result, lineage is cut with a reliable checkpoint, after which the
-    per-level caches are released.
+    for the result, lineage is cut by writing a table to the checkpoint
+    folder, after which the per-level caches are released.
     """
-    cols = ["doc_id", "node_id", "parent_id", *[c for c in PATH_NODE_FIELDS if c != "node_id"],
-            "value", "start_row"]
-    n = nodes.select(*cols)
+    n = nodes.select(*_NODE_COLS)
     cached: list[DataFrame] = []
 
     def keep(df: DataFrame) -> DataFrame:
@@ -96,48 +122,135 @@ def root_paths(nodes: DataFrame, start: Column | None = None, max_depth: int = 1
         cached.append(df)
         return df
 
+    def release() -> None:
+        for df in cached:
+            df.unpersist()
+
     # One pass over the input: hash-partitioned on (doc_id, parent_id) and
     # cached; the children side of every level reads it without a shuffle.
     part = keep(n.repartition("doc_id", "parent_id"))
     children = part.where(F.col("parent_id").isNotNull())
     anchor = F.col("parent_id").isNull() if start is None else start
-    frontier = keep(part.where(anchor).select(*_CARRY, F.array(_path_elem()).alias("path")))
+    frontier = keep(part.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()]))
 
     leaves = []
     for depth in range(max_depth + 1):
         leaves.append(frontier.where(F.col("child_count") == 0))
         inner = frontier.where(F.col("child_count") > 0).select(
-            "doc_id", F.col("node_id").alias("parent_id"), F.col("path").alias("ppath"))
+            "doc_id", F.col("node_id").alias("parent_id"), *[F.col(k).alias(f"_acc_{k}") for k in folds])
         if inner.isEmpty():
             break
         # Hash the (smaller) frontier; the cached children side is neither
         # shuffled nor sorted again.
         step = children.join(inner.hint("shuffle_hash"), ["doc_id", "parent_id"]).select(
-            *_CARRY, F.concat(F.col("ppath"), F.array(_path_elem())).alias("path"))
+            *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
         if (depth + 1) % checkpoint_every == 0:
-            frontier = _checkpoint(step)
+            frontier = write_table(step)
         else:
             frontier = keep(step)
     else:
-        for df in cached:
-            df.unpersist()
+        release()
         raise ValueError(f"trees deeper than max_depth={max_depth} (cycle in parent pointers?)")
 
     out = leaves[0]
-    for part in leaves[1:]:
-        out = out.unionByName(part)
-    out = _checkpoint(out.select(
+    for part_df in leaves[1:]:
+        out = out.unionByName(part_df)
+    out = write_table(out.select(
         "doc_id",
         F.col("node_id").alias("leaf_ord"),
-        "path",
+        F.col("symbol").alias("leaf_symbol"),
+        F.col("type").alias("leaf_type"),
+        F.col("is_named").alias("leaf_is_named"),
+        F.col("is_extra").alias("leaf_is_extra"),
         F.col("value").alias("leaf_value"),
         F.col("start_row").alias("leaf_row"),
+        *folds,
     ))
-    for df in cached:
-        df.unpersist()
+    release()
     return out
 
 
+def array_fold() -> Fold:
+    """The path itself: array of node structs, root first."""
+    return Fold(lambda: F.array(_path_elem()), lambda acc: F.concat(acc, F.array(_path_elem())))
+
+
+def ids_fold(separator: str = "") -> Fold:
+    """Padded symbols of all nodes, joined by ``separator``."""
+    return Fold(lambda: padded_symbol("symbol"),
+                lambda acc: F.concat(acc, F.lit(separator), padded_symbol("symbol")))
+
+
+def fork_ids_fold(separator: str = "") -> Fold:
+    """Padded symbols of forks and terminals only (single-child nodes skipped)."""
+    keep = F.col("child_count") != 1
+
+    def step(acc: Column) -> Column:
+        joined = F.when(acc == F.lit(""), padded_symbol("symbol")).otherwise(
+            F.concat(acc, F.lit(separator), padded_symbol("symbol")))
+        return F.when(keep, joined).otherwise(acc)
+
+    return Fold(lambda: F.when(keep, padded_symbol("symbol")).otherwise(F.lit("")), step)
+
+
+def reversed_ids_fold(separator: str = "") -> Fold:
+    """Padded symbols of all nodes, terminal first."""
+    return Fold(lambda: padded_symbol("symbol"),
+                lambda acc: F.concat(padded_symbol("symbol"), F.lit(separator), acc))
+
+
+def count_fold(forks_only: bool = False) -> Fold:
+    """Number of nodes on the path (or of forks and terminals only)."""
+    if forks_only:
+        one = F.when(F.col("child_count") != 1, F.lit(1)).otherwise(F.lit(0))
+        return Fold(lambda: one, lambda acc: acc + one)
+    return Fold(lambda: F.lit(1), lambda acc: acc + F.lit(1))
+
+
+def encoded_paths(nodes: DataFrame, start: Column | None = None, separator: str = "",
+                  max_depth: int = 10_000) -> DataFrame:
+    """Compact path encodings of every terminal, folded during the walk (no path arrays).
+
+    Columns: the leaf columns of :func:`fold_paths` and ``path_ids``,
+    ``path_len``, ``fork_ids``, ``fork_len``, ``reversed_ids``.
+    """
+    return fold_paths(nodes, {
+        "path_ids": ids_fold(separator),
+        "path_len": count_fold(),
+        "fork_ids": fork_ids_fold(separator),
+        "fork_len": count_fold(forks_only=True),
+        "reversed_ids": reversed_ids_fold(separator),
+    }, start=start, max_depth=max_depth)
+
+
+def encode_leaf_paths(leaf_paths: DataFrame, separator: str = "") -> DataFrame:
+    """The same encodings computed from a ``leaf_paths`` table (e.g. from a parse job)."""
+    last = F.element_at("path", -1)
+    forks = fork_nodes("path")
+    return leaf_paths.select(
+        "doc_id", "leaf_ord",
+        last["symbol"].alias("leaf_symbol"), last["type"].alias("leaf_type"),
+        last["is_named"].alias("leaf_is_named"), last["is_extra"].alias("leaf_is_extra"),
+        "leaf_value", "leaf_row",
+        path_ids("path", separator).alias("path_ids"),
+        F.size("path").alias("path_len"),
+        path_ids(forks, separator).alias("fork_ids"),
+        F.size(forks).alias("fork_len"),
+        path_ids(F.reverse("path"), separator).alias("reversed_ids"),
+    )
+
+
+def root_paths(nodes: DataFrame, start: Column | None = None, max_depth: int = 10_000) -> DataFrame:
+    """All paths from each start node down to every terminal below it, every node kept.
+
+    Output ``leaf_paths``: ``doc_id``, ``leaf_ord`` (preorder id of the
+    terminal, i.e. document order), ``path`` (root first), ``leaf_value``,
+    ``leaf_row``.
+    """
+    out = fold_paths(nodes, {"path": array_fold()}, start=start, max_depth=max_depth)
+    return out.select("doc_id", "leaf_ord", "path", "leaf_value", "leaf_row")
+
+
 def subtree_paths(nodes: DataFrame, start: Column, max_depth: int = 10_000) -> DataFrame:
     """Paths from every node matching ``start`` down to its terminals."""
     return root_paths(nodes, start=start, max_depth=max_depth)

@@ -22,8 +22,8 @@ from sylva.operators import contexts, diff, labels, meta, sampling, trees
 # Traversal policies by name. ``terminal_terminal`` is accepted and gives the
 # root-to-terminal paths, exactly like the policy it is named after does.
 TRAVERSALS = {
-    "root_terminal": trees.root_paths,
-    "terminal_terminal": trees.root_paths,
+    "root_terminal": trees.encoded_paths,
+    "terminal_terminal": trees.encoded_paths,
 }
 
 
@@ -67,9 +67,12 @@ class ExtractResult:
 def extract_contexts(nodes: DataFrame, docs: DataFrame, traversal_name: str = "root_terminal",
                      tokenizer: str = "masked_identifiers", split: str = "ids_hash", min_len: int = 5,
                      order: str = "document", leaf_paths: DataFrame | None = None) -> ExtractResult:
-    """Path-contexts of every document plus the global vocabulary."""
+    """Path-contexts of every document plus the global vocabulary.
+
+    ``leaf_paths`` (e.g. from a parse job) replaces the walk over ``nodes``.
+    """
     walk = traversal(traversal_name)
-    lp = walk(nodes) if leaf_paths is None else leaf_paths
+    lp = walk(nodes) if leaf_paths is None else trees.encode_leaf_paths(leaf_paths)
     br = contexts.branches(lp, min_len=min_len, tokenizer=tokenizer, split=split)
     return ExtractResult(
         leaf_paths=lp,

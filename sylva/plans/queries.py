@@ -130,16 +130,23 @@ def q_root_paths(spark, d):
     return trees.path_summary(trees.root_paths(_nodes(spark, d)))
 
 
+def _summary(enc: DataFrame, ids: str, n: str, leaf_type=None) -> DataFrame:
+    return enc.select("doc_id", F.col(ids).alias("path_ids"), F.col(n).alias("path_len"),
+                      (leaf_type if leaf_type is not None else F.col("leaf_type")).alias("leaf_type"),
+                      "leaf_value", "leaf_row")
+
+
 def q_fork_paths(spark, d):
-    return trees.path_summary(trees.fork_paths(trees.root_paths(_nodes(spark, d))))
+    return _summary(trees.encoded_paths(_nodes(spark, d)), "fork_ids", "fork_len")
 
 
 def q_reversed_paths(spark, d):
-    return trees.path_summary(trees.reverse_paths(trees.root_paths(_nodes(spark, d))))
+    # the last element of a reversed path is the start node
+    return _summary(trees.encoded_paths(_nodes(spark, d)), "reversed_ids", "path_len", F.lit("order_unit"))
 
 
 def q_subtree_paths(spark, d):
-    return trees.path_summary(trees.subtree_paths(_nodes(spark, d), subtree_start("part_ref")))
+    return _summary(trees.encoded_paths(_nodes(spark, d), start=subtree_start("part_ref")), "path_ids", "path_len")
 
 
 def q_node_predicates(spark, d):
@@ -182,7 +189,7 @@ def q_corpus_lines(spark, d):
 
 
 def q_signature_groups(spark, d):
-    return diff.signature_groups(trees.root_paths(_nodes(spark, d)))
+    return diff.signature_groups(trees.encoded_paths(_nodes(spark, d)))
 
 
 # --- diff and labels ------------------------------------------------------------------------
@@ -228,7 +235,8 @@ def q_html_nodes(spark, d):
 
 
 def q_html_branches(spark, d):
-    return contexts.branches(html_leaf_paths(_t(spark, d, "pages"))).select("doc_id", "branch")
+    enc = trees.encode_leaf_paths(html_leaf_paths(_t(spark, d, "pages")))
+    return contexts.branches(enc).select("doc_id", "branch")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

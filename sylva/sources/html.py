@@ -18,10 +18,12 @@ Tree rules:
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,6 +222,10 @@ def html_leaf_paths(pages: DataFrame, id_col: str = "page_id", text_col: str = "
     return _input(pages, id_col, text_col).mapInArrow(_leaf_batches, LEAF_PATHS)
 
 
+# Ship this module's code with the task (pickled by value), so Python workers
+# need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Parsers by language name; each maps a text DataFrame to nodes / leaf paths.
 PARSERS = {"html": (html_nodes, html_leaf_paths)}
 
