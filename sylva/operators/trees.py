@@ -1,15 +1,17 @@
 """Tree operators over the ``nodes`` table (one row per node, parent pointers).
 
-Paths are built by level-by-level expansion from the start nodes: each step
-joins the current frontier with the children of its nodes on
-(``doc_id``, ``parent_id``). The children side is hash-partitioned on those
-keys and cached once, so each step shuffles only the frontier (built into a
-hash table; the children side is neither shuffled nor sorted again). A very
-wide parent lands in one partition and is split by AQE's skew-join handling.
-Lineage is cut with reliable checkpoints (in ``spark.checkpoint.dir``) every
-few levels and on the result, so deep trees keep a flat plan and a lost
-executor does not force recomputing earlier levels. The loop ends when no
-frontier node has children; ``max_depth`` guards against cycles in bad input.
+Paths are built by level-by-level expansion from the start nodes (see
+:func:`fold_paths`): each step joins the current frontier with the children
+of its nodes on (``doc_id``, ``parent_id``). Instead of carrying whole paths,
+a walk carries values folded along the path (the path array itself is one
+such fold; the encoders use compact string folds). The children side is
+hash-partitioned on the join keys and cached once, so each step shuffles only
+the frontier; a very wide parent lands in one partition and is split by AQE's
+skew-join handling. Lineage is cut by writing tables to the shared checkpoint
+folder (``spark.checkpoint.dir``) every few levels and for the result, so deep
+trees keep a flat plan and a lost executor does not force recomputing earlier
+levels. The loop ends when a level is empty; ``max_depth`` guards against
+cycles in bad input.
 """
 
 from __future__ import annotations
@@ -109,10 +111,15 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
     ``leaf_symbol, leaf_type, leaf_is_named, leaf_is_extra, leaf_value,
     leaf_row`` and one column per fold.
 
-    Each level is cached and the loop asks only whether the new frontier has
-    an inner node (a ``take(1)``); every ``checkpoint_every`` levels, and once
-    for the result, lineage is cut by writing a table to the checkpoint
-    folder, after which the per-level caches are released.
+    The nodes are hash-partitioned on (``doc_id``, ``parent_id``) and cached
+    once. Only inner nodes take part in the level-by-level walk: each level
+    joins the frontier (``doc_id``, ``node_id`` and the fold values only) with
+    its inner children, and the loop asks just whether the new level is empty
+    (a ``take(1)``). Terminals - most of a tree - are then attached to their
+    parent's fold values in one join whose terminal side is already
+    partitioned. Every ``checkpoint_every`` levels, and
+    for the result, lineage is cut by writing a table to the checkpoint folder;
+    the per-level caches are released at the end.
     """
     n = nodes.select(*_NODE_COLS)
     cached: list[DataFrame] = []
@@ -126,36 +133,44 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
         for df in cached:
             df.unpersist()
 
+    anchor = F.col("parent_id").isNull() if start is None else start
+    node_attrs = ["symbol", "type", "is_named", "is_extra", "child_count"]
     # One pass over the input: hash-partitioned on (doc_id, parent_id) and
-    # cached; the children side of every level reads it without a shuffle.
+    # cached. Every level joins its children from here, and the terminals are
+    # attached from here at the end, both without shuffling this side again.
     part = keep(n.repartition("doc_id", "parent_id"))
-    children = part.where(F.col("parent_id").isNotNull())
-    anchor = F.col("parent_id").isNull() if start is None else start
-    frontier = keep(part.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()]))
+    inner_children = part.where((F.col("child_count") > 0) & F.col("parent_id").isNotNull()).select(
+        "doc_id", "node_id", "parent_id", *node_attrs)
+    frontier = keep(part.where(anchor & (F.col("child_count") > 0)).select(
+        "doc_id", "node_id", *[f.init().alias(k) for k, f in folds.items()]))
 
-    leaves = []
+    levels = []
     for depth in range(max_depth + 1):
-        leaves.append(frontier.where(F.col("child_count") == 0))
-        inner = frontier.where(F.col("child_count") > 0).select(
-            "doc_id", F.col("node_id").alias("parent_id"), *[F.col(k).alias(f"_acc_{k}") for k in folds])
-        if inner.isEmpty():
-            break
+        levels.append(frontier)
+        acc = frontier.select("doc_id", F.col("node_id").alias("parent_id"),
+                              *[F.col(k).alias(f"_acc_{k}") for k in folds])
         # Hash the (smaller) frontier; the cached children side is neither
         # shuffled nor sorted again.
-        step = children.join(inner.hint("shuffle_hash"), ["doc_id", "parent_id"]).select(
-            *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
-        if (depth + 1) % checkpoint_every == 0:
-            frontier = write_table(step)
-        else:
-            frontier = keep(step)
+        step = inner_children.join(acc.hint("shuffle_hash"), ["doc_id", "parent_id"]).select(
+            "doc_id", "node_id", *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
+        step = write_table(step) if (depth + 1) % checkpoint_every == 0 else keep(step)
+        if step.isEmpty():
+            break
+        frontier = step
     else:
         release()
         raise ValueError(f"trees deeper than max_depth={max_depth} (cycle in parent pointers?)")
 
-    out = leaves[0]
-    for part_df in leaves[1:]:
-        out = out.unionByName(part_df)
-    out = write_table(out.select(
+    inner_paths = levels[0]
+    for lvl in levels[1:]:
+        inner_paths = inner_paths.unionByName(lvl)
+    parents = inner_paths.select("doc_id", F.col("node_id").alias("parent_id"),
+                                 *[F.col(k).alias(f"_acc_{k}") for k in folds])
+    leaves = part.where(F.col("child_count") == 0)
+    below = leaves.where(F.col("parent_id").isNotNull()).join(parents, ["doc_id", "parent_id"]).select(
+        *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
+    lone = leaves.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()])
+    out = write_table(below.unionByName(lone).select(
         "doc_id",
         F.col("node_id").alias("leaf_ord"),
         F.col("symbol").alias("leaf_symbol"),
