@@ -5,10 +5,11 @@ Lines are 0-based in labels and clicks, 1-based in listings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylva.functions.text import numbered_line, split_lines, with_extension
+from sylva.operators.sampling import exact_rank
 
 PAIR_KEY = ["problem_id", "user_id"]
 
@@ -73,10 +74,13 @@ def review_sheet(pairs: DataFrame, listings: DataFrame, error_lines: DataFrame,
     and, per line number, the PT and OK listing lines (full outer join on the
     line) with ``suspect`` marking automatic error lines of the PT side.
     """
-    w = Window.partitionBy("problem_id").orderBy("ok_id", "pt_id")
-    p = (pairs.select(*PAIR_KEY, "ok_id", "pt_id")
-         .withColumn("pos", F.row_number().over(w))
-         .withColumn("n_pairs", F.count(F.lit(1)).over(Window.partitionBy("problem_id"))))
+    base = pairs.select(*PAIR_KEY, "ok_id", "pt_id")
+    # position i / n of the pair in its problem: exact rank by (ok_id, pt_id)
+    # computed per id-prefix bucket, and the count as an aggregate, so no task
+    # holds a whole problem
+    p = exact_rank(base, ["problem_id"], "ok_id", "pt_id", prefix=2, rank="pos")
+    n = base.groupBy("problem_id").agg(F.count(F.lit(1)).alias("n_pairs"))
+    p = p.join(n, "problem_id")
     pt = listings.select(F.col("doc_id").alias("pt_id"), "line", F.col("text").alias("pt_text"))
     ok = listings.select(F.col("doc_id").alias("ok_id"), "line", F.col("text").alias("ok_text"))
     pt_side = p.join(pt, "pt_id")

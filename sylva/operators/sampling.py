@@ -86,6 +86,23 @@ def rank_flag(df: DataFrame, counts: DataFrame, group_cols: list[str], key: str,
     return plain.unionByName(ranked).drop("_b", "_cnt", "_before", "_limit")
 
 
+def exact_rank(df: DataFrame, group_cols: list[str], key: str, tie: str, prefix: int = 4,
+               rank: str = "rank") -> DataFrame:
+    """Add the exact 1-based rank of each row in its group by (``key``, ``tie``).
+
+    Rows are sorted only inside their (group, key-prefix bucket); the bucket
+    offsets come from the small bucket-count table.
+    """
+    counts = bucket_counts(df, group_cols, key, prefix)
+    d = df.withColumn("_b", _bucket(key, prefix))
+    c = counts.select(*[F.col(g).alias(f"_g_{i}") for i, g in enumerate(group_cols)],
+                      F.col("_b").alias("_cb"), "_before")
+    cond = [d[g].eqNullSafe(c[f"_g_{i}"]) for i, g in enumerate(group_cols)] + [d["_b"] == c["_cb"]]
+    j = d.join(c, cond).drop(*[f"_g_{i}" for i in range(len(group_cols))], "_cb")
+    w = Window.partitionBy(*group_cols, "_b").orderBy(key, tie)
+    return j.withColumn(rank, F.col("_before") + F.row_number().over(w)).drop("_b", "_before")
+
+
 def first_n_by_rank(df: DataFrame, group_cols: list[str], key: str, tie: str, n: int,
                     prefix: int = 4) -> DataFrame:
     """Rows whose rank in their group (by ``key``, then ``tie``) is at most ``n``."""

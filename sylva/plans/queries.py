@@ -22,7 +22,8 @@ N_FILES = 30
 SPLIT = 75
 SEED = 42
 N_PAIRS = 100
-REVIEW_PROBLEM = "1-URGENT"
+REVIEW_PROBLEM = "1-URGENT"   # problem of the labelling session the click events belong to
+N_REVIEW_PAIRS = 1000         # pairs per problem shown for review (the review tool's default)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -208,8 +209,7 @@ def q_toggled_lines(spark, d):
 
 
 def q_resolved_labels(spark, d):
-    r = diff_labels(_subs(spark, d), _nodes(spark, d), fx.clicks_from_events(_t(spark, d, "events"), REVIEW_PROBLEM),
-                    problems=[REVIEW_PROBLEM])
+    r = diff_labels(_subs(spark, d), _nodes(spark, d), fx.clicks_from_events(_t(spark, d, "events"), REVIEW_PROBLEM))
     return r.labels
 
 
@@ -223,7 +223,7 @@ def q_numbered_lines(spark, d):
 
 def q_review_sheet(spark, d):
     nodes = _nodes(spark, d)
-    pairs = meta.ok_pt_pairs(_subs(spark, d), problems=[REVIEW_PROBLEM], limit=1000)
+    pairs = meta.ok_pt_pairs(_subs(spark, d), limit=N_REVIEW_PAIRS)
     el = diff.error_lines(pairs, nodes)
     return labels.review_sheet(pairs, labels.tree_listing(nodes), el)
 

@@ -62,3 +62,12 @@ def test_flatten_later_copy_wins(spark):
     counts = spark.createDataFrame([("big", 10), ("small", 2)], "problem_id string, n_files long")
     out = {r.file_name: r.doc_id for r in sampling.flatten_corpus(sampled, counts).collect()}
     assert out == {"x.cpp": "2", "y.cpp": "3"}
+
+
+def test_exact_rank_equals_row_number(spark):
+    rows = [("hot" if i % 5 else "cold", f"{i * 7919 % 1000}", f"t{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, k string, t string")
+    fast = sampling.exact_rank(df, ["g"], "k", "t", prefix=2, rank="rk")
+    w = Window.partitionBy("g").orderBy("k", "t")
+    slow = df.withColumn("rk", F.row_number().over(w))
+    assert fast.exceptAll(slow.select(fast.columns)).count() == 0
