@@ -141,6 +141,34 @@ EDGES = """
   UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'part_ref', 3, 'size_expr' FROM lineitem
   UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 'size_expr', 0, 'number' FROM lineitem"""
 
+# Every node with its preorder id (line of rank r owns ids 3+8r .. 10+8r) and parent id.
+NODE_IDS = """
+  WITH c AS (SELECT l_orderkey AS k, count(*) AS nl FROM lineitem GROUP BY l_orderkey),
+  r AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_partkey,
+               l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+               l_linestatus, l_shipdate) - 1 AS INTEGER) AS r FROM lineitem),
+  lines AS (SELECT l_orderkey, 3 + 8 * r AS b FROM r)
+  SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, 0 AS node_id, NULL AS parent_id, 'order_unit' AS type FROM orders
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 1, 0, 'status' FROM orders
+  UNION ALL SELECT CAST(k AS VARCHAR), 2, 0, 'line_list' FROM c
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b, 2, 'line' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 1, b, 'part_ref' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 2, b + 1, 'brand' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 3, b + 1, 'identifier' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 4, b + 1, 'comment' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 5, b + 1, 'size_expr' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 6, b + 5, 'number' FROM lines
+  UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 7, b, 'flag' FROM lines"""
+
+TREE_DOT = f"""
+  WITH n AS ({NODE_IDS}),
+  items AS (SELECT doc_id, 0 AS k, node_id, printf('  n%d [label="%s"];', node_id, type) AS s FROM n
+            UNION ALL
+            SELECT doc_id, 1, node_id, printf('  n%d -> n%d;', parent_id, node_id) FROM n WHERE parent_id IS NOT NULL)
+  SELECT doc_id, 'digraph tree {{' || chr(10) || string_agg(s, chr(10) ORDER BY k, node_id, s) || chr(10) || '}}' || chr(10)
+         AS dot
+  FROM items GROUP BY doc_id"""
+
 # Accepted corpus terminals: not extra, at least 5 nodes; token masked for identifiers.
 BRANCHES = f"""
   SELECT doc_id, all_ids || '_' || md5(token) AS branch, md5(token) AS key, token FROM (
@@ -217,6 +245,7 @@ ORACLES: dict[str, str] = {
     "node_predicates": NODES,
     "node_children": f"SELECT * FROM ({EDGES}) e WHERE child_idx = 1",
     "tree_edges": EDGES,
+    "tree_dot": TREE_DOT,
     # path-contexts
     "branches": f"SELECT doc_id, branch FROM ({BRANCHES}) b",
     "doc_vocab": f"SELECT DISTINCT doc_id, key, token FROM ({BRANCHES}) b",

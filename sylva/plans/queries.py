@@ -163,6 +163,10 @@ def q_tree_edges(spark, d):
     return trees.tree_edges(_nodes(spark, d)).select("doc_id", "parent_type", "child_idx", "child_type")
 
 
+def q_tree_dot(spark, d):
+    return trees.dot_graph(_nodes(spark, d))
+
+
 # --- path-contexts --------------------------------------------------------------------------
 
 def _extract(spark, d):
