@@ -160,6 +160,40 @@ NODE_IDS = """
   UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 6, b + 5, 'number' FROM lines
   UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 7, b, 'flag' FROM lines"""
 
+# Accepted corpus terminals with their document-order id (see NODE_IDS).
+CORPUS_DOC_ORDER = """
+  WITH c AS (SELECT l_orderkey AS k, count(*) AS nl FROM lineitem GROUP BY l_orderkey),
+  r AS (SELECT l.l_orderkey, l.l_linenumber, p.p_brand, p.p_size,
+               CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_partkey,
+               l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+               l_linestatus, l_shipdate) - 1 AS INTEGER) AS r
+        FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+  b AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, 5 + 8 * r AS ord,
+               '001002003004005_' || md5(p_brand) AS branch FROM r
+        UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 6 + 8 * r, '001002003004006_' || md5('identifier') FROM r
+        UNION ALL SELECT CAST(l_orderkey AS VARCHAR), 9 + 8 * r,
+               '001002003004009010_' || md5(CAST(p_size AS VARCHAR)) FROM r),
+  per AS (SELECT doc_id, count(*) AS n, string_agg(branch, ' ' ORDER BY ord) AS bs FROM b GROUP BY doc_id)
+  SELECT CAST(o.o_orderkey AS VARCHAR) AS doc_id, CAST(o.o_orderkey AS VARCHAR) AS stem,
+         coalesce(per.n, 0) AS n_branches,
+         CASE WHEN per.bs IS NULL THEN CAST(o.o_orderkey AS VARCHAR)
+              ELSE CAST(o.o_orderkey AS VARCHAR) || ' ' || per.bs END AS line
+  FROM orders o LEFT JOIN per ON per.doc_id = CAST(o.o_orderkey AS VARCHAR)"""
+
+# The ranked OK x PT self-join itself, summarised per (problem, user).
+CANDIDATES = f"""
+  WITH s AS ({SUBMISSIONS}),
+  j AS (SELECT a.problem_id, a.user_id, a.submission_id AS ok_id, b.submission_id AS pt_id,
+               row_number() OVER (PARTITION BY a.problem_id, a.user_id
+                                  ORDER BY a.submission_id, b.submission_id) AS pair_rank,
+               count(*) OVER (PARTITION BY a.problem_id, a.user_id) AS n_candidates
+        FROM s a JOIN s b ON a.user_id = b.user_id AND a.problem_id = b.problem_id
+                         AND a.status = 'OK' AND b.status = 'PT'),
+  k AS (SELECT problem_id, user_id, count(*) FILTER (WHERE status = 'OK') AS n_ok,
+               count(*) FILTER (WHERE status = 'PT') AS n_pt FROM s GROUP BY problem_id, user_id)
+  SELECT j.problem_id, j.user_id, k.n_ok, k.n_pt, j.n_candidates, j.ok_id, j.pt_id
+  FROM j JOIN k ON k.problem_id = j.problem_id AND k.user_id = j.user_id WHERE j.pair_rank = 1"""
+
 TREE_DOT = f"""
   WITH n AS ({NODE_IDS}),
   items AS (SELECT doc_id, 0 AS k, node_id, printf('  n%d [label="%s"];', node_id, type) AS s FROM n
@@ -246,6 +280,8 @@ ORACLES: dict[str, str] = {
     "node_children": f"SELECT * FROM ({EDGES}) e WHERE child_idx = 1",
     "tree_edges": EDGES,
     "tree_dot": TREE_DOT,
+    "extract_contexts": CORPUS_DOC_ORDER,
+    "ok_pt_candidates": CANDIDATES,
     # path-contexts
     "branches": f"SELECT doc_id, branch FROM ({BRANCHES}) b",
     "doc_vocab": f"SELECT DISTINCT doc_id, key, token FROM ({BRANCHES}) b",

@@ -36,3 +36,9 @@ def split_lines(text: str | Column) -> Column:
 def numbered_line(line_no: str | Column, line: str | Column) -> Column:
     """Listing line: 1-based number right-aligned in five columns, two spaces, text."""
     return F.format_string("%5d  %s", _col(line_no), _col(line))
+
+
+def byte_slice(text: str | Column, start_byte: str | Column, end_byte: str | Column) -> Column:
+    """Text between two UTF-8 byte offsets (a byte slice, not a character slice)."""
+    raw = _col(text).cast("binary")
+    return F.decode(F.substring(raw, _col(start_byte) + 1, _col(end_byte) - _col(start_byte)), "UTF-8")

@@ -46,6 +46,26 @@ def ok_pt_pairs(submissions: DataFrame, ok_status: str = "OK", pt_status: str =
                         with_extension("pt_id", F.lit(ext)).alias("pt_file"))
 
 
+def ok_pt_candidates(submissions: DataFrame, ok_status: str = "OK", pt_status: str = "PT") -> DataFrame:
+    """The candidate set of the ranked OK x PT self-join per (problem, user), without building it.
+
+    ``n_ok``, ``n_pt`` and ``n_candidates`` (= ``n_ok * n_pt``, the rows the
+    join would produce) and the rank-1 candidate ``ok_id, pt_id``; users
+    with no OK or no PT submission have no candidates and are left out.
+    """
+    s = submissions.where(F.col("status").isin(ok_status, pt_status))
+    is_ok = F.col("status") == ok_status
+    g = s.groupBy("problem_id", "user_id").agg(
+        F.count(F.when(is_ok, 1)).alias("n_ok"),
+        F.count(F.when(~is_ok, 1)).alias("n_pt"),
+        F.min(F.when(is_ok, F.col("submission_id"))).alias("ok_id"),
+        F.min(F.when(~is_ok, F.col("submission_id"))).alias("pt_id"),
+    )
+    return (g.where((F.col("n_ok") > 0) & (F.col("n_pt") > 0))
+            .select("problem_id", "user_id", "n_ok", "n_pt", (F.col("n_ok") * F.col("n_pt")).alias("n_candidates"),
+                    "ok_id", "pt_id"))
+
+
 def other_solutions(submissions: DataFrame, keys: DataFrame, status: str = "OK") -> DataFrame:
     """Submissions of each (problem, user) in ``keys`` whose status differs from ``status``.
 

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylva.functions.paths import fork_nodes, padded_symbol, path_ids
+from sylva.functions.text import byte_slice
 from sylva.schemas import PATH_NODE_FIELDS
 from sylva.session import ensure_checkpoint_dir
 
@@ -78,6 +79,13 @@ def node_predicates(nodes: DataFrame) -> DataFrame:
     )
 
 
+def terminal_values(nodes: DataFrame, sources: DataFrame) -> DataFrame:
+    """Source text of every terminal, cut by its byte range: ``doc_id, node_id, type, text``."""
+    terms = nodes.where(F.col("child_count") == 0).select("doc_id", "node_id", "type", "start_byte", "end_byte")
+    j = terms.join(sources.select("doc_id", "text"), "doc_id")
+    return j.select("doc_id", "node_id", "type", byte_slice("text", "start_byte", "end_byte").alias("text"))
+
+
 def same_node(a_doc: Column, a_node: Column, b_doc: Column, b_node: Column) -> Column:
     """Node equality: same document and same node id."""
     return (a_doc == b_doc) & (a_node == b_node)

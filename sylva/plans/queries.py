@@ -65,6 +65,10 @@ def q_ok_pt_pairs_limited(spark, d):
     return meta.ok_pt_pairs(_subs(spark, d), limit=N_PAIRS)
 
 
+def q_ok_pt_candidates(spark, d):
+    return meta.ok_pt_candidates(_subs(spark, d))
+
+
 def q_other_solutions(spark, d):
     return meta.other_solutions(_subs(spark, d), _pairs(spark, d), status="OK")
 
@@ -177,6 +181,11 @@ def q_branches(spark, d):
     return _extract(spark, d).branches.select("doc_id", "branch")
 
 
+def q_extract_contexts(spark, d):
+    # the corpus file lines in document order, as the extract job writes them
+    return extract_contexts(_nodes(spark, d), _order_docs(spark, d), order="document").corpus
+
+
 def q_doc_vocab(spark, d):
     return contexts.doc_vocab(_extract(spark, d).branches)
 
@@ -238,6 +247,12 @@ def q_html_nodes(spark, d):
     return html_nodes(_t(spark, d, "pages"))
 
 
+def q_terminal_values(spark, d):
+    pages = _t(spark, d, "pages")
+    src = pages.select(F.col("page_id").cast("string").alias("doc_id"), F.col("html").alias("text"))
+    return trees.terminal_values(html_nodes(pages), src)
+
+
 def q_html_branches(spark, d):
     enc = trees.encode_leaf_paths(html_leaf_paths(_t(spark, d, "pages")))
     return contexts.branches(enc).select("doc_id", "branch")

@@ -21,7 +21,7 @@ def test_no_cartesian_or_nested_loop(spark, name):
 def test_every_query_has_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"html_nodes", "html_branches", "review_sheet"}
+    assert set(q) - set(o) == {"html_nodes", "html_branches", "review_sheet", "terminal_values"}
 
 
 def test_entry_smoke(spark):

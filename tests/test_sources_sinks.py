@@ -90,3 +90,13 @@ def test_parse_job_paths_equal_walk(spark):
     cols = ["doc_id", "leaf_ord", "path_ids", "fork_ids", "path_len", "leaf_row"]
     assert direct.select(cols).exceptAll(walked.select(cols)).count() == 0
     assert walked.select(cols).exceptAll(direct.select(cols)).count() == 0
+
+
+def test_terminal_values_are_byte_slices(spark):
+    from sylva.functions.text import byte_slice
+    df = spark.createDataFrame([("é&amp;x", 0, 2), ("é&amp;x", 2, 7)], "t string, s int, e int")
+    assert [r[0] for r in df.select(byte_slice("t", "s", "e")).collect()] == ["é", "&amp;"]
+    pages = spark.createDataFrame([(1, "<p>a &amp; b</p>")], "page_id long, html string")
+    src = pages.selectExpr("cast(page_id as string) as doc_id", "html as text")
+    vals = trees.terminal_values(html_nodes(pages), src).collect()
+    assert [(r.type, r.text) for r in vals] == [("#text", "a &amp; b")]
