@@ -10,8 +10,9 @@ Tree rules:
 * void elements (``br``, ``img``, ...) never take children;
 * an end tag closes the nearest open element with that name (and everything
   opened after it); an end tag with no open match is ignored;
-* text runs that are not only whitespace become ``#text`` leaves carrying the
-  text as ``value``; comments become ``#comment`` leaves with ``is_extra``;
+* text runs that are not only whitespace become ``#text`` leaves whose
+  ``value`` is their source text (character references left as written);
+  comments become ``#comment`` leaves with ``is_extra``;
 * ``symbol`` is the position of the type in ``SYMBOLS`` below; tags not in
   the list share the ``#unknown`` symbol (their ``type`` keeps the tag name).
 """
@@ -60,6 +61,7 @@ class _TreeBuilder(HTMLParser):
         self.byte_at = acc
         self.nodes: list[dict] = []
         self.stack: list[int] = []
+        self._pending: int | None = None  # text node whose raw end is the next event's start
         self._add("#document", None, 0, "")
         self.stack.append(0)
 
@@ -93,8 +95,16 @@ class _TreeBuilder(HTMLParser):
         })
         return nid
 
+    def _close_text(self, pos: int) -> None:
+        if self._pending is not None:
+            nd = self.nodes[self._pending]
+            nd["end"] = pos
+            nd["value"] = self.text[nd["start"]:pos]
+            self._pending = None
+
     def handle_starttag(self, tag, attrs):
         pos = self._char_pos()
+        self._close_text(pos)
         raw = self.get_starttag_text() or ""
         nid = self._add(tag, self.stack[-1], pos, raw)
         if tag not in VOID:
@@ -102,10 +112,12 @@ class _TreeBuilder(HTMLParser):
 
     def handle_startendtag(self, tag, attrs):
         pos = self._char_pos()
+        self._close_text(pos)
         self._add(tag, self.stack[-1], pos, self.get_starttag_text() or "")
 
     def handle_endtag(self, tag):
         pos = self._char_pos()
+        self._close_text(pos)
         for depth in range(len(self.stack) - 1, 0, -1):
             if self.nodes[self.stack[depth]]["type"] == tag:
                 close = self.text.find(">", pos)
@@ -116,17 +128,20 @@ class _TreeBuilder(HTMLParser):
                 return
 
     def handle_data(self, data):
+        pos = self._char_pos()
+        self._close_text(pos)
         if data.strip():
-            pos = self._char_pos()
-            self._add("#text", self.stack[-1], pos, data, value=data)
+            self._pending = self._add("#text", self.stack[-1], pos, data, value=data)
 
     def handle_comment(self, data):
         pos = self._char_pos()
+        self._close_text(pos)
         self._add("#comment", self.stack[-1], pos, f"<!--{data}-->", value=data, extra=True)
 
     def finish(self) -> list[dict]:
         self.close()
         n = len(self.text)
+        self._close_text(n)
         for nid in self.stack:
             self.nodes[nid]["end"] = n
         self.nodes[0]["end"] = n
