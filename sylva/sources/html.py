@@ -224,7 +224,17 @@ def _leaf_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _input(pages: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return pages.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    """Id and text of each page, spread over at least the default parallelism.
+
+    A small input in few files (one Parquet row group reads as one task) would
+    parse on one core; it is spread round-robin. An input that already has
+    as many splits as cores is left as it is (no shuffle of the corpus).
+    """
+    df = pages.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def html_nodes(pages: DataFrame, id_col: str = "page_id", text_col: str = "html") -> DataFrame:
