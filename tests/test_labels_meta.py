@@ -64,3 +64,14 @@ def test_tree_listing(spark):
     rows = {(r.doc_id, r.line): r.text for r in labels.tree_listing(hand_nodes(spark)).collect()}
     assert rows[("t1", 3)] == "// hi ;"
     assert rows[("t3", 4)] == "hello"
+
+
+def test_ids_compare_as_strings(spark):
+    subs = spark.createDataFrame(
+        [("9", "p", "u", "cpp", "OK"), ("10", "p", "u", "cpp", "OK"), ("100", "p", "u", "cpp", "PT"),
+         ("11", "p", "u", "cpp", "PT")],
+        "submission_id string, problem_id string, user_id string, language string, status string")
+    r = meta.ok_pt_pairs(subs).first()
+    assert (r.ok_id, r.pt_id) == ("10", "100")                     # byte order, not numeric order
+    c = meta.ok_pt_candidates(subs).first()
+    assert (c.n_ok, c.n_pt, c.n_candidates) == (2, 2, 4)

@@ -100,3 +100,25 @@ def test_terminal_values_are_byte_slices(spark):
     src = pages.selectExpr("cast(page_id as string) as doc_id", "html as text")
     vals = trees.terminal_values(html_nodes(pages), src).collect()
     assert [(r.type, r.text) for r in vals] == [("#text", "a &amp; b")]
+
+
+def test_files_to_split_folders(spark, tmpdir_fresh):
+    from sylva.plans import preprocess_corpus
+    root = os.path.join(tmpdir_fresh, "corpus")
+    for p, k in (("pa", 6), ("pb", 3), ("pc", 2)):
+        os.makedirs(os.path.join(root, p))
+        for i in range(k):
+            with open(os.path.join(root, p, f"{i}.cpp"), "w") as f:
+                f.write(f"// {p} {i}\n")
+    src = corpus.scan_corpus(spark, root)
+    r = preprocess_corpus(src, n_problems=2, n_files=4, split=50, seed=1)
+    out = os.path.join(tmpdir_fresh, "split")
+    sinks.write_split(r.split, out)
+    back = spark.read.parquet(out).collect()
+    sampled = r.sampled.collect()
+    # top 2 problems: pa (6 files) and pb (3); 4 of pa and all 3 of pb are sampled
+    assert sorted(x.problem_id for x in sampled) == ["pa"] * 4 + ["pb"] * 3
+    assert sorted(x.file_name for x in back) == sorted({x.file_name for x in sampled})
+    assert sum(1 for x in back if x.split == "train") == 0        # 50 * (7 div 100) = 0
+    for x in back:                                                # the smaller problem is copied last
+        assert x.problem_id == ("pb" if x.file_name in ("0.cpp", "1.cpp", "2.cpp") else "pa")
