@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sylva.operators.meta import FIELDS  # noqa: F401  (re-export for callers)
-
 
 def rank_key(seed: int | str, salt: str, id_col: str | Column) -> Column:
     """Seeded pseudo-random order key: ``md5('<seed>:<salt>:<id>')``."""

@@ -64,10 +64,6 @@ def write_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    return write_table(df)
-
-
 def node_predicates(nodes: DataFrame) -> DataFrame:
     """Add ``is_terminal`` (no children), ``is_named_terminal`` (terminal, named, not extra), ``is_fork`` (>= 2)."""
     term = F.col("child_count") == 0

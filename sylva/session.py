@@ -1,8 +1,8 @@
-"""Session helpers: building a session and cutting lineage safely.
+"""Session helpers: building a session and locating the shared checkpoint folder.
 
-Lineage is cut only with reliable checkpoints in the directory named by
+Lineage is cut only by writing tables into the folder named by
 ``spark.checkpoint.dir`` (a shared folder on a cluster). A private temporary
-folder is used only when the session runs in local mode and no directory was
+folder is used only when the session runs in local mode and no folder was
 configured, as in tests.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "sylva", shuffle_partitions: int | None = None,
@@ -55,13 +55,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="sylva-ckpt-"))
     return sc.getCheckpointDir()
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
-
-    The checkpointed plan keeps the output partitioning, so a following join
-    on the same keys does not shuffle this side again.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -94,3 +94,19 @@ def test_path_ids_function(spark):
     lp = trees.root_paths(hand_nodes(spark))
     r = lp.where("doc_id = 't3'").select(path_ids("path").alias("ids")).first()
     assert r.ids == "001005006007008"
+
+
+def test_wide_hot_document(spark):
+    """One document holds almost all nodes and one parent has thousands of children."""
+    from sylva.schemas import NODES
+    k = 3000
+    rows = [("big", 0, None, 0, 1, "unit", True, False, k, 0, 0, 0, 0, 0, 0, None)]
+    for i in range(k):
+        rows.append(("big", 1 + 2 * i, 0, i, 2, "stmt", True, False, 1, 0, 0, i, 0, i, 0, None))
+        rows.append(("big", 2 + 2 * i, 1 + 2 * i, 0, 3, "word", True, False, 0, 0, 0, i, 0, i, 0, f"w{i % 7}"))
+    rows.append(("tiny", 0, None, 0, 1, "unit", True, False, 0, 0, 0, 0, 0, 0, 0, "x"))
+    nodes = spark.createDataFrame(rows, NODES).repartition(4)
+    enc = trees.encoded_paths(nodes)
+    got = enc.groupBy("doc_id", "path_ids", "fork_ids").count().collect()
+    assert sorted((r.doc_id, r.path_ids, r.fork_ids, r["count"]) for r in got) == [
+        ("big", "001002003", "001003", k), ("tiny", "001", "001", 1)]
