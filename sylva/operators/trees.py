@@ -174,7 +174,10 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
     below = leaves.where(F.col("parent_id").isNotNull()).join(parents, ["doc_id", "parent_id"]).select(
         *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
     lone = leaves.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()])
-    out = write_table(below.unionByName(lone).select(
+    # the union has one set of partitions per level: merge them (narrow, no
+    # shuffle) so the result is written as one file per shuffle partition
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = write_table(below.unionByName(lone).coalesce(parts).select(
         "doc_id",
         F.col("node_id").alias("leaf_ord"),
         F.col("symbol").alias("leaf_symbol"),
