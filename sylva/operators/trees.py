@@ -171,13 +171,23 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
     parents = inner_paths.select("doc_id", F.col("node_id").alias("parent_id"),
                                  *[F.col(k).alias(f"_acc_{k}") for k in folds])
     leaves = part.where(F.col("child_count") == 0)
-    below = leaves.where(F.col("parent_id").isNotNull()).join(parents, ["doc_id", "parent_id"]).select(
-        *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
-    lone = leaves.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()])
-    # the union has one set of partitions per level: merge them (narrow, no
-    # shuffle) so the result is written as one file per shuffle partition
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = write_table(below.unionByName(lone).coalesce(parts).select(
+    if start is None:
+        # One left join over the co-partitioned terminals: a terminal under a
+        # walked parent steps its parent's values; a root that is a terminal
+        # (no parent) starts its own path.
+        j = leaves.join(parents.withColumn("_hit", F.lit(True)), ["doc_id", "parent_id"], "left")
+        hit = F.col("_hit").isNotNull()
+        attached = j.where(hit | F.col("parent_id").isNull()).select(
+            *_CARRY, *[F.when(hit, f.step(F.col(f"_acc_{k}"))).otherwise(f.init()).alias(k)
+                       for k, f in folds.items()])
+    else:
+        # A start predicate may also pick terminals, possibly below another
+        # start node: those paths are added on their own.
+        below = leaves.where(F.col("parent_id").isNotNull()).join(parents, ["doc_id", "parent_id"]).select(
+            *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
+        lone = leaves.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()])
+        attached = below.unionByName(lone)
+    out = write_table(attached.select(
         "doc_id",
         F.col("node_id").alias("leaf_ord"),
         F.col("symbol").alias("leaf_symbol"),
