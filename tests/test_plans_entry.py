@@ -42,3 +42,14 @@ def test_click_stream_matches_batch(spark, tmpdir_fresh):
     got = {(r.user_id, r.line) for r in spark.sql("SELECT * FROM toggles_test WHERE selected").collect()}
     want = {(r.user_id, r.line) for r in labels.toggled_lines(clicks).collect()}
     assert got == want == {("u1", 4), ("u2", 1)}
+
+
+@pytest.mark.parametrize("name", ["train_val_split", "sample_per_problem", "flatten_corpus", "ok_pt_pairs_limited",
+                                  "top_problems", "train_size"])
+def test_single_partition_only_over_aggregates(spark, name):
+    """A gather into one partition may only read an aggregate (e.g. the bucket-count table), never base rows."""
+    lines = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString().splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = lines[i + 1].strip()
+            assert "HashAggregate" in below or "SortAggregate" in below, (name, below)
