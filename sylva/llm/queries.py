@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from sylva.llm import mixing, sharding
+from sylva.llm import licenses, mixing, quality_classifier, quality_rules, sharding, tokens
 
 QUERIES = {
     "op2_shard_minimax": sharding.op2_shard_minimax,
+    "op3_token_files": tokens.op3_token_files,
+    "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_mix_sources": mixing.op6_mix_sources,
+    "op7_license_scan": licenses.op7_license_scan,
+    "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
 
 ORACLES = {
