@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sylva.llm import licenses, mixing, quality_classifier, quality_rules, sharding, tokens
+from sylva.llm import licenses, mixing, quality_classifier, quality_rules, sharding, tokens, toxicity
 
 QUERIES = {
     "op2_shard_minimax": sharding.op2_shard_minimax,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_license_scan": licenses.op7_license_scan,
+    "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
 
