@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from sylva.llm import licenses, mixing, quality_classifier, quality_rules, sharding, tokens, toxicity
+from sylva.llm import jaccard_join, licenses, mixing, quality_classifier, quality_rules, sharding, tokens, toxicity
 
 QUERIES = {
     "op2_shard_minimax": sharding.op2_shard_minimax,
     "op3_token_files": tokens.op3_token_files,
     "op4_quality_rules": quality_rules.op4_quality_rules,
+    "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_license_scan": licenses.op7_license_scan,
     "op9_toxicity": toxicity.op9_toxicity,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_jaccard_join": jaccard_join.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
 }
