@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sylva.llm import jaccard_join, licenses, mixing, quality_classifier, quality_rules, sharding, tokens, toxicity
+from sylva.llm import decontamination, jaccard_join, licenses, mixing, quality_classifier, quality_rules, sharding, tokens, toxicity
 
 QUERIES = {
+    "op1_decontaminate": decontamination.op1_decontaminate,
     "op2_shard_minimax": sharding.op2_shard_minimax,
     "op3_token_files": tokens.op3_token_files,
     "op4_quality_rules": quality_rules.op4_quality_rules,

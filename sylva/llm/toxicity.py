@@ -182,26 +182,38 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Lex
     return Lexicon({r.term: r.value for r in got if r.term}, EXCEPTIONS, tuple(r.value for r in got if not r.term))
 
 
-def score_toxicity(docs: DataFrame, lexicon: Lexicon, columns: list[str], cut: float = CUT) -> DataFrame:
-    """The named columns of ``docs`` with toxic_score and toxic (1 if the score reaches ``cut``)."""
-    kept = docs.select(*columns, *([] if "text" in columns else ["text"]))
+def _scores(batch: pa.RecordBatch, lexicon: Lexicon, automaton) -> np.ndarray:
+    texts = [fold(t or "") for t in batch.column("text").to_pylist()]
+    return lexicon.score(np.array([raw_weight(t, automaton) for t in texts], float),
+                         np.array([t.count(" ") - 1 if len(t) > 2 else 0 for t in texts]))
+
+
+def score_toxicity(docs: DataFrame, lexicon: Lexicon, cut: float = CUT) -> DataFrame:
+    """doc_id, score and predicted (1 if the score reaches ``cut``) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = lexicon.automaton()
         for b in doc_slices(batches):
-            folded = [fold(t or "") for t in b.column("text").to_pylist()]
-            score = lexicon.score(np.array([raw_weight(t, a) for t in folded], float),
-                                  np.array([max(0, t.count(" ") - 1) for t in folded]))
+            score = _scores(b, lexicon, a)
             yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in columns), pa.array(score), pa.array((score >= cut).astype(np.int32))],
-                [*columns, "toxic_score", "toxic"])
+                [b.column("doc_id").cast(pa.int64()), pa.array(score), pa.array((score >= cut).astype(np.int32))],
+                ["doc_id", "score", "predicted"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def reject_toxic(docs: DataFrame, lexicon: Lexicon, cut: float = CUT) -> DataFrame:
+    """The documents, all columns, whose score stays below ``cut``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = lexicon.automaton()
+        for b in doc_slices(batches):
+            yield b.filter(pa.array(_scores(b, lexicon, a) < cut))
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)
-    return kept.mapInArrow(run, f"{fields}, toxic_score double, toxic int")
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    scored = score_toxicity(docs, fit_lexicon(docs, labels), ["doc_id"])
-    return scored.select("doc_id", held_out().alias("held_out"), scored.toxic_score.alias("score"),
-                         scored.toxic.alias("predicted"))
+    scored = score_toxicity(docs, fit_lexicon(docs, labels))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
