@@ -3,9 +3,8 @@
 Rows are put in one global order, atomic groups stay whole, and the order is cut into shards so that the
 largest shard is as small as any contiguous cut allows. The smallest feasible capacity is found by a search
 over capacities: each round tries ``TRIES`` capacities at once and checks all of them greedily, one lookup
-job per shard ("how far does a shard that starts here reach?"). A lookup reads only the groups whose running
-total can be the answer: ends of groups are bucketed by the largest group's size, so it is an equi-join on two
-buckets per capacity.
+job per shard ("how far does a shard that starts here reach?"). Groups are places on the line of all bytes, cut
+into buckets of equal width; a lookup is an equi-join on the bucket and gives one row for each capacity.
 
 Defined results: a null group value is one group of its own; rows repeated whole take consecutive slots; an
 empty table gives an empty result; with fewer groups than shards the later shards stay empty; input columns
@@ -21,6 +20,7 @@ from sylva.llm.common import range_sorted, read_table, running_total, save
 
 N_SHARDS = 24
 TRIES = 1000
+GROUPS_PER_BUCKET = 64
 
 
 def _inline(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
@@ -28,46 +28,55 @@ def _inline(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataF
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(columns)})")
 
 
-def _reach(ends: DataFrame, largest: int, limits: dict[int, int]) -> dict[int, tuple]:
-    """For each key: the last group that ends at or before the limit, as (end_bytes, group, end_rows)."""
-    spark = ends.sparkSession
-    probes = _inline(spark, ["id", "most", "bucket"],
-                     [(k, x, b) for k, x in limits.items() for b in (x // largest, x // largest - 1)])
-    low, high = min(limits.values()) - largest, max(limits.values())
-    near = ends.where((F.col("end_bytes") > low) & (F.col("end_bytes") <= high))
-    hit = (near.withColumn("bucket", F.floor(F.col("end_bytes") / F.lit(largest)))
-           .join(F.broadcast(probes), "bucket").where("end_bytes <= most")
-           .groupBy("id").agg(F.max(F.struct("end_bytes", "_group", "end_rows")).alias("m")))
-    return {r.id: (r.m.end_bytes, r.m._group, r.m.end_rows) for r in hit.collect()}
+def _reach(places: DataFrame, width: int, limits: dict[int, int]) -> dict[int, tuple]:
+    """For each key: the group that holds the byte at the limit, as (its start, group, rows before it).
+
+    A shard filled up to the limit ends where that group starts. Every byte lies in exactly one group,
+    so each probe matches one row.
+    """
+    spark = places.sparkSession
+    probes = _inline(spark, ["id", "most", "bucket"], [(k, x, x // width) for k, x in limits.items()])
+    near = places.where(F.col("bucket").between(min(limits.values()) // width, max(limits.values()) // width))
+    hit = (near.join(F.broadcast(probes), "bucket").where("start_bytes <= most AND most < end_bytes")
+           .select("id", "start_bytes", "_group", "start_rows"))
+    return {r.id: (r.start_bytes, r._group, r.start_rows) for r in hit.collect()}
 
 
-def _greedy(ends: DataFrame, largest: int, total: int, capacities: list[int], n: int) -> dict[int, list[tuple]]:
-    """Cuts that greedy filling makes for each capacity; a capacity is feasible if its last cut is ``total``."""
+def _greedy(places: DataFrame, width: int, total: int, capacities: list[int], n: int) -> dict[int, list[tuple] | None]:
+    """The inner cuts that greedy filling makes for each capacity; None if ``n`` shards do not hold everything."""
     cuts: dict[int, list[tuple]] = {c: [] for c in capacities}
-    for _ in range(n):
-        going = {c: min(total, (cut[-1][0] if cut else 0) + c) for c, cut in cuts.items()
-                 if not cut or cut[-1][0] < total}
+    going = {c: c for c in capacities if c < total}
+    for _ in range(n - 1):
         if not going:
             break
-        found = _reach(ends, largest, going)
-        for c in going:
-            cuts[c].append(found[c])
-    return cuts
+        for c, found in _reach(places, width, going).items():
+            cuts[c].append(found)
+        going = {c: cuts[c][-1][0] + c for c in going if cuts[c][-1][0] + c < total}
+    return {c: None if c in going else cut for c, cut in cuts.items()}
 
 
 def minimax_cuts(ends: DataFrame, n: int) -> list[tuple]:
-    """The cuts (end_bytes, group, end_rows) at the smallest feasible capacity; ``ends`` has one row a group."""
-    stats = ends.agg(F.max("end_bytes").alias("total"), F.max("bytes").alias("largest")).first()
-    if stats.total is None:
+    """Inner cuts (start_bytes, first group after the cut, rows before it) at the smallest feasible capacity.
+
+    ``ends`` has one row a group: _group, bytes, end_bytes, start_rows.
+    """
+    stats = ends.agg(F.max("end_bytes").alias("total"), F.max("bytes").alias("largest"), F.count("*").alias("n")).first()
+    if not stats.n:
         return []
     total, largest = int(stats.total), int(stats.largest)
+    # buckets of some GROUPS_PER_BUCKET groups; a group stands in each bucket that it reaches into
+    width = max(1, total * GROUPS_PER_BUCKET // int(stats.n))
+    start = F.col("end_bytes") - F.col("bytes")
+    reached = F.sequence(F.floor(start / width), F.floor((F.col("end_bytes") - 1) / width))
+    places = save(ends.withColumn("start_bytes", start).withColumn("bucket", F.explode(reached))
+                  .repartitionByRange("bucket").sortWithinPartitions("bucket"), "shard-places")
     low = max(-(-total // n), largest)
     high = max(low, -(-total // n) + largest)  # always feasible: a shard that closes early holds over total / n
     while True:
         step = max(1, -(-(high - low) // TRIES))
         tried = sorted({*range(low, high, step), high})
-        cuts = _greedy(ends, largest, total, tried, n)
-        good = min(c for c in tried if cuts[c][-1][0] >= total)
+        cuts = _greedy(places, width, total, tried, n)
+        good = min(c for c in tried if cuts[c] is not None)
         worse = [c for c in tried if c < good]
         if not worse or good - worse[-1] == 1:
             return cuts[good]
@@ -87,14 +96,12 @@ def shard_minimax(df: DataFrame, group: Column, size: Column, ties: list[str], n
     pieces = running_total(pieces, F.col("n"), "rows_before", "_group")
     groups = pieces.groupBy("_group").agg(
         F.sum("piece").alias("bytes"), F.max(F.col("before") + F.col("piece")).alias("end_bytes"),
-        F.max(F.col("rows_before") + F.col("n")).alias("end_rows"))
-    ends = save(groups.repartitionByRange("end_bytes").sortWithinPartitions("end_bytes"), "shard-ends")
-    cuts = minimax_cuts(ends, n_shards)
-    inner = [c[1] for c in cuts[:-1]]
-    starts = [0, *[c[2] for c in cuts[:-1]]]
+        F.min("rows_before").alias("start_rows"))
+    cuts = minimax_cuts(save(groups, "shard-groups"), n_shards)
+    starts = [0, *[c[2] for c in cuts]]
     shard = F.lit(0)
-    for g in inner:
-        shard = shard + (F.col("_group") > F.lit(g)).cast("int")
+    for _, first_after, _ in cuts:
+        shard = shard + (F.col("_group") >= F.lit(first_after)).cast("int")
     start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("shard") + 1)
     first = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (t.groupBy("part").agg(F.count("*").alias("n"))
