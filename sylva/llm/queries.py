@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sylva.llm import decontamination, jaccard_join, licenses, mixing, quality_classifier, quality_rules, sharding, tokens, toxicity
+from sylva.llm import decontamination, jaccard_join, licenses, mixing, quality_classifier, quality_rules, secret_scan, sharding, tokens, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontamination.op1_decontaminate,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_jaccard_join": jaccard_join.op5_jaccard_join,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_license_scan": licenses.op7_license_scan,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
 }
