@@ -1,69 +1,55 @@
 """Tree operators over the ``nodes`` table (one row per node, parent pointers).
 
-Paths are built by level-by-level expansion from the start nodes (see
-:func:`fold_paths`): each step joins the current frontier with the children
-of its nodes on (``doc_id``, ``parent_id``). Instead of carrying whole paths,
-a walk carries values folded along the path (the path array itself is one
-such fold; the encoders use compact string folds). The children side is
-hash-partitioned on the join keys and cached once, so each step shuffles only
-the frontier; a very wide parent lands in one partition and is split by AQE's
-skew-join handling. Lineage is cut by writing tables to the shared checkpoint
-folder (``spark.checkpoint.dir``) every few levels and for the result, so deep
-trees keep a flat plan and a lost executor does not force recomputing earlier
-levels. The loop ends when a level is empty; ``max_depth`` guards against
-cycles in bad input.
+Paths are built by pointer doubling (see :func:`fold_paths`). Every inner node
+holds a pointer to an ancestor and a value folded over the nodes below that
+ancestor down to itself; a round joins each node with the row its pointer
+names, joins the two values and takes over that row's pointer, so a tree of
+depth ``d`` needs about ``log2(d)`` rounds. Nodes whose pointer has reached
+their start node leave the rounds. Only inner nodes take part; terminals (most
+of a tree) are attached to their parents at the end, in one join salted by
+child ordinal, so the children of one very wide node spread over many tasks.
+
+A walk carries only the folds that are asked for. Rounds are written to the
+shared checkpoint folder (``spark.checkpoint.dir``), so the plan stays flat
+and a lost executor does not force recomputing earlier rounds. A node whose
+parent row is missing raises an error when the result is computed.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylva.functions.paths import fork_nodes, padded_symbol, path_ids
 from sylva.functions.text import byte_slice
 from sylva.schemas import PATH_NODE_FIELDS
-from sylva.session import ensure_checkpoint_dir
+from sylva.session import write_table
 
-# Node columns a walk carries for every frontier row (the leaf's own attributes).
-_NODE_COLS = ["doc_id", "node_id", "parent_id", "symbol", "type", "is_named", "is_extra", "child_count",
-              "value", "start_row"]
-_CARRY = [c for c in _NODE_COLS if c != "parent_id"]
+# Children of one node that one task attaches at most.
+CHILDREN_PER_TASK = 10_000
 
 
 @dataclass(frozen=True)
 class Fold:
     """A value folded along a path, root first.
 
-    ``init()`` is the value at the start node and ``step(acc)`` the value at a
-    child given its parent's value ``acc``; both read the current node's
-    columns (``symbol``, ``type``, ``child_count``, ...).
+    ``own()`` is the value of a single node, read from its columns (``symbol``,
+    ``type``, ``child_count``, ...); ``join(upper, lower)`` is the value of two
+    adjoining stretches of a path. ``join`` must be associative.
     """
 
-    init: Callable[[], Column]
-    step: Callable[[Column], Column]
+    own: Callable[[], Column]
+    join: Callable[[Column, Column], Column]
 
 
 def _path_elem() -> Column:
     return F.struct(*[F.col(c) for c in PATH_NODE_FIELDS])
 
 
-def write_table(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` as a Parquet table in the checkpoint folder and read it back.
-
-    This cuts lineage in one columnar pass; the folder is the shared one named
-    by ``spark.checkpoint.dir`` so the table outlives a lost executor.
-    """
-    base = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{base.rstrip('/')}/sylva-table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def node_predicates(nodes: DataFrame) -> DataFrame:
     """Add ``is_terminal`` (no children), ``is_named_terminal`` (terminal, named, not extra), ``is_fork`` (>= 2)."""
     term = F.col("child_count") == 0
@@ -105,89 +91,91 @@ def node_children(nodes: DataFrame, i: int | None = None) -> DataFrame:
     return edges if i is None else edges.where(F.col("child_idx") == F.lit(i))
 
 
-def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None = None,
-               max_depth: int = 10_000, checkpoint_every: int = 8) -> DataFrame:
-    """Fold values along every path from a start node down to each terminal below it.
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
 
-    ``start`` is a predicate over ``nodes`` choosing the start nodes (default:
-    the roots, ``parent_id IS NULL``). One output row per terminal:
-    ``doc_id, leaf_ord`` (its preorder id = document order), the terminal's own
-    ``leaf_symbol, leaf_type, leaf_is_named, leaf_is_extra, leaf_value,
-    leaf_row`` and one column per fold.
-
-    The nodes are hash-partitioned on (``doc_id``, ``parent_id``) and cached
-    once. Only inner nodes take part in the level-by-level walk: each level
-    joins the frontier (``doc_id``, ``node_id`` and the fold values only) with
-    its inner children, and the loop asks just whether the new level is empty
-    (a ``take(1)``). Terminals - most of a tree - are then attached to their
-    parent's fold values in one join whose terminal side is already
-    partitioned. Every ``checkpoint_every`` levels, and
-    for the result, lineage is cut by writing a table to the checkpoint folder;
-    the per-level caches are released at the end.
+
+def inner_folds(nodes: DataFrame, folds: dict[str, Fold], start: Column | None = None,
+                max_depth: int = 10_000) -> DataFrame:
+    """Every inner node with its nearest start node and the folds from there down to itself.
+
+    Columns: ``doc_id, node_id, parent_id, child_count, is_start, top`` (the
+    start node's id; null if there is none above), ``lost`` (a parent row is
+    missing on the way) and one column per fold. The number of rounds is the
+    logarithm of the depth; more than ``max_depth`` allows raises, which also
+    catches cycles of parent pointers.
     """
-    n = nodes.select(*_NODE_COLS)
-    cached: list[DataFrame] = []
+    anchor = F.col("parent_id").isNull() if start is None else start
+    stop = F.col("is_start") | F.col("parent_id").isNull()
+    rows = (nodes.where(F.col("child_count") > 0)
+            .select("doc_id", "node_id", "parent_id", "child_count", F.coalesce(anchor, F.lit(False)).alias("is_start"),
+                    *[f.own().alias(k) for k, f in folds.items()])
+            .withColumn("up", F.when(~stop, F.col("parent_id")))
+            .withColumn("top", F.when(F.col("is_start"), F.col("node_id")))
+            .withColumn("lost", F.lit(False)))
+    rows = write_table(rows, "walk")
+    done = [rows.where(F.col("up").isNull())]
+    moving = rows.where(F.col("up").isNotNull())
+    covered = 1
+    while not moving.isEmpty():
+        if covered > max_depth:
+            raise ValueError(f"trees deeper than max_depth={max_depth} (cycle in parent pointers?)")
+        above = _union([*done, moving]).select(
+            "doc_id", F.col("node_id").alias("up"), F.lit(True).alias("_found"), F.col("up").alias("_up"),
+            F.col("top").alias("_top"), F.col("lost").alias("_lost"), *[F.col(k).alias(f"_{k}") for k in folds])
+        joined = moving.join(above, ["doc_id", "up"], "left")
+        rows = write_table(joined.select(
+            "doc_id", "node_id", "parent_id", "child_count", "is_start",
+            *[F.when(F.col("_found"), f.join(F.col(f"_{k}"), F.col(k))).otherwise(F.col(k)).alias(k)
+              for k, f in folds.items()],
+            F.col("_up").alias("up"), F.col("_top").alias("top"),
+            (F.col("_found").isNull() | F.col("_lost")).alias("lost")), "walk")
+        done.append(rows.where(F.col("up").isNull()))
+        moving = rows.where(F.col("up").isNotNull())
+        covered *= 2
+    return _union(done).drop("up")
 
-    def keep(df: DataFrame) -> DataFrame:
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(df)
-        return df
 
-    def release() -> None:
-        for df in cached:
-            df.unpersist()
+def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None = None,
+               max_depth: int = 10_000, leaf_filter: Column | None = None) -> DataFrame:
+    """Fold values along every path from a start node down to each terminal below it.
 
-    anchor = F.col("parent_id").isNull() if start is None else start
-    node_attrs = ["symbol", "type", "is_named", "is_extra", "child_count"]
-    # One pass over the input: hash-partitioned on (doc_id, parent_id) and
-    # cached. Every level joins its children from here, and the terminals are
-    # attached from here at the end, both without shuffling this side again.
-    part = keep(n.repartition("doc_id", "parent_id"))
-    inner_children = part.where((F.col("child_count") > 0) & F.col("parent_id").isNotNull()).select(
-        "doc_id", "node_id", "parent_id", *node_attrs)
-    frontier = keep(part.where(anchor & (F.col("child_count") > 0)).select(
-        "doc_id", "node_id", *[f.init().alias(k) for k, f in folds.items()]))
-
-    levels = []
-    for depth in range(max_depth + 1):
-        levels.append(frontier)
-        acc = frontier.select("doc_id", F.col("node_id").alias("parent_id"),
-                              *[F.col(k).alias(f"_acc_{k}") for k in folds])
-        # Hash the (smaller) frontier; the cached children side is neither
-        # shuffled nor sorted again.
-        step = inner_children.join(acc.hint("shuffle_hash"), ["doc_id", "parent_id"]).select(
-            "doc_id", "node_id", *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
-        step = write_table(step) if (depth + 1) % checkpoint_every == 0 else keep(step)
-        if step.isEmpty():
-            break
-        frontier = step
-    else:
-        release()
-        raise ValueError(f"trees deeper than max_depth={max_depth} (cycle in parent pointers?)")
-
-    inner_paths = levels[0]
-    for lvl in levels[1:]:
-        inner_paths = inner_paths.unionByName(lvl)
-    parents = inner_paths.select("doc_id", F.col("node_id").alias("parent_id"),
-                                 *[F.col(k).alias(f"_acc_{k}") for k in folds])
-    leaves = part.where(F.col("child_count") == 0)
-    if start is None:
-        # One left join over the co-partitioned terminals: a terminal under a
-        # walked parent steps its parent's values; a root that is a terminal
-        # (no parent) starts its own path.
-        j = leaves.join(parents.withColumn("_hit", F.lit(True)), ["doc_id", "parent_id"], "left")
-        hit = F.col("_hit").isNotNull()
-        attached = j.where(hit | F.col("parent_id").isNull()).select(
-            *_CARRY, *[F.when(hit, f.step(F.col(f"_acc_{k}"))).otherwise(f.init()).alias(k)
-                       for k, f in folds.items()])
-    else:
-        # A start predicate may also pick terminals, possibly below another
-        # start node: those paths are added on their own.
-        below = leaves.where(F.col("parent_id").isNotNull()).join(parents, ["doc_id", "parent_id"]).select(
-            *_CARRY, *[f.step(F.col(f"_acc_{k}")).alias(k) for k, f in folds.items()])
-        lone = leaves.where(anchor).select(*_CARRY, *[f.init().alias(k) for k, f in folds.items()])
-        attached = below.unionByName(lone)
-    out = write_table(attached.select(
+    ``start`` is a predicate over ``nodes`` choosing the start nodes (default:
+    the roots, ``parent_id IS NULL``). One output row per start node and
+    terminal: ``doc_id, leaf_ord`` (the terminal's preorder id = document
+    order), its own ``leaf_symbol, leaf_type, leaf_is_named, leaf_is_extra,
+    leaf_value, leaf_row`` and one column per fold. ``leaf_filter`` (over the
+    node columns) drops terminals before they are attached.
+
+    Terminals join their parents on (``doc_id``, ``parent_id``, block of child
+    ordinals); a parent stands once for every block of ``CHILDREN_PER_TASK``
+    children. The result is lazy: columns that nobody reads are not computed.
+    """
+    inner = inner_folds(nodes, folds, start, max_depth)
+    anchor = F.col("parent_id").isNull() if start is None else F.coalesce(start, F.lit(False))
+    leaves = nodes.where(F.col("child_count") == 0)
+    if leaf_filter is not None:
+        leaves = leaves.where(leaf_filter)
+    leaf_cols = ["_leaf_start", *[f"_own_{k}" for k in folds]]
+    leaves = leaves.select("doc_id", "node_id", "parent_id", "symbol", "type", "is_named", "is_extra", "value", "start_row",
+                           F.floor(F.coalesce("child_idx", F.lit(0)) / CHILDREN_PER_TASK).alias("_block"),
+                           anchor.alias("_leaf_start"), *[f.own().alias(f"_own_{k}") for k, f in folds.items()])
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("child_count") - 1) / CHILDREN_PER_TASK))
+    parents = inner.select("doc_id", F.col("node_id").alias("parent_id"), F.explode(blocks).alias("_block"),
+                           F.lit(True).alias("_found"), "top", "lost", *folds)
+    joined = leaves.join(parents, ["doc_id", "parent_id", "_block"], "left")
+    orphan = (F.col("parent_id").isNotNull() & F.col("_found").isNull()) | F.coalesce("lost", F.lit(False))
+    joined = joined.where(F.when(orphan, F.raise_error(F.format_string(
+        "node %s of document %s has no parent row above it", F.col("node_id").cast("string"), F.col("doc_id"))).cast("boolean"))
+        .otherwise(F.lit(True)))
+    keep = [c for c in joined.columns if c not in (*leaf_cols, *folds)]
+    below = joined.where(F.col("top").isNotNull()).select(
+        *keep, *[f.join(F.col(k), F.col(f"_own_{k}")).alias(k) for k, f in folds.items()])
+    alone = joined.where("_leaf_start").select(*keep, *[F.col(f"_own_{k}").alias(k) for k in folds])
+    out = [below, alone]
+    if start is not None:
+        out += _outer_starts(inner, below, alone, folds, keep)
+    return _union(out).select(
         "doc_id",
         F.col("node_id").alias("leaf_ord"),
         F.col("symbol").alias("leaf_symbol"),
@@ -197,62 +185,99 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
         F.col("value").alias("leaf_value"),
         F.col("start_row").alias("leaf_row"),
         *folds,
-    ))
-    release()
-    return out
+    )
+
+
+def _outer_starts(inner: DataFrame, below: DataFrame, alone: DataFrame, folds: dict[str, Fold],
+                  keep: list[str]) -> list[DataFrame]:
+    """Rows of start nodes that enclose other start nodes: one more step up for each level of nesting."""
+    stretch = (inner.where("is_start AND parent_id IS NOT NULL").select("doc_id", F.col("node_id").alias("top"), "parent_id")
+               .join(inner.select("doc_id", F.col("node_id").alias("parent_id"), F.col("top").alias("_top"),
+                                  *[F.col(k).alias(f"_{k}") for k in folds]), ["doc_id", "parent_id"])
+               .where("_top IS NOT NULL").drop("parent_id"))
+    if stretch.isEmpty():
+        return []
+    stretch = write_table(stretch, "walk")
+    out, rows = [], below
+    while True:
+        up = rows.join(stretch, ["doc_id", "top"]).select(
+            *[F.col("_top").alias("top") if c == "top" else F.col(c) for c in keep],
+            *[f.join(F.col(f"_{k}"), F.col(k)).alias(k) for k, f in folds.items()])
+        rows = write_table(up, "walk")
+        if rows.isEmpty():
+            return out
+        out.append(rows)
 
 
 def array_fold() -> Fold:
     """The path itself: array of node structs, root first."""
-    return Fold(lambda: F.array(_path_elem()), lambda acc: F.concat(acc, F.array(_path_elem())))
+    return Fold(lambda: F.array(_path_elem()), F.concat)
 
 
 def ids_fold(separator: str = "") -> Fold:
     """Padded symbols of all nodes, joined by ``separator``."""
-    return Fold(lambda: padded_symbol("symbol"),
-                lambda acc: F.concat(acc, F.lit(separator), padded_symbol("symbol")))
+    return Fold(lambda: padded_symbol("symbol"), lambda upper, lower: F.concat(upper, F.lit(separator), lower))
 
 
-def fork_ids_fold(separator: str = "") -> Fold:
-    """Padded symbols of forks and terminals only (single-child nodes skipped)."""
-    keep = F.col("child_count") != 1
+def reversed_ids_fold(separator: str = "") -> Fold:
+    """Padded symbols of all nodes, terminal first."""
+    return Fold(lambda: padded_symbol("symbol"), lambda upper, lower: F.concat(lower, F.lit(separator), upper))
 
-    def step(acc: Column) -> Column:
-        joined = F.when(acc == F.lit(""), padded_symbol("symbol")).otherwise(
-            F.concat(acc, F.lit(separator), padded_symbol("symbol")))
-        return F.when(keep, joined).otherwise(acc)
 
-    return Fold(lambda: F.when(keep, padded_symbol("symbol")).otherwise(F.lit("")), step)
+def _joined(first: Column, second: Column, separator: str) -> Column:
+    return (F.when(first == F.lit(""), second).when(second == F.lit(""), first)
+            .otherwise(F.concat(first, F.lit(separator), second)))
 
 
-def reversed_ids_fold(separator: str = "") -> Fold:
-    """Padded symbols of all nodes, terminal first."""
-    return Fold(lambda: padded_symbol("symbol"),
-                lambda acc: F.concat(padded_symbol("symbol"), F.lit(separator), acc))
+def fork_ids_fold(separator: str = "", reverse: bool = False) -> Fold:
+    """Padded symbols of forks and terminals only (single-child nodes skipped); terminal first with ``reverse``."""
+
+    def own() -> Column:
+        return F.when(F.col("child_count") != 1, padded_symbol("symbol")).otherwise(F.lit(""))
+
+    if reverse:
+        return Fold(own, lambda upper, lower: _joined(lower, upper, separator))
+    return Fold(own, lambda upper, lower: _joined(upper, lower, separator))
 
 
 def count_fold(forks_only: bool = False) -> Fold:
     """Number of nodes on the path (or of forks and terminals only)."""
-    if forks_only:
-        one = F.when(F.col("child_count") != 1, F.lit(1)).otherwise(F.lit(0))
-        return Fold(lambda: one, lambda acc: acc + one)
-    return Fold(lambda: F.lit(1), lambda acc: acc + F.lit(1))
 
+    def own() -> Column:
+        return F.when(F.col("child_count") != 1, F.lit(1)).otherwise(F.lit(0)) if forks_only else F.lit(1)
 
-def encoded_paths(nodes: DataFrame, start: Column | None = None, separator: str = "",
-                  max_depth: int = 10_000) -> DataFrame:
-    """Compact path encodings of every terminal, folded during the walk (no path arrays).
+    return Fold(own, lambda upper, lower: upper + lower)
 
-    Columns: the leaf columns of :func:`fold_paths` and ``path_ids``,
-    ``path_len``, ``fork_ids``, ``fork_len``, ``reversed_ids``.
-    """
-    return fold_paths(nodes, {
+
+def start_type_fold() -> Fold:
+    """Type of the path's first node."""
+    return Fold(lambda: F.col("type"), lambda upper, lower: upper)
+
+
+def path_folds(separator: str = "") -> dict[str, Fold]:
+    """All compact encodings by column name."""
+    return {
         "path_ids": ids_fold(separator),
         "path_len": count_fold(),
         "fork_ids": fork_ids_fold(separator),
         "fork_len": count_fold(forks_only=True),
         "reversed_ids": reversed_ids_fold(separator),
-    }, start=start, max_depth=max_depth)
+        "reversed_fork_ids": fork_ids_fold(separator, reverse=True),
+        "start_type": start_type_fold(),
+    }
+
+
+def encoded_paths(nodes: DataFrame, start: Column | None = None, separator: str = "",
+                  max_depth: int = 10_000, only: list[str] | None = None,
+                  leaf_filter: Column | None = None) -> DataFrame:
+    """Compact path encodings of every terminal, folded during the walk (no path arrays).
+
+    Columns: the leaf columns of :func:`fold_paths` and those of
+    :func:`path_folds`, or just the encodings named in ``only``.
+    """
+    folds = path_folds(separator)
+    return fold_paths(nodes, {k: folds[k] for k in (only or folds)}, start=start, max_depth=max_depth,
+                      leaf_filter=leaf_filter)
 
 
 def encode_leaf_paths(leaf_paths: DataFrame, separator: str = "") -> DataFrame:
@@ -269,6 +294,8 @@ def encode_leaf_paths(leaf_paths: DataFrame, separator: str = "") -> DataFrame:
         path_ids(forks, separator).alias("fork_ids"),
         F.size(forks).alias("fork_len"),
         path_ids(F.reverse("path"), separator).alias("reversed_ids"),
+        path_ids(F.reverse(forks), separator).alias("reversed_fork_ids"),
+        F.element_at("path", 1)["type"].alias("start_type"),
     )
 
 

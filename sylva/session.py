@@ -1,17 +1,15 @@
 """Session helpers: building a session and locating the shared checkpoint folder.
 
 Lineage is cut only by writing tables into the folder named by
-``spark.checkpoint.dir`` (a shared folder on a cluster). A private temporary
-folder is used only when the session runs in local mode and no folder was
-configured, as in tests.
+``spark.checkpoint.dir`` (a shared folder on a cluster).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "sylva", shuffle_partitions: int | None = None,
@@ -37,21 +35,38 @@ def get_spark(master: str | None = None, app: str = "sylva", shuffle_partitions:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, setting it from ``spark.checkpoint.dir``.
+    """Return the shared folder for checkpoints and tables between jobs.
 
-    When neither the context nor the config names one, a fresh temporary
-    folder is used, but only in local mode: on a cluster a machine-local
-    folder would not survive the loss of an executor, so that case raises.
+    It is the one named by ``spark.checkpoint.dir``. Where that is unset, as in
+    tests, a folder in the session's warehouse directory is used, which the
+    driver and all executors share; a machine-local temporary folder never is.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="sylva-ckpt-"))
+    sc.setCheckpointDir(configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/sylva-checkpoints")
     return sc.getCheckpointDir()
+
+
+def _table_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sylva-tables"
+
+
+def write_table(df: DataFrame, tag: str = "table") -> DataFrame:
+    """Write ``df`` as a Parquet table to the shared folder and read it back.
+
+    This cuts lineage in one columnar pass, and the table outlives a lost
+    executor. :func:`drop_tables` deletes all tables of the application.
+    """
+    spark = df.sparkSession
+    path = f"{_table_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Delete the tables that :func:`write_table` made; frames that still read them can no longer be computed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_table_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
