@@ -10,10 +10,14 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -100,5 +104,25 @@ def doc_slices(batches: Iterator[pa.RecordBatch], rows: int = 128) -> Iterator[p
             yield batch.slice(at, rows)
 
 
+def sized_slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices whose texts in ``column`` hold about ``most`` bytes; a longer text comes alone."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)).cast(pa.int64()), 0)).to_numpy()
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def per_worker(key: str, make: Callable):
+    """A value that all tasks of one Python worker share, such as a cache that is slow to fill."""
+    held = sys.modules.setdefault("sylva_llm_worker", types.ModuleType("sylva_llm_worker"))
+    if not hasattr(held, key):
+        setattr(held, key, make())
+    return getattr(held, key)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

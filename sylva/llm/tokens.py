@@ -20,26 +20,42 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.common import doc_slices, read_table, running_total, save, shuffle_partitions
+from sylva.llm.common import (
+    doc_slices,
+    per_worker,
+    read_table,
+    running_total,
+    save,
+    shuffle_partitions,
+    sized_slices,
+)
 from sylva.llm.words import Capped
 from sylva.session import ensure_checkpoint_dir
 
 END_ID = 0
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 256
+BATCH_BYTES = 10 << 20
+CACHED_WORDS = 500_000
 FILE_OPTIONS = {"compression": "zstd", "parquet.enable.dictionary": "true",
                 "parquet.block.size": str(ROW_GROUP_BYTES), "parquet.page.row.count.limit": str(PAGE_ROWS)}
 SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
-_PAIR_OR_ODD = re.compile(r"\s\s|[^\S \n]")
+_FIRST = "\x01"  # stands before the first word of a text, which no space precedes
+# (RE2) texts that are not words, each after one space or line end
+_PAIR_OR_ODD = (r"[ \n][ \n]|[\t\x0b\x0c\r\x01\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+                r"\x{202f}\x{205f}\x{3000}]")
+_TAIL = ".,;:!?*%$&#|)]}\"'"
 _ODD = re.compile(r"[^\S \n\t\r]")
 _CHUNK = re.compile(r" ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]")
 _LATIN_END = "ɐ"  # below it, character classes do not depend on the Unicode version
@@ -78,52 +94,80 @@ class Encoder:
         self.model = self.tokenizer.model
         self.piece = Capped(self._piece)
         self.chunk = Capped(self._chunk)
-        self.word = Capped(lambda w: self._chunk(w if w[:1] == "\n" else " " + w))
+        self.word = Capped(self._word, CACHED_WORDS)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(letters)], "<u4").tobytes()
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _chunk(self, text: str) -> bytes:
         if not text:
             return b""
         if max(text) >= _LATIN_END:
             return self.whole(text)
+        word = text.rstrip(_TAIL)
+        if word[1:].isalpha() and (word[0] == " " or word[0].isalpha()):  # a word and signs after it are two pieces
+            tail = text[len(word):]
+            return self._piece(word) + (self.piece[tail] if tail else b"")
         return b"".join(map(self.piece.__getitem__, self.split(text)))
 
+    def _word(self, word: str) -> bytes:
+        if word[:1] == "\n":
+            return self._chunk(word)
+        return self._chunk(word[1:] if word[:1] == _FIRST else " " + word)
+
     def encode(self, text: str) -> bytes:
-        if not self.by_piece or any(s in text for s in self.specials):
+        if not self.by_piece or any(s in text for s in self.specials) or _ODD.search(text):
             return self.whole(text)
-        if _PAIR_OR_ODD.search(text):
-            if _ODD.search(text):
-                return self.whole(text)
-            return b"".join(map(self.chunk.__getitem__, _CHUNK.findall(text)))
-        first, *rest = text.replace("\n", " \n").split(" ")
-        return self._chunk(first) + b"".join(map(self.word.__getitem__, rest))
-
-
-def _id_lists(encoded: list[bytes]) -> pa.Array:
-    ends = np.cumsum([0, *(len(e) // 4 for e in encoded)], dtype=np.int32)
-    values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(encoded))])
-    return pa.ListArray.from_arrays(pa.array(ends), values)
+        return b"".join(map(self.chunk.__getitem__, _CHUNK.findall(text)))
+
+    def encode_batch(self, texts: pa.Array, end_id: int) -> pa.ListArray:
+        """Ids of each text, then the end id. Words are looked up once per distinct word of the batch."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        hard = pc.match_substring_regex(texts, _PAIR_OR_ODD)
+        for special in self.specials:
+            hard = pc.or_(hard, pc.match_substring(texts, special))
+        whole = {}
+        if not self.by_piece or pc.any(hard).as_py():
+            rows = np.nonzero(hard.to_numpy(zero_copy_only=False))[0] if self.by_piece else range(len(texts))
+            whole = {f"{_FIRST}{_FIRST}{i}": self.encode(texts[int(i)].as_py()) for i in rows}
+            stand_in = pa.array([None] * len(texts), pa.large_string()).to_pylist()
+            for i in rows:
+                stand_in[int(i)] = f"{_FIRST}{i}"
+            stand_in = pa.array(stand_in, pa.large_string())
+            texts = pc.if_else(pc.is_valid(stand_in), stand_in, texts)
+        spaced = pc.binary_join_element_wise(
+            pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", pa.large_string()))
+        lists = pc.split_pattern(spaced, " ")
+        coded = lists.flatten().dictionary_encode()
+        known = [whole[w] if w[:2] == _FIRST * 2 else self.word[w] for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        known.append(array("I", [end_id]).tobytes())
+        length = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        place = np.cumsum(length, dtype=np.int32) - length
+        ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
+        codes = np.insert(coded.indices.to_numpy(), ends, len(known) - 1)
+        n = length[codes]
+        upto = np.cumsum(n, dtype=np.int32)
+        ids = np.frombuffer(b"".join(known), "<i4")[np.repeat(place[codes] - (upto - n), n) + np.arange(upto[-1], dtype=np.int32)]
+        offsets = np.concatenate([[0], upto[ends + np.arange(len(ends))]]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Documents (doc_id, text) in ascending doc_id order as rows of the token file."""
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seq, part = Encoder(tokenizer), 0, TaskContext.get().partitionId()
-        for b in doc_slices(batches, PAGE_ROWS):
-            encoded = [encoder.encode(t or "") + end for t in b.column("text").to_pylist()]
-            n = len(encoded)
+        encoder, seq, part = per_worker(f"encoder {tokenizer}", lambda: Encoder(tokenizer)), 0, TaskContext.get().partitionId()
+        for b in sized_slices(batches, "text", BATCH_BYTES):
+            ids = encoder.encode_batch(b.column("text"), end_id)
+            n = len(ids)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array([part] * n, pa.int32()),
-                 pa.array(range(seq, seq + n), pa.int64()), pa.array([len(e) // 4 for e in encoded], pa.int32()),
-                 _id_lists(encoded)], ["doc_id", "part", "seq", "n_tokens", "ids"])
+                [b.column("doc_id").cast(pa.int64()), pa.array(np.full(n, part, np.int32)),
+                 pa.array(np.arange(seq, seq + n)), pc.list_value_length(ids), ids],
+                ["doc_id", "part", "seq", "n_tokens", "ids"])
             seq += n
 
     n = shuffle_partitions(docs.sparkSession)

@@ -16,16 +16,23 @@ _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
 class Capped(dict):
-    """A dict that computes missing values by ``make`` and starts afresh when it holds ``most`` of them."""
+    """A dict that computes missing values by ``make`` and holds at most about 2 * ``most`` of them.
 
-    def __init__(self, make, most: int = 400_000):
+    When it is full the older half is dropped, so that values in steady use stay.
+    """
+
+    def __init__(self, make, most: int = 300_000):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
