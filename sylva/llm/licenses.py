@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -126,8 +125,7 @@ def evaluate(tokens: list[str]) -> tuple[set[str], set[str], int]:
     return stack[0] if stack else (set(), set(), UNKNOWN_LEVEL)
 
 
-@cache
-def automaton():
+def build_automaton():
     import ahocorasick
 
     found: dict[str, list[tuple[str, str]]] = {}
@@ -145,13 +143,13 @@ def automaton():
     return a
 
 
-def scan(text: str) -> dict:
+def scan(text: str, automaton) -> dict:
     """All findings of one text: words, base places, labels, chosen ids, level and score."""
     words = text.encode().translate(_WORD_BYTES).split()
     joined = f" {b' '.join(words).decode()} "
     places, notices, trust, tagged = [], [], [], False
     base: set[str] = set()
-    for end, (length, n, kinds) in automaton().iter(joined):
+    for end, (length, n, kinds) in automaton.iter(joined):
         start = joined.count(" ", 0, end + 1 - length)
         for kind, label in kinds:
             trust.append(TRUST[kind])
@@ -212,8 +210,9 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """One row a document: the fields of ``scan`` beside its doc_id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = build_automaton()
         for b in doc_slices(batches):
-            rows = [scan(t or "") for t in b.column("text").to_pylist()]
+            rows = [scan(t or "", automaton) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), *(pa.array([r[k] for r in rows], t) for k, t in _FIELDS)],
                 ["doc_id", *(k for k, _ in _FIELDS)])

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from sylva.llm import decontamination, jaccard_join, licenses, mixing, quality_classifier, quality_rules, secret_scan, sharding, tokens, toxicity
+from sylva.llm import (
+    decontamination,
+    jaccard_join,
+    licenses,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    sharding,
+    tokens,
+    toxicity,
+)
 
 QUERIES = {
     "op1_decontaminate": decontamination.op1_decontaminate,
