@@ -37,34 +37,35 @@ LEAVES = f"""
   SELECT CAST(o.o_orderkey AS VARCHAR) AS doc_id, 'status' AS leaf_type, o.o_orderstatus AS leaf_value, 0 AS leaf_row,
          CASE WHEN c.nl IS NULL THEN '1200' ELSE '0011200' END AS fork_ids,
          '0011200' AS all_ids, 2 AS path_len, false AS is_extra, true AS is_named,
-         CASE WHEN c.nl IS NULL THEN 1 ELSE 2 END AS fork_len, '' AS sub_ids, 0 AS sub_len, '1200001' AS rev_ids
+         CASE WHEN c.nl IS NULL THEN 1 ELSE 2 END AS fork_len, '' AS sub_ids, 0 AS sub_len, '1200001' AS rev_ids,
+         CASE WHEN c.nl IS NULL THEN '1200' ELSE '1200001' END AS rev_fork_ids
   FROM orders o LEFT JOIN (SELECT l_orderkey AS k, count(*) AS nl FROM lineitem GROUP BY l_orderkey) c
        ON c.k = o.o_orderkey
   UNION ALL
   SELECT CAST(l_orderkey AS VARCHAR), 'brand', p_brand, l_linenumber,
          CASE WHEN nl >= 2 THEN '001002003004005' ELSE '001003004005' END,
          '001002003004005', 5, false, true, CASE WHEN nl >= 2 THEN 5 ELSE 4 END, '004005', 2,
-         '005004003002001' FROM ({LINES}) x
+         '005004003002001', CASE WHEN nl >= 2 THEN '005004003002001' ELSE '005004003001' END FROM ({LINES}) x
   UNION ALL
   SELECT CAST(l_orderkey AS VARCHAR), 'identifier', p_name, l_linenumber,
          CASE WHEN nl >= 2 THEN '001002003004006' ELSE '001003004006' END,
          '001002003004006', 5, false, true, CASE WHEN nl >= 2 THEN 5 ELSE 4 END, '004006', 2,
-         '006004003002001' FROM ({LINES}) x
+         '006004003002001', CASE WHEN nl >= 2 THEN '006004003002001' ELSE '006004003001' END FROM ({LINES}) x
   UNION ALL
   SELECT CAST(l_orderkey AS VARCHAR), 'comment', p_type, l_linenumber,
          CASE WHEN nl >= 2 THEN '001002003004008' ELSE '001003004008' END,
          '001002003004008', 5, true, true, CASE WHEN nl >= 2 THEN 5 ELSE 4 END, '004008', 2,
-         '008004003002001' FROM ({LINES}) x
+         '008004003002001', CASE WHEN nl >= 2 THEN '008004003002001' ELSE '008004003001' END FROM ({LINES}) x
   UNION ALL
   SELECT CAST(l_orderkey AS VARCHAR), 'number', CAST(p_size AS VARCHAR), l_linenumber,
          CASE WHEN nl >= 2 THEN '001002003004010' ELSE '001003004010' END,
          '001002003004009010', 6, false, true, CASE WHEN nl >= 2 THEN 5 ELSE 4 END, '004009010', 3,
-         '010009004003002001' FROM ({LINES}) x
+         '010009004003002001', CASE WHEN nl >= 2 THEN '010004003002001' ELSE '010004003001' END FROM ({LINES}) x
   UNION ALL
   SELECT CAST(l_orderkey AS VARCHAR), 'flag', l_returnflag, l_linenumber,
          CASE WHEN nl >= 2 THEN '001002003007' ELSE '001003007' END,
          '001002003007', 4, false, false, CASE WHEN nl >= 2 THEN 4 ELSE 3 END, '', 0,
-         '007003002001' FROM ({LINES}) x"""
+         '007003002001', CASE WHEN nl >= 2 THEN '007003002001' ELSE '007003001' END FROM ({LINES}) x"""
 
 ERROR_LINES = f"""
 WITH pairs AS ({PAIRS}),
@@ -87,25 +88,20 @@ COUNTS = f"SELECT problem_id, count(*) AS n_files FROM ({SOURCES}) s GROUP BY pr
 
 TOP = f"SELECT problem_id, n_files FROM ({COUNTS}) c ORDER BY n_files DESC, problem_id ASC LIMIT 10"
 
-SAMPLED_TOP = f"""
-  SELECT doc_id, problem_id, file_name FROM (
-    SELECT s.*, row_number() OVER (PARTITION BY problem_id ORDER BY md5('42:sample:' || doc_id), doc_id) AS rn
-    FROM ({SOURCES}) s WHERE problem_id IN (SELECT problem_id FROM ({TOP}) t)) x
-  WHERE rn <= 30"""
-
 POOL = f"""
   SELECT doc_id, problem_id, file_name FROM (
     SELECT s.*, row_number() OVER (PARTITION BY s.file_name ORDER BY c.n_files ASC, s.problem_id DESC,
                                    s.doc_id DESC) AS rn
-    FROM ({SAMPLED_TOP}) s JOIN ({COUNTS}) c ON c.problem_id = s.problem_id) x
+    FROM ({SOURCES}) s JOIN ({COUNTS}) c ON c.problem_id = s.problem_id) x
   WHERE rn = 1"""
 
 TRAIN_VAL = f"""
   WITH pool AS ({POOL}),
-  k AS (SELECT 75 * (count(*) // 100) AS k FROM ({SAMPLED_TOP}) s),
+  k AS (SELECT 75 * (count(*) // 100) AS k FROM ({SOURCES}) s),
   ranked AS (SELECT pool.*, row_number() OVER (ORDER BY md5('42:split:' || doc_id), doc_id) AS g FROM pool)
-  SELECT doc_id, problem_id, file_name, CASE WHEN g <= (SELECT k FROM k) THEN 'train' ELSE 'val' END AS split
-  FROM ranked"""
+  SELECT r.doc_id, r.problem_id, r.file_name, CASE WHEN g <= (SELECT k FROM k) THEN 'train' ELSE 'val' END AS split,
+         md5(s.text) AS text_md5
+  FROM ranked r JOIN ({SOURCES}) s ON s.doc_id = r.doc_id"""
 
 # Every node of every order tree (no ids: values only).
 NODES = f"""
@@ -212,10 +208,15 @@ BRANCHES = f"""
 
 VOCAB = f"SELECT DISTINCT key, token, '[' || token || ']' AS display FROM ({BRANCHES}) b"
 
-CLICKS = """
-  SELECT '1-URGENT' AS problem_id, CAST(user_id AS VARCHAR) AS user_id, CAST(trunc(value) AS INTEGER) AS line
+CLICK_PROBLEM = """CASE user_id % 5 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '2-HIGH' WHEN 2 THEN '3-MEDIUM'
+         WHEN 3 THEN '4-NOT SPECIFIED' ELSE '5-LOW' END"""
+
+CLICKS = f"""
+  SELECT {CLICK_PROBLEM} AS problem_id, CAST(user_id AS VARCHAR) AS user_id, CAST(trunc(value) AS INTEGER) AS line
   FROM events WHERE event_type = 'click'"""
 
+REVIEWED = f"SELECT DISTINCT {CLICK_PROBLEM} AS problem_id, CAST(user_id AS VARCHAR) AS user_id FROM events"
+
 TOGGLED = f"""
   SELECT problem_id, user_id, line FROM ({CLICKS}) c GROUP BY problem_id, user_id, line
   HAVING count(*) % 2 = 1"""
@@ -228,6 +229,60 @@ TEXT_LINES = """
   u AS (SELECT doc_id, parts, unnest(generate_series(1, n)) AS i FROM t)
   SELECT doc_id, CAST(i - 1 AS INTEGER) AS line, parts[i] AS text FROM u"""
 
+# Lines of every text, with byte offsets (a trailing newline opens an empty last line here).
+FILE_LINES = """
+  WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, string_split(text, chr(10)) AS parts FROM documents
+             WHERE text IS NOT NULL),
+  u AS (SELECT doc_id, parts[i] AS line, CAST(i - 1 AS INTEGER) AS r FROM (
+          SELECT doc_id, parts, unnest(generate_series(1, len(parts))) AS i FROM p) g)
+  SELECT doc_id, r, line, strlen(line) AS size,
+         coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING
+                                              AND 1 PRECEDING), 0) AS start
+  FROM u"""
+
+# Listing of a tree: the terminal values of a row in document order.
+LISTING = """
+  WITH r AS (SELECT l.l_orderkey, l.l_linenumber, p.p_brand, p.p_name, p.p_type, p.p_size, l.l_returnflag,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+               l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS r
+             FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)
+  SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS line,
+         string_agg(p_brand || ' ' || p_name || ' ' || p_type || ' ' || CAST(p_size AS VARCHAR) || ' ' || l_returnflag, ' '
+                    ORDER BY r) AS text
+  FROM r GROUP BY l_orderkey, l_linenumber
+  UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 0, o_orderstatus FROM orders"""
+
+REVIEW_SHEET = f"""
+  WITH pairs AS ({PAIRS}),
+  el AS ({ERROR_LINES}),
+  ls AS ({LISTING}),
+  p AS (SELECT *, printf('%d / %d', row_number() OVER (PARTITION BY problem_id ORDER BY ok_id, pt_id),
+                         count(*) OVER (PARTITION BY problem_id)) AS position FROM pairs),
+  k AS (SELECT problem_id, user_id, line FROM p JOIN ls ON ls.doc_id = p.pt_id
+        UNION SELECT problem_id, user_id, line FROM p JOIN ls ON ls.doc_id = p.ok_id
+        UNION SELECT problem_id, user_id, line FROM el)
+  SELECT p.problem_id, p.user_id, p.ok_id, p.pt_id, p.position, NULL AS statement, k.line + 1 AS line_no,
+         printf('%5d  %s', k.line + 1, a.text) AS pt_listing, printf('%5d  %s', k.line + 1, b.text) AS ok_listing,
+         e.line IS NOT NULL AS suspect
+  FROM p JOIN k ON k.problem_id = p.problem_id AND k.user_id = p.user_id
+  LEFT JOIN ls a ON a.doc_id = p.pt_id AND a.line = k.line
+  LEFT JOIN ls b ON b.doc_id = p.ok_id AND b.line = k.line
+  LEFT JOIN el e ON e.problem_id = p.problem_id AND e.user_id = p.user_id AND e.line = k.line
+  UNION ALL
+  SELECT p.problem_id, p.user_id, p.ok_id, p.pt_id, p.position, s.text, 0, NULL, NULL, false
+  FROM p LEFT JOIN documents s ON s.doc_id BETWEEN 1 AND 5 AND CAST(s.doc_id AS VARCHAR) = substr(p.problem_id, 1, 1)"""
+
+RESOLVED = f"""
+      WITH pairs AS ({PAIRS}),
+      el AS ({ERROR_LINES}),
+      manual AS (SELECT t.problem_id, t.user_id, p.pt_id, t.line, 'manual' AS origin
+                 FROM ({TOGGLED}) t JOIN pairs p ON p.problem_id = t.problem_id AND p.user_id = t.user_id),
+      auto AS (SELECT e.problem_id, e.user_id, p.pt_id, e.line, 'auto' AS origin
+               FROM el e JOIN pairs p ON p.problem_id = e.problem_id AND p.user_id = e.user_id
+               WHERE NOT EXISTS (SELECT 1 FROM ({TOGGLED}) t
+                                 WHERE t.problem_id = e.problem_id AND t.user_id = e.user_id))
+      SELECT DISTINCT * FROM (SELECT * FROM manual UNION ALL SELECT * FROM auto) u"""
+
 ORACLES: dict[str, str] = {
     "submissions_scan": SUBMISSIONS,
     "ok_pt_pairs": f"SELECT *, ok_id || '.cpp' AS ok_file, pt_id || '.cpp' AS pt_file FROM ({PAIRS}) p",
@@ -263,7 +318,7 @@ ORACLES: dict[str, str] = {
         FROM ({SOURCES}) s) x WHERE rn <= 30""",
     "flatten_corpus": POOL,
     "train_size": f"""
-      SELECT count(*) AS n_total, 75 * (count(*) // 100) AS n_train FROM ({SAMPLED_TOP}) s""",
+      SELECT count(*) AS n_total, 75 * (count(*) // 100) AS n_train FROM ({SOURCES}) s""",
     "train_val_split": TRAIN_VAL,
     # trees
     "root_paths": f"""
@@ -276,6 +331,20 @@ ORACLES: dict[str, str] = {
     "subtree_paths": f"""
       SELECT doc_id, sub_ids AS path_ids, sub_len AS path_len, leaf_type, leaf_value, leaf_row
       FROM ({LEAVES}) lv WHERE sub_len > 0""",
+    "reversed_fork_paths": f"""
+      SELECT doc_id, rev_fork_ids AS path_ids, fork_len AS path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
+    "node_attributes": f"""
+      SELECT doc_id, r + 1 AS node_id, 'line' AS type, 0 AS child_count, CAST(start AS INTEGER) AS start_byte,
+             CAST(start + size AS INTEGER) AS end_byte, r AS start_row, 0 AS start_col, r AS end_row,
+             CAST(size AS INTEGER) AS end_col FROM ({FILE_LINES}) f
+      UNION ALL
+      SELECT doc_id, 0, 'file', CAST(count(*) AS INTEGER), 0, CAST(max(start + size) AS INTEGER), 0, 0,
+             CAST(count(*) - 1 AS INTEGER), CAST(arg_max(size, r) AS INTEGER) FROM ({FILE_LINES}) f GROUP BY doc_id""",
+    "terminal_values": f"SELECT doc_id, r + 1 AS node_id, 'line' AS type, line AS text FROM ({FILE_LINES}) f",
+    "node_equality": f"SELECT doc_id, child_type, child_idx, child_idx = 0 AS is_first_child FROM ({EDGES}) e",
+    "file_stem": f"SELECT doc_id, file_name, regexp_replace(file_name, '\\.[^.]*$', '') AS stem FROM ({SOURCES}) s",
+    "read_metadata": SUBMISSIONS,
+    "vocabulary_file": f"SELECT key, display FROM ({VOCAB}) v",
     "node_predicates": NODES,
     "node_children": f"SELECT * FROM ({EDGES}) e WHERE child_idx = 1",
     "tree_edges": EDGES,
@@ -295,6 +364,11 @@ ORACLES: dict[str, str] = {
              CASE WHEN per.bs IS NULL THEN CAST(o.o_orderkey AS VARCHAR)
                   ELSE CAST(o.o_orderkey AS VARCHAR) || ' ' || per.bs END AS line
       FROM orders o LEFT JOIN per ON per.doc_id = CAST(o.o_orderkey AS VARCHAR)""",
+    "run_corpus": f"""
+      WITH per AS (SELECT doc_id, string_agg(branch, ' ' ORDER BY branch) AS bs FROM ({BRANCHES}) b GROUP BY doc_id)
+      SELECT CAST(o.o_orderkey AS VARCHAR) AS doc_id, CAST(o.o_orderkey AS VARCHAR) || coalesce(' ' || per.bs, '') AS line,
+             'root_terminal|masked_identifiers|ids_hash' AS run
+      FROM orders o LEFT JOIN per ON per.doc_id = CAST(o.o_orderkey AS VARCHAR)""",
     "signature_groups": f"""
       SELECT doc_id, fork_ids || leaf_value AS signature, count(*) AS n_leaves, min(leaf_row) AS first_row
       FROM ({LEAVES}) lv GROUP BY doc_id, fork_ids || leaf_value""",
@@ -308,16 +382,16 @@ ORACLES: dict[str, str] = {
              CASE WHEN per.ls IS NULL THEN p.pt_id || '.cpp' ELSE p.pt_id || '.cpp ' || per.ls END AS label_line
       FROM ({PAIRS}) p LEFT JOIN per ON per.problem_id = p.problem_id AND per.user_id = p.user_id""",
     "toggled_lines": TOGGLED,
-    "resolved_labels": f"""
-      WITH pairs AS ({PAIRS}),
-      el AS ({ERROR_LINES}),
-      manual AS (SELECT t.problem_id, t.user_id, p.pt_id, t.line, 'manual' AS origin
-                 FROM ({TOGGLED}) t JOIN pairs p ON p.problem_id = t.problem_id AND p.user_id = t.user_id),
-      auto AS (SELECT e.problem_id, e.user_id, p.pt_id, e.line, 'auto' AS origin
-               FROM el e JOIN pairs p ON p.problem_id = e.problem_id AND p.user_id = e.user_id
-               WHERE NOT EXISTS (SELECT 1 FROM ({TOGGLED}) t
-                                 WHERE t.problem_id = e.problem_id AND t.user_id = e.user_id))
-      SELECT DISTINCT * FROM (SELECT * FROM manual UNION ALL SELECT * FROM auto) u""",
+    "resolved_labels": RESOLVED,
+    "reviewed_label_lines": f"""
+      WITH lb AS ({RESOLVED}),
+      per AS (SELECT problem_id, user_id, count(*) AS n, string_agg(CAST(line AS VARCHAR), ' ' ORDER BY line) AS ls
+              FROM lb GROUP BY problem_id, user_id)
+      SELECT p.problem_id, p.user_id, p.pt_id || '.cpp' AS pt_file, CAST(coalesce(per.n, 0) AS INTEGER) AS n_lines,
+             CASE WHEN per.ls IS NULL THEN p.pt_id || '.cpp' ELSE p.pt_id || '.cpp ' || per.ls END AS label_line
+      FROM ({PAIRS}) p JOIN ({REVIEWED}) r ON r.problem_id = p.problem_id AND r.user_id = p.user_id
+      LEFT JOIN per ON per.problem_id = p.problem_id AND per.user_id = p.user_id""",
+    "review_sheet": REVIEW_SHEET,
     "text_lines": TEXT_LINES,
     "numbered_lines": f"""
       SELECT doc_id, line + 1 AS line_no, printf('%5d  %s', line + 1, text) AS listing FROM ({TEXT_LINES}) t""",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylva.functions.text import numbered_line, split_lines, with_extension
-from sylva.operators.sampling import exact_rank
+from sylva.operators.sampling import range_rank
 
 PAIR_KEY = ["problem_id", "user_id"]
 
@@ -53,8 +53,13 @@ def resolved_labels(pairs: DataFrame, auto_lines: DataFrame, manual_lines: DataF
     return manual.unionByName(auto).select(*PAIR_KEY, "pt_id", "line", "origin").distinct()
 
 
-def label_lines(pairs: DataFrame, labels: DataFrame, ext: str = "cpp") -> DataFrame:
-    """Label file rows: ``<pt file> <l1> <l2> ...`` with lines ascending; a pair with no lines is the bare name."""
+def label_lines(pairs: DataFrame, labels: DataFrame, ext: str = "cpp", reviewed: DataFrame | None = None) -> DataFrame:
+    """Label file rows: ``<pt file> <l1> <l2> ...`` with lines ascending; a pair with no lines is the bare name.
+
+    With ``reviewed`` (``problem_id, user_id``) only those pairs get a row.
+    """
+    if reviewed is not None:
+        pairs = pairs.join(reviewed.select(*PAIR_KEY).distinct(), PAIR_KEY, "left_semi")
     per_pair = labels.groupBy(*PAIR_KEY).agg(F.array_sort(F.collect_set("line")).alias("lines"))
     j = pairs.select(*PAIR_KEY, "pt_id").join(per_pair, PAIR_KEY, "left")
     name = with_extension("pt_id", F.lit(ext))
@@ -69,38 +74,34 @@ def review_sheet(pairs: DataFrame, listings: DataFrame, error_lines: DataFrame,
     """Side-by-side review rows for every pair.
 
     ``listings`` has ``doc_id, line, text`` (0-based lines, e.g. from
-    :func:`text_lines`). Rows: position ``i / n`` of the pair in its problem,
-    the statement (``problem_id, statement``; broadcast-sized by problem count)
-    and, per line number, the PT and OK listing lines (full outer join on the
-    line) with ``suspect`` marking automatic error lines of the PT side.
+    :func:`text_lines`). Every pair has a head row (``line_no`` 0) with its
+    position ``i / n`` in the problem and the problem's statement
+    (``problem_id, statement``), then one row per line number of either side or
+    of an automatic error, which ``suspect`` marks.
     """
     base = pairs.select(*PAIR_KEY, "ok_id", "pt_id")
-    # position i / n of the pair in its problem: exact rank by (ok_id, pt_id)
-    # computed per id-prefix bucket, and the count as an aggregate, so no task
-    # holds a whole problem
-    p = exact_rank(base, ["problem_id"], "ok_id", "pt_id", prefix=2, rank="pos")
     n = base.groupBy("problem_id").agg(F.count(F.lit(1)).alias("n_pairs"))
-    p = p.join(n, "problem_id")
-    pt = listings.select(F.col("doc_id").alias("pt_id"), "line", F.col("text").alias("pt_text"))
-    ok = listings.select(F.col("doc_id").alias("ok_id"), "line", F.col("text").alias("ok_text"))
-    pt_side = p.join(pt, "pt_id")
-    ok_side = p.join(ok, "ok_id")
-    key = [*PAIR_KEY, "ok_id", "pt_id", "pos", "n_pairs", "line"]
-    both = pt_side.join(ok_side, key, "full_outer")
-    err = error_lines.select(*PAIR_KEY, "line").distinct().withColumn("suspect", F.lit(True))
-    out = both.join(err, [*PAIR_KEY, "line"], "left").withColumn("suspect", F.coalesce("suspect", F.lit(False)))
-    if statements is not None:
-        out = out.join(statements.select("problem_id", "statement"), "problem_id", "left")
-    else:
-        out = out.withColumn("statement", F.lit(None).cast("string"))
-    header = F.format_string("%d / %d", F.col("pos"), F.col("n_pairs"))
-    return out.select(*PAIR_KEY, "ok_id", "pt_id", header.alias("position"), "statement",
-                      (F.col("line") + 1).alias("line_no"),
-                      F.when(F.col("pt_text").isNotNull(), F.format_string("%5d  %s", F.col("line") + 1,
-                                                                             F.col("pt_text"))).alias("pt_listing"),
-                      F.when(F.col("ok_text").isNotNull(), F.format_string("%5d  %s", F.col("line") + 1,
-                                                                             F.col("ok_text"))).alias("ok_listing"),
-                      "suspect")
+    p = range_rank(base, ["problem_id"], ["ok_id", "pt_id"], "pos").join(n, "problem_id")
+    position = F.format_string("%d / %d", F.col("pos"), F.col("n_pairs"))
+    p = p.select(*PAIR_KEY, "ok_id", "pt_id", position.alias("position"))
+    none = F.lit(None).cast("string")
+    pt = p.join(listings.select(F.col("doc_id").alias("pt_id"), "line", F.col("text").alias("pt_text")), "pt_id")
+    ok = p.join(listings.select(F.col("doc_id").alias("ok_id"), "line", F.col("text").alias("ok_text")), "ok_id")
+    err = p.join(error_lines.select(*PAIR_KEY, "line"), PAIR_KEY)
+    key = [*PAIR_KEY, "ok_id", "pt_id", "position", "line"]
+    sides = (pt.select(*key, "pt_text", none.alias("ok_text"), F.lit(False).alias("suspect"))
+             .unionByName(ok.select(*key, none.alias("pt_text"), "ok_text", F.lit(False).alias("suspect")))
+             .unionByName(err.select(*key, none.alias("pt_text"), none.alias("ok_text"), F.lit(True).alias("suspect"))))
+    rows = sides.groupBy(*key).agg(F.max("pt_text").alias("pt_text"), F.max("ok_text").alias("ok_text"),
+                                   F.max("suspect").alias("suspect"))
+    number = F.col("line") + 1
+    rows = rows.select(*PAIR_KEY, "ok_id", "pt_id", "position", none.alias("statement"), number.alias("line_no"),
+                       *[F.when(F.col(c).isNotNull(), numbered_line(number, F.col(c))).alias(c.replace("text", "listing"))
+                         for c in ("pt_text", "ok_text")], "suspect")
+    heads = p if statements is None else p.join(statements.select("problem_id", "statement"), "problem_id", "left")
+    return rows.unionByName(heads.select(
+        *PAIR_KEY, "ok_id", "pt_id", "position", F.col("statement") if statements is not None else none.alias("statement"),
+        F.lit(0).alias("line_no"), none.alias("pt_listing"), none.alias("ok_listing"), F.lit(False).alias("suspect")))
 
 
 def tree_listing(nodes: DataFrame) -> DataFrame:

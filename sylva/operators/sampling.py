@@ -4,14 +4,11 @@ Random choices are reproducible: a row's rank is the order of
 ``md5('<seed>:<salt>:<id>')`` (ties by id), the same in Spark and in any SQL
 engine with md5.
 
-Exact "first n by rank" per group never sorts a whole group in one task. The
-rank key is a hex string, so its first ``prefix`` characters split each group
-into ordered buckets. A small table of bucket counts (one row per non-empty
-bucket) gives the number of rows before each bucket; buckets that end before
-the limit are kept whole and buckets that start after it are dropped, both
-without sorting, and only the one bucket that straddles the limit is ranked,
-inside (group, bucket) partitions. A group holding a third of all rows is cut
-into ``16 ** prefix`` pieces this way.
+"First n per group" for a small n is a ``row_number`` filter, which Spark
+plans as a group limit: every map task keeps n rows of a group before the
+shuffle. A rank over a whole group or table (:func:`range_rank`) is taken in
+ranges of the order itself, so no task sorts more than its own range, whatever
+the keys look like.
 """
 
 from __future__ import annotations
@@ -19,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylva.session import write_table
+
 
 def rank_key(seed: int | str, salt: str, id_col: str | Column) -> Column:
     """Seeded pseudo-random order key: ``md5('<seed>:<salt>:<id>')``."""
@@ -48,64 +47,33 @@ def top_problems(counts: DataFrame, n: int | None = None, distinct_counts: bool
     return c.orderBy(F.desc("n_files"), F.asc("problem_id")).limit(n)
 
 
-def _bucket(key: str, prefix: int) -> Column:
-    return F.substring(F.col(key), 1, prefix)
-
-
-def bucket_counts(df: DataFrame, group_cols: list[str], key: str, prefix: int = 4) -> DataFrame:
-    """Rows per (group, key-prefix bucket), with the rows of earlier buckets of the group."""
-    counts = df.groupBy(*group_cols, _bucket(key, prefix).alias("_b")).agg(F.count(F.lit(1)).alias("_cnt"))
-    return with_offsets(counts, group_cols)
-
-
-def with_offsets(counts: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Add ``_before`` = rows in earlier buckets of the same group (tiny window over the bucket table)."""
-    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy("_b")
-    before = F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return counts.withColumn("_before", F.coalesce(before, F.lit(0)))
+def first_n(df: DataFrame, group_cols: list[str], order: list[str | Column], n: int) -> DataFrame:
+    """The first ``n`` rows of every group in the given order; ``n`` is meant to be small (see module text)."""
+    w = Window.partitionBy(*group_cols).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def rank_flag(df: DataFrame, counts: DataFrame, group_cols: list[str], key: str, tie: str,
-              prefix: int = 4, flag: str = "_in") -> DataFrame:
-    """Add boolean ``flag``: the row's rank in its group (by ``key``, ``tie``) is within ``_limit``.
+def range_rank(df: DataFrame, group_cols: list[str], order_cols: list[str], rank: str = "rank") -> DataFrame:
+    """Add the exact 1-based rank of each row in its group (or in the whole table, without group columns).
 
-    ``counts`` is a :func:`bucket_counts` table with a ``_limit`` column.
+    The rows are range-sorted by (group, order) and written once with their
+    place in the range; a rank is the place in the range's piece of the group
+    plus the sizes of earlier pieces. There is one piece per group and range.
     """
-    d = df.withColumn("_b", _bucket(key, prefix))
-    c = counts.select(*[F.col(g).alias(f"_g_{i}") for i, g in enumerate(group_cols)],
-                      F.col("_b").alias("_cb"), "_cnt", "_before", "_limit")
-    cond = [d[g].eqNullSafe(c[f"_g_{i}"]) for i, g in enumerate(group_cols)] + [d["_b"] == c["_cb"]]
-    j = d.join(c, cond).drop(*[f"_g_{i}" for i in range(len(group_cols))], "_cb")
-    edge = (F.col("_before") < F.col("_limit")) & (F.col("_before") + F.col("_cnt") > F.col("_limit"))
-    plain = j.where(~edge).withColumn(flag, F.col("_before") + F.col("_cnt") <= F.col("_limit"))
-    w = Window.partitionBy(*group_cols, "_b").orderBy(key, tie)
-    ranked = (j.where(edge)
-              .withColumn(flag, F.col("_before") + F.row_number().over(w) <= F.col("_limit")))
-    return plain.unionByName(ranked).drop("_b", "_cnt", "_before", "_limit")
-
-
-def exact_rank(df: DataFrame, group_cols: list[str], key: str, tie: str, prefix: int = 4,
-               rank: str = "rank") -> DataFrame:
-    """Add the exact 1-based rank of each row in its group by (``key``, ``tie``).
-
-    Rows are sorted only inside their (group, key-prefix bucket); the bucket
-    offsets come from the small bucket-count table.
-    """
-    counts = bucket_counts(df, group_cols, key, prefix)
-    d = df.withColumn("_b", _bucket(key, prefix))
-    c = counts.select(*[F.col(g).alias(f"_g_{i}") for i, g in enumerate(group_cols)],
-                      F.col("_b").alias("_cb"), "_before")
-    cond = [d[g].eqNullSafe(c[f"_g_{i}"]) for i, g in enumerate(group_cols)] + [d["_b"] == c["_cb"]]
-    j = d.join(c, cond).drop(*[f"_g_{i}" for i in range(len(group_cols))], "_cb")
-    w = Window.partitionBy(*group_cols, "_b").orderBy(key, tie)
-    return j.withColumn(rank, F.col("_before") + F.row_number().over(w)).drop("_b", "_before")
-
-
-def first_n_by_rank(df: DataFrame, group_cols: list[str], key: str, tie: str, n: int,
-                    prefix: int = 4) -> DataFrame:
-    """Rows whose rank in their group (by ``key``, then ``tie``) is at most ``n``."""
-    counts = bucket_counts(df, group_cols, key, prefix).withColumn("_limit", F.lit(n).cast("long"))
-    return rank_flag(df, counts, group_cols, key, tie, prefix).where(F.col("_in")).drop("_in")
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*group_cols, *order_cols]
+    t = write_table(df.repartitionByRange(n, *by).sortWithinPartitions(*by)
+                    .withColumn("_place", F.monotonically_increasing_id()), "rank")
+    t = t.withColumn("_part", F.shiftright("_place", 33))
+    pieces = t.groupBy("_part", *group_cols).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    w = (Window.partitionBy(*group_cols) if group_cols else Window.partitionBy()).orderBy("_part")
+    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    pieces = pieces.select(F.col("_part").alias("_p"), "_first", before.alias("_before"),
+                           *[F.col(g).alias(f"_g_{i}") for i, g in enumerate(group_cols)])
+    cond = [t["_part"] == pieces["_p"], *[t[g].eqNullSafe(pieces[f"_g_{i}"]) for i, g in enumerate(group_cols)]]
+    return (t.join(pieces, cond)
+            .withColumn(rank, (F.col("_before") + F.col("_place") - F.col("_first") + 1).cast("long"))
+            .drop("_place", "_part", "_p", "_first", "_before", *[f"_g_{i}" for i in range(len(group_cols))]))
 
 
 def sample_per_problem(sources: DataFrame, n: int | None = None, seed: int = 42) -> DataFrame:
@@ -114,8 +82,13 @@ def sample_per_problem(sources: DataFrame, n: int | None = None, seed: int = 42)
         return sources
     if n < 0:
         raise ValueError("n must be >= 0")
-    keyed = sources.withColumn("_k", rank_key(seed, "sample", "doc_id"))
-    return first_n_by_rank(keyed, ["problem_id"], "_k", "doc_id", n).drop("_k")
+    return first_n(sources, ["problem_id"], [rank_key(seed, "sample", "doc_id"), "doc_id"], n)
+
+
+def sampled_files(counts: DataFrame, top: DataFrame, n: int | None = None) -> int:
+    """Number of files that sampling ``n`` per problem of ``top`` takes, from the counts alone."""
+    taken = F.col("n_files") if n is None else F.least(F.col("n_files"), F.lit(n))
+    return counts.join(top.select("problem_id"), "problem_id", "left_semi").agg(F.sum(taken)).first()[0] or 0
 
 
 def flatten_corpus(sampled: DataFrame, counts: DataFrame) -> DataFrame:
@@ -142,30 +115,18 @@ def train_size(total: Column, split: int, exact: bool = False) -> Column:
     return F.lit(split).cast("long") * F.floor(total / 100).cast("long")
 
 
-def train_val_split(pool: DataFrame, sampled: DataFrame | None = None, split: int = 75, seed: int = 42,
+def train_val_split(pool: DataFrame, total: int | None = None, split: int = 75, seed: int = 42,
                     exact: bool = False) -> DataFrame:
     """Mark each pool file ``train`` or ``val``.
 
-    The train size is computed from the number of ``sampled`` files (before
-    name clashes were resolved; defaults to the pool) and the train files are
-    the first ones by a seeded rank over the pool. Lazy: the total rides in
-    the bucket table (a running sum over at most ``16**4`` rows).
+    The train size is computed from ``total``, the number of sampled files
+    before name clashes were resolved (defaults to the pool's), and the train
+    files are the first ones by a seeded rank over the pool.
     """
     if not 0 <= split <= 100:
         raise ValueError("split must be in 0..100")
-    src = pool if sampled is None else sampled
-    key = rank_key(seed, "split", "doc_id")
-    keyed = pool.withColumn("_k", key)
-    tagged = (keyed.select(_bucket("_k", 4).alias("_b"), F.lit(1).alias("_p"), F.lit(0).alias("_s"))
-              .unionByName(src.select(_bucket_expr(key, 4).alias("_b"), F.lit(0).alias("_p"),
-                                      F.lit(1).alias("_s"))))
-    counts = tagged.groupBy("_b").agg(F.sum("_p").cast("long").alias("_cnt"), F.sum("_s").cast("long").alias("_s"))
-    counts = with_offsets(counts, [])
-    total = F.sum("_s").over(Window.partitionBy())
-    counts = counts.withColumn("_limit", train_size(total, split, exact).cast("long")).drop("_s")
-    out = rank_flag(keyed, counts, [], "_k", "doc_id")
-    return out.withColumn("split", F.when(F.col("_in"), F.lit("train")).otherwise(F.lit("val"))).drop("_in", "_k")
-
-
-def _bucket_expr(key: Column, prefix: int) -> Column:
-    return F.substring(key, 1, prefix)
+    ranked = range_rank(pool.withColumn("_k", rank_key(seed, "split", "doc_id")), [], ["_k", "doc_id"], "_rank")
+    n = total if total is not None else ranked.count()
+    n_train = split * n // 100 if exact else split * (n // 100)
+    return (ranked.withColumn("split", F.when(F.col("_rank") <= n_train, F.lit("train")).otherwise(F.lit("val")))
+            .drop("_rank", "_k"))

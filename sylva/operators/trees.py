@@ -165,9 +165,10 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
                            F.lit(True).alias("_found"), "top", "lost", *folds)
     joined = leaves.join(parents, ["doc_id", "parent_id", "_block"], "left")
     orphan = (F.col("parent_id").isNotNull() & F.col("_found").isNull()) | F.coalesce("lost", F.lit(False))
-    joined = joined.where(F.when(orphan, F.raise_error(F.format_string(
-        "node %s of document %s has no parent row above it", F.col("node_id").cast("string"), F.col("doc_id"))).cast("boolean"))
-        .otherwise(F.lit(True)))
+    lost = F.raise_error(F.format_string("node %s of document %s has no parent row above it",
+                                         F.col("node_id").cast("string"), F.col("doc_id")))
+    # the check is part of a value, so that no filter on that value can pass it by
+    joined = joined.withColumn("top", F.when(orphan, lost.cast("int")).otherwise(F.col("top")))
     keep = [c for c in joined.columns if c not in (*leaf_cols, *folds)]
     below = joined.where(F.col("top").isNotNull()).select(
         *keep, *[f.join(F.col(k), F.col(f"_own_{k}")).alias(k) for k, f in folds.items()])

@@ -11,19 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sylva.functions.text import file_stem
 from sylva.operators import contexts, diff, labels, meta, sampling, trees
 from sylva.plans import diff_labels, extract_contexts, preprocess_corpus, subtree_start
+from sylva.session import new_table_path
+from sylva.sinks import write_vocabulary_text
 from sylva.sources import fixtures as fx
-from sylva.sources.html import html_leaf_paths, html_nodes
+from sylva.sources.corpus import read_metadata, read_vocabulary
+from sylva.sources.html import html_leaf_paths, parser_for
 
 # Parameters of the registered runs (fixed values).
-N_PROBLEMS = 10
-N_FILES = 30
+N_PROBLEMS = 10   # of the top-problems report
+N_FILES = 30      # of the per-problem sample
 SPLIT = 75
 SEED = 42
 N_PAIRS = 100
-REVIEW_PROBLEM = "1-URGENT"   # problem of the labelling session the click events belong to
-N_REVIEW_PAIRS = 1000         # pairs per problem shown for review (the review tool's default)
+ADHOC_PROBLEM = "1-URGENT"
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,13 +93,13 @@ def q_adhoc_sql(spark, d):
         _subs(spark, d),
         "SELECT submission_id, problem_id, user_id, language, status FROM submissions "
         "WHERE status = :status AND problem_id = :problem",
-        args={"status": "PT", "problem": REVIEW_PROBLEM})
+        args={"status": "PT", "problem": ADHOC_PROBLEM})
 
 
 # --- corpus selection -----------------------------------------------------------------------
 
 def _pre(spark, d):
-    return preprocess_corpus(_sources(spark, d), N_PROBLEMS, N_FILES, SPLIT, SEED)
+    return preprocess_corpus(_sources(spark, d), split=SPLIT, seed=SEED)
 
 
 def q_problem_counts(spark, d):
@@ -120,13 +123,23 @@ def q_flatten_corpus(spark, d):
 
 
 def q_train_size(spark, d):
-    r = _pre(spark, d)
-    total = r.sampled.agg(F.count(F.lit(1)).alias("n_total"))
+    total = sampling.problem_counts(_sources(spark, d)).agg(F.sum("n_files").alias("n_total"))
     return total.select("n_total", sampling.train_size(F.col("n_total"), SPLIT).alias("n_train"))
 
 
 def q_train_val_split(spark, d):
-    return _pre(spark, d).split
+    return _pre(spark, d).split.select("doc_id", "problem_id", "file_name", "split", F.md5("text").alias("text_md5"))
+
+
+def q_file_stem(spark, d):
+    return _sources(spark, d).select("doc_id", "file_name", file_stem("file_name").alias("stem"))
+
+
+def q_read_metadata(spark, d):
+    # the metadata table as a file of its own, read back by position
+    path = new_table_path(spark, "metadata")
+    _subs(spark, d).toDF("a", "b", "c", "d", "e").write.option("header", "true").csv(path)
+    return read_metadata(spark, path, "csv", header="true")
 
 
 # --- trees ----------------------------------------------------------------------------------
@@ -141,17 +154,26 @@ def _summary(enc: DataFrame, ids: str, n: str, leaf_type=None) -> DataFrame:
                       "leaf_value", "leaf_row")
 
 
+def _walk(spark, d, ids: str, n: str, leaf_type=None, start=None) -> DataFrame:
+    only = [ids, n, "start_type"] if leaf_type is not None else [ids, n]
+    return _summary(trees.encoded_paths(_nodes(spark, d), start=start, only=only), ids, n, leaf_type)
+
+
 def q_fork_paths(spark, d):
-    return _summary(trees.encoded_paths(_nodes(spark, d)), "fork_ids", "fork_len")
+    return _walk(spark, d, "fork_ids", "fork_len")
 
 
 def q_reversed_paths(spark, d):
     # the last element of a reversed path is the start node
-    return _summary(trees.encoded_paths(_nodes(spark, d)), "reversed_ids", "path_len", F.lit("order_unit"))
+    return _walk(spark, d, "reversed_ids", "path_len", F.col("start_type"))
+
+
+def q_reversed_fork_paths(spark, d):
+    return _walk(spark, d, "reversed_fork_ids", "fork_len")
 
 
 def q_subtree_paths(spark, d):
-    return _summary(trees.encoded_paths(_nodes(spark, d), start=subtree_start("part_ref")), "path_ids", "path_len")
+    return _walk(spark, d, "path_ids", "path_len", start=subtree_start("part_ref"))
 
 
 def q_node_predicates(spark, d):
@@ -167,6 +189,26 @@ def q_tree_edges(spark, d):
     return trees.tree_edges(_nodes(spark, d)).select("doc_id", "parent_type", "child_idx", "child_type")
 
 
+def q_node_attributes(spark, d):
+    return fx.line_trees_from_documents(_t(spark, d, "documents")).select(
+        "doc_id", "node_id", "type", "child_count", "start_byte", "end_byte", "start_row", "start_col", "end_row", "end_col")
+
+
+def q_terminal_values(spark, d):
+    docs = _t(spark, d, "documents")
+    return trees.terminal_values(fx.line_trees_from_documents(docs), _sources(spark, d))
+
+
+def q_node_equality(spark, d):
+    # is a node the same as its parent's first child?
+    edges = trees.tree_edges(_nodes(spark, d))
+    first = edges.where("child_idx = 0").select(F.col("doc_id").alias("d"), F.col("parent_id").alias("p"),
+                                                F.col("node_id").alias("first_id"))
+    both = edges.join(first, (F.col("doc_id") == F.col("d")) & (F.col("parent_id") == F.col("p")))
+    same = trees.same_node(F.col("doc_id"), F.col("node_id"), F.col("d"), F.col("first_id"))
+    return both.select("doc_id", "child_type", "child_idx", same.alias("is_first_child"))
+
+
 def q_tree_dot(spark, d):
     return trees.dot_graph(_nodes(spark, d))
 
@@ -202,8 +244,21 @@ def q_corpus_lines(spark, d):
     return _extract(spark, d).corpus
 
 
+def q_run_corpus(spark, d):
+    # corpus lines with the name of the run that made them
+    run = extract_contexts(_nodes(spark, d), _order_docs(spark, d), order="sorted")
+    return run.corpus.select("doc_id", "line", F.lit(run.name).alias("run"))
+
+
+def q_vocabulary_file(spark, d):
+    # the vocabulary file, written and parsed back
+    path = new_table_path(spark, "vocabulary")
+    write_vocabulary_text(_extract(spark, d).vocabulary, path)
+    return read_vocabulary(spark, f"{path}/records")
+
+
 def q_signature_groups(spark, d):
-    return diff.signature_groups(trees.encoded_paths(_nodes(spark, d)))
+    return diff.signature_groups(trees.encoded_paths(_nodes(spark, d), only=["fork_ids"]))
 
 
 # --- diff and labels ------------------------------------------------------------------------
@@ -217,13 +272,22 @@ def q_label_lines(spark, d):
     return r.label_rows
 
 
+def _clicks(spark, d):
+    return fx.clicks_from_events(_t(spark, d, "events"))
+
+
 def q_toggled_lines(spark, d):
-    return labels.toggled_lines(fx.clicks_from_events(_t(spark, d, "events"), REVIEW_PROBLEM))
+    return labels.toggled_lines(_clicks(spark, d))
 
 
 def q_resolved_labels(spark, d):
-    r = diff_labels(_subs(spark, d), _nodes(spark, d), fx.clicks_from_events(_t(spark, d, "events"), REVIEW_PROBLEM))
-    return r.labels
+    return diff_labels(_subs(spark, d), _nodes(spark, d), _clicks(spark, d)).labels
+
+
+def q_reviewed_label_lines(spark, d):
+    # clicks to label file in one chain, for the reviewed pairs
+    reviewed = fx.reviewed_from_events(_t(spark, d, "events"))
+    return diff_labels(_subs(spark, d), _nodes(spark, d), _clicks(spark, d), reviewed=reviewed).label_rows
 
 
 def q_text_lines(spark, d):
@@ -235,22 +299,22 @@ def q_numbered_lines(spark, d):
 
 
 def q_review_sheet(spark, d):
-    nodes = _nodes(spark, d)
-    pairs = meta.ok_pt_pairs(_subs(spark, d), limit=N_REVIEW_PAIRS)
-    el = diff.error_lines(pairs, nodes)
-    return labels.review_sheet(pairs, labels.tree_listing(nodes), el)
+    nodes, pairs = _nodes(spark, d), _pairs(spark, d)
+    paired = nodes.join(diff.pair_documents(pairs).select("doc_id").distinct(), "doc_id", "left_semi")
+    return labels.review_sheet(pairs, labels.tree_listing(paired), diff.error_lines(pairs, nodes),
+                               fx.statements_from_documents(_t(spark, d, "documents")))
 
 
 # --- parse job ------------------------------------------------------------------------------
 
 def q_html_nodes(spark, d):
-    return html_nodes(_t(spark, d, "pages"))
+    return parser_for("html")[0](_t(spark, d, "pages"))
 
 
-def q_terminal_values(spark, d):
+def q_html_terminal_values(spark, d):
     pages = _t(spark, d, "pages")
     src = pages.select(F.col("page_id").cast("string").alias("doc_id"), F.col("html").alias("text"))
-    return trees.terminal_values(html_nodes(pages), src)
+    return trees.terminal_values(parser_for("html")[0](pages), src)
 
 
 def q_html_branches(spark, d):

@@ -54,6 +54,11 @@ def _table_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/sylva-tables"
 
 
+def new_table_path(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the shared folder for a file or table that one job writes and reads back."""
+    return f"{_table_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
 def write_table(df: DataFrame, tag: str = "table") -> DataFrame:
     """Write ``df`` as a Parquet table to the shared folder and read it back.
 
@@ -61,7 +66,7 @@ def write_table(df: DataFrame, tag: str = "table") -> DataFrame:
     executor. :func:`drop_tables` deletes all tables of the application.
     """
     spark = df.sparkSession
-    path = f"{_table_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = new_table_path(spark, tag)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.sources.corpus import VOCAB_MARKER
+from sylva.sources.corpus import VOCAB_MARKER, read_vocabulary
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
@@ -17,7 +17,7 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_split(split_df: DataFrame, path: str) -> None:
-    """Train/val folders: one Parquet table partitioned by ``split``."""
+    """Train/val folders: one Parquet table partitioned by ``split``, with the files' texts if the table has them."""
     write_parquet(split_df, path, ["split"])
 
 
@@ -32,14 +32,14 @@ def vocabulary_records(vocab: DataFrame) -> DataFrame:
 
 
 def write_vocabulary_text(vocab: DataFrame, path: str) -> None:
-    """Vocabulary mapping file: the entry count on the first line, then one record per entry.
+    """Vocabulary mapping: one record per entry in ``<path>/records``, the entry count in ``<path>/count``.
 
-    The count and the records are one DataFrame (the count row sorts first),
-    written as a single ordered text output.
+    The records are written first and counted from what was written, so the vocabulary is computed once.
     """
-    header = vocab.agg(F.count(F.lit(1)).cast("string").alias("value")).withColumn("_o", F.lit(0))
-    body = vocabulary_records(vocab).withColumn("_o", F.lit(1))
-    header.unionByName(body).orderBy("_o", "value").drop("_o").write.mode("overwrite").text(path)
+    records = f"{path.rstrip('/')}/records"
+    vocabulary_records(vocab).write.mode("overwrite").text(records)
+    written = read_vocabulary(vocab.sparkSession, records)
+    written.agg(F.count(F.lit(1)).cast("string").alias("value")).write.mode("overwrite").text(f"{path.rstrip('/')}/count")
 
 
 def write_labels_text(label_rows: DataFrame, path: str) -> None:

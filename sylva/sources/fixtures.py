@@ -139,25 +139,56 @@ def nodes_from_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -
     )
 
 
-def clicks_from_events(events: DataFrame, problem_id: str = "1-URGENT") -> DataFrame:
-    """Reviewer clicks of one labelling session (one problem, as in a review run).
+# problems of the fixture in the order that click events are dealt to them (fixed values)
+PROBLEMS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+def clicks_from_events(events: DataFrame) -> DataFrame:
+    """Reviewer clicks: user ``u`` reviews the problem with number ``u mod 5``.
 
     A ``click`` event of user ``u`` with value ``v`` is a click on the 0-based
     line ``trunc(v)`` of the PT listing of user ``u``'s pair.
     """
+    problem = F.element_at(F.array(*[F.lit(p) for p in PROBLEMS]), (F.col("user_id") % len(PROBLEMS) + 1).cast("int"))
     return (events.where(F.col("event_type") == "click")
-            .select(F.lit(problem_id).alias("problem_id"),
+            .select(problem.alias("problem_id"),
                     F.col("user_id").cast("string").alias("user_id"),
                     F.col("value").cast("int").alias("line"),
                     F.col("ts")))
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All contract tables of one scale factor, lazily."""
-    orders = load(spark, sf_dir, "orders")
-    return {
-        "submissions": submissions_from_orders(orders),
-        "sources": sources_from_documents(load(spark, sf_dir, "documents")),
-        "nodes": nodes_from_orders(orders, load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "part")),
-        "clicks": clicks_from_events(load(spark, sf_dir, "events")),
-    }
+def reviewed_from_events(events: DataFrame) -> DataFrame:
+    """Pairs that a reviewer has opened: those of every user with some event, in the user's problem."""
+    return clicks_from_events(events.withColumn("event_type", F.lit("click"))).select("problem_id", "user_id").distinct()
+
+
+def statements_from_documents(documents: DataFrame) -> DataFrame:
+    """Problem statements: problem number ``k`` has the text of document ``k``."""
+    problems = F.array(*[F.lit(p) for p in PROBLEMS])
+    return (documents.where(F.col("doc_id").between(1, len(PROBLEMS)))
+            .select(F.element_at(problems, F.col("doc_id").cast("int")).alias("problem_id"), F.col("text").alias("statement")))
+
+
+def line_trees_from_documents(documents: DataFrame) -> DataFrame:
+    """One tree per text: a root with one leaf per line, with real byte and row ranges (``nodes`` contract)."""
+    text = F.col("text")
+    lines = (documents.where(text.isNotNull()).select(F.col("doc_id").cast("string").alias("doc_id"), F.posexplode(
+        F.split(text, "\n", -1)).alias("row", "line")))
+    size = F.octet_length("line")
+    start = F.coalesce(F.sum(size + 1).over(
+        Window.partitionBy("doc_id").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    leaves = lines.withColumn("start", start).select(
+        "doc_id", (F.col("row") + 1).alias("node_id"), F.lit(0).alias("parent_id"), F.col("row").alias("child_idx"),
+        F.lit(2).alias("symbol"), F.lit("line").alias("type"), F.lit(True).alias("is_named"), F.lit(False).alias("is_extra"),
+        F.lit(0).alias("child_count"), F.col("start").cast("int").alias("start_byte"),
+        (F.col("start") + size).cast("int").alias("end_byte"), F.col("row").alias("start_row"), F.lit(0).alias("start_col"),
+        F.col("row").alias("end_row"), size.cast("int").alias("end_col"), F.col("line").alias("value"))
+    n = F.size(F.split(text, "\n", -1))
+    roots = documents.where(text.isNotNull()).select(
+        F.col("doc_id").cast("string").alias("doc_id"), F.lit(0).alias("node_id"), F.lit(None).cast("int").alias("parent_id"),
+        F.lit(0).alias("child_idx"), F.lit(1).alias("symbol"), F.lit("file").alias("type"), F.lit(True).alias("is_named"),
+        F.lit(False).alias("is_extra"), n.alias("child_count"), F.lit(0).alias("start_byte"),
+        F.octet_length(text).cast("int").alias("end_byte"), F.lit(0).alias("start_row"), F.lit(0).alias("start_col"),
+        (n - 1).alias("end_row"), F.octet_length(F.element_at(F.split(text, "\n", -1), -1)).cast("int").alias("end_col"),
+        F.lit(None).cast("string").alias("value"))
+    return leaves.unionByName(roots)

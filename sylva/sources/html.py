@@ -1,7 +1,7 @@
 """Text -> tree parse job for HTML pages (``mapInArrow`` + the standard library parser).
 
-This is the only step that runs Python workers. Each page is parsed inside
-its task, so a task holds one page at a time; Spark spreads the pages.
+Each page is parsed inside its task; a task holds the nodes of one page and
+at most ``ROWS_PER_BATCH`` finished rows.
 
 Tree rules:
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -55,10 +56,8 @@ class _TreeBuilder(HTMLParser):
         for ln in lines[:-1]:
             self.line_start.append(self.line_start[-1] + len(ln) + 1)
         # UTF-8 byte offset of every character position (and the end).
-        acc = [0]
-        for ch in text:
-            acc.append(acc[-1] + len(ch.encode("utf-8", "surrogatepass")))
-        self.byte_at = acc
+        self.byte_at = range(len(text) + 1) if text.isascii() else [
+            0, *accumulate(len(ch.encode("utf-8", "surrogatepass")) for ch in text)]
         self.nodes: list[dict] = []
         self.stack: list[int] = []
         self._pending: int | None = None  # text node whose raw end is the next event's start
@@ -138,6 +137,11 @@ class _TreeBuilder(HTMLParser):
         self._close_text(pos)
         self._add("#comment", self.stack[-1], pos, f"<!--{data}-->", value=data, extra=True)
 
+    def _close_at_markup(self, *_) -> None:
+        self._close_text(self._char_pos())
+
+    handle_pi = handle_decl = unknown_decl = _close_at_markup  # no nodes, but they end a text
+
     def finish(self) -> list[dict]:
         self.close()
         n = len(self.text)
@@ -162,18 +166,14 @@ def parse_tree(text: str) -> list[dict]:
     return nodes
 
 
-def _leaf_paths(nodes: list[dict]) -> list[tuple[int, list[dict], str | None, int]]:
-    out = []
-    paths: dict[int, list[dict]] = {}
-    for nd in nodes:  # preorder: a parent's path is ready before its children
-        elem = {k: nd[k] for k in PATH_NODE_FIELDS}
-        parent = nd["parent_id"]
-        path = [elem] if parent is None else paths[parent] + [elem]
+def _leaf_paths(nodes: list[dict]) -> Iterator[tuple[int, list[dict], str | None, int]]:
+    path: list[dict] = []  # from the root to the current node: preorder needs one stack
+    for nd in nodes:
+        while path and path[-1]["node_id"] != nd["parent_id"]:
+            path.pop()
+        path.append({k: nd[k] for k in PATH_NODE_FIELDS})
         if nd["child_count"] == 0:
-            out.append((nd["node_id"], path, nd["value"], nd["start_row"]))
-        else:
-            paths[nd["node_id"]] = path
-    return out
+            yield nd["node_id"], list(path), nd["value"], nd["start_row"]
 
 
 _NODES_ARROW = pa.schema([
@@ -195,56 +195,47 @@ _LEAF_ARROW = pa.schema([
 ])
 
 
-def _nodes_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+ROWS_PER_BATCH = 4096
+
+
+def _in_batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while chunk := list(islice(rows, ROWS_PER_BATCH)):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(col, f.type) for col, f in zip(zip(*chunk, strict=True), schema, strict=True)], schema=schema)
+
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
     for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        texts = batch.column("text").to_pylist()
-        rows: dict[str, list] = {f.name: [] for f in _NODES_ARROW}
-        for doc_id, text in zip(ids, texts):
-            for nd in parse_tree(text):
-                rows["doc_id"].append(doc_id)
-                for k in _NODES_ARROW.names[1:]:
-                    rows[k].append(nd[k])
-        yield pa.RecordBatch.from_pydict(rows, schema=_NODES_ARROW)
+        for i in range(batch.num_rows):
+            yield batch.column("doc_id")[i].as_py(), batch.column("text")[i].as_py()
+
+
+def _nodes_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = _NODES_ARROW.names[1:]
+    yield from _in_batches(((doc_id, *(nd[k] for k in names)) for doc_id, text in _pages(batches)
+                            for nd in parse_tree(text)), _NODES_ARROW)
 
 
 def _leaf_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("doc_id").to_pylist()
-        texts = batch.column("text").to_pylist()
-        rows: dict[str, list] = {f.name: [] for f in _LEAF_ARROW}
-        for doc_id, text in zip(ids, texts):
-            for leaf_ord, path, value, row in _leaf_paths(parse_tree(text)):
-                rows["doc_id"].append(doc_id)
-                rows["leaf_ord"].append(leaf_ord)
-                rows["path"].append(path)
-                rows["leaf_value"].append(value)
-                rows["leaf_row"].append(row)
-        yield pa.RecordBatch.from_pydict(rows, schema=_LEAF_ARROW)
-
-
-def _input(pages: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Id and text of each page, spread over at least the default parallelism.
-
-    A small input in few files (one Parquet row group reads as one task) would
-    parse on one core; it is spread round-robin. An input that already has
-    as many splits as cores is left as it is (no shuffle of the corpus).
-    """
+    yield from _in_batches(((doc_id, *leaf) for doc_id, text in _pages(batches)
+                            for leaf in _leaf_paths(parse_tree(text))), _LEAF_ARROW)
+
+
+def _input(pages: DataFrame, id_col: str, text_col: str, spread: int | None) -> DataFrame:
+    """Id and text of each page, dealt to ``spread`` tasks if that is given (one input file may be one task)."""
     df = pages.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    return df.repartition(spread) if spread else df
 
 
-def html_nodes(pages: DataFrame, id_col: str = "page_id", text_col: str = "html") -> DataFrame:
+def html_nodes(pages: DataFrame, id_col: str = "page_id", text_col: str = "html", spread: int | None = None) -> DataFrame:
     """Parse every page into ``nodes`` rows."""
-    return _input(pages, id_col, text_col).mapInArrow(_nodes_batches, NODES)
+    return _input(pages, id_col, text_col, spread).mapInArrow(_nodes_batches, NODES)
 
 
-def html_leaf_paths(pages: DataFrame, id_col: str = "page_id", text_col: str = "html") -> DataFrame:
-    """Parse every page and emit its root-to-terminal paths directly (one stack per page, linear)."""
-    return _input(pages, id_col, text_col).mapInArrow(_leaf_batches, LEAF_PATHS)
+def html_leaf_paths(pages: DataFrame, id_col: str = "page_id", text_col: str = "html",
+                    spread: int | None = None) -> DataFrame:
+    """Parse every page and emit its root-to-terminal paths directly, with one stack per page."""
+    return _input(pages, id_col, text_col, spread).mapInArrow(_leaf_batches, LEAF_PATHS)
 
 
 # Ship this module's code with the task (pickled by value), so Python workers

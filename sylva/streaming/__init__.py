@@ -36,7 +36,7 @@ def toggle_state(clicks: DataFrame) -> DataFrame:
     return counts.withColumn("selected", F.col("n_clicks") % 2 == 1)
 
 
-def start_toggle_query(clicks: DataFrame, checkpoint: str, sink: str = "memory", query_name: str = "toggles",
+def start_toggle_query(clicks: DataFrame, checkpoint: str, sink: str = "noop", query_name: str = "toggles",
                        trigger_once: bool = False, **sink_options):
     """Start the toggle-state query in ``update`` mode with a checkpoint (restartable after failures)."""
     w = (toggle_state(clicks).writeStream.outputMode("update").format(sink)

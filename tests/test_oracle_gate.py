@@ -9,7 +9,8 @@ from tests.conftest import SF001
 
 GATE = ["error_lines", "label_lines", "resolved_labels", "branches", "extract_contexts", "vocabulary",
         "signature_groups", "train_val_split", "flatten_corpus", "ok_pt_candidates", "ok_pt_pairs_limited",
-        "tree_dot", "text_lines"]
+        "tree_dot", "text_lines", "review_sheet", "reviewed_label_lines", "terminal_values", "node_attributes",
+        "reversed_fork_paths", "vocabulary_file", "read_metadata", "node_equality", "run_corpus"]
 
 
 @pytest.fixture(scope="module")

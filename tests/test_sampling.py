@@ -12,15 +12,26 @@ def _sources(spark):
     return fx.sources_from_documents(fx.load(spark, SF001, "documents"))
 
 
-def test_first_n_by_rank_equals_brute_force_with_a_hot_group(spark):
-    # one group holds most rows; buckets split it, the result equals a plain ranking
+def test_first_n_is_one_scan_and_one_exchange(spark):
+    df = sampling.sample_per_problem(_sources(spark), 30, 42)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "WindowGroupLimit" in plan
+
+
+def test_first_n_equals_brute_force_with_a_hot_group(spark):
     rows = [("hot" if i % 10 else f"g{i % 7}", f"id{i}") for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, id string").withColumn("k", F.md5("id"))
+    df = spark.createDataFrame(rows, "g string, id string")
     for n in (0, 1, 17, 500, 5000):
-        fast = sampling.first_n_by_rank(df, ["g"], "k", "id", n, prefix=2)
-        w = Window.partitionBy("g").orderBy("k", "id")
-        slow = df.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
-        assert fast.exceptAll(slow).count() == 0 and slow.exceptAll(fast).count() == 0
+        groups = {}
+        for g, i in rows:
+            groups.setdefault(g, []).append(i)
+        want = {i for ids in groups.values() for i in sorted(ids)[:n]}
+        assert {r.id for r in sampling.first_n(df, ["g"], ["id"], n).collect()} == want
+
+
+def test_split_plan_has_few_scans(spark):
+    r = preprocess_corpus(_sources(spark), n_problems=5, n_files=20)
+    assert r.split._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 8
 
 
 def test_train_val_partition_the_pool(spark):
@@ -31,6 +42,7 @@ def test_train_val_partition_the_pool(spark):
     val = {x.doc_id for x in split if x.split == "val"}
     assert train.isdisjoint(val) and train | val == pool_ids
     total = r.sampled.count()
+    assert r.total == total and all(x.text is not None for x in split)
     assert len(train) == min(len(pool_ids), 75 * (total // 100))
 
 
@@ -64,10 +76,13 @@ def test_flatten_later_copy_wins(spark):
     assert out == {"x.cpp": "2", "y.cpp": "3"}
 
 
-def test_exact_rank_equals_row_number(spark):
-    rows = [("hot" if i % 5 else "cold", f"{i * 7919 % 1000}", f"t{i}") for i in range(2000)]
-    df = spark.createDataFrame(rows, "g string, k string, t string")
-    fast = sampling.exact_rank(df, ["g"], "k", "t", prefix=2, rank="rk")
-    w = Window.partitionBy("g").orderBy("k", "t")
-    slow = df.withColumn("rk", F.row_number().over(w))
-    assert fast.exceptAll(slow.select(fast.columns)).count() == 0
+def test_range_rank_equals_row_number(spark):
+    # ids with one common start and a hot group: ranges follow the keys themselves
+    rows = [("hot" if i % 5 else None if i % 3 else "cold", f"s00{i * 7919 % 1000:04d}", f"t{i}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, k string, t string").repartition(3)
+    fast = sampling.range_rank(df, ["g"], ["k", "t"], "rk")
+    slow = df.withColumn("rk", F.row_number().over(Window.partitionBy("g").orderBy("k", "t")).cast("long"))
+    assert sorted(map(str, fast.select(slow.columns).collect())) == sorted(map(str, slow.collect()))
+    whole = sampling.range_rank(df, [], ["k", "t"], "rk")
+    assert sorted(r.rk for r in whole.collect()) == list(range(1, 2001))
+    assert [r.k for r in whole.orderBy("rk").collect()] == sorted(r[1] for r in rows)

@@ -19,16 +19,26 @@ def test_scan_corpus_nested_and_flat(spark, tmpdir_fresh):
         f.write(b"bad \xff byte\x00after nul\n")
     with open(os.path.join(root, "p2", "a.b.c"), "wb") as f:
         f.write(b"")
-    with open(os.path.join(root, "p2", "d.e.f"), "wb") as f:
-        f.write(b"x")
+    for name in ("d.e.f", "_x.cpp", ".z.cpp"):
+        with open(os.path.join(root, "p2", name), "wb") as f:
+            f.write(b"x")
     rows = {r.doc_id: r for r in corpus.scan_corpus(spark, root).collect()}
-    # zero-length files are skipped by Spark's file sources: an empty file is a missing file
-    assert set(rows) == {"p1/10.cpp", "p1/11.cpp", "p2/d.e.f"}
+    assert set(rows) == {"p1/10.cpp", "p1/11.cpp", "p2/a.b.c", "p2/d.e.f", "p2/_x.cpp", "p2/.z.cpp"}
+    assert rows["p2/a.b.c"].text == "" and rows["p2/_x.cpp"].stem == "_x"
     assert rows["p1/10.cpp"].problem_id == "p1" and rows["p1/10.cpp"].stem == "10"
     assert rows["p2/d.e.f"].stem == "d.e" and rows["p2/d.e.f"].ext == "f"
     assert rows["p1/11.cpp"].text.endswith("after nul\n") and "�" in rows["p1/11.cpp"].text
     flat = corpus.scan_corpus(spark, os.path.join(root, "p1"), nested=False).collect()
-    assert sorted(r.file_name for r in flat) == ["10.cpp", "11.cpp"]
+    assert sorted(r.doc_id for r in flat) == ["10.cpp", "11.cpp"]
+
+
+def test_scan_corpus_relative_root_that_recurs(spark, tmpdir_fresh, monkeypatch):
+    base = os.path.join(tmpdir_fresh, "data", "x")
+    os.makedirs(os.path.join(base, "data", "p"))
+    with open(os.path.join(base, "data", "p", "a.cpp"), "w") as f:
+        f.write("a")
+    monkeypatch.chdir(base)
+    assert [r.doc_id for r in corpus.scan_corpus(spark, "data").collect()] == ["p/a.cpp"]
 
 
 def test_vocabulary_text_round_trip(spark, tmpdir_fresh):
@@ -36,10 +46,9 @@ def test_vocabulary_text_round_trip(spark, tmpdir_fresh):
     vocab = vocab.withColumn("display", F.concat(F.lit("["), "token", F.lit("]")))
     out = os.path.join(tmpdir_fresh, "vocab")
     sinks.write_vocabulary_text(vocab.coalesce(1), out)
-    back = {r.key: r.display for r in corpus.read_vocabulary(spark, out).collect()}
+    back = {r.key: r.display for r in corpus.read_vocabulary(spark, os.path.join(out, "records")).collect()}
     assert back == {"k1": "[a]", "k2": "[two\nlines]", "k3": "[x y]"}
-    text = open([os.path.join(out, f) for f in os.listdir(out) if f.startswith("part-")][0]).read()
-    assert text.split("\n")[0] == "3"
+    assert [r.value for r in spark.read.text(os.path.join(out, "count")).collect()] == ["3"]
 
 
 def test_split_and_labels_sinks(spark, tmpdir_fresh):
@@ -52,10 +61,12 @@ def test_split_and_labels_sinks(spark, tmpdir_fresh):
 def test_statements(spark, tmpdir_fresh):
     d = os.path.join(tmpdir_fresh, "stmts")
     os.makedirs(d)
-    with open(os.path.join(d, "p1.txt"), "w") as f:
-        f.write("Sum two\nnumbers.\n")
+    for name in ("4-NOT SPECIFIED", "a+b"):
+        with open(os.path.join(d, f"{name}.txt"), "w") as f:
+            f.write("Sum two\nnumbers.\n")
     rows = corpus.read_statements(spark, d).collect()
-    assert [(r.problem_id, r.statement) for r in rows] == [("p1", "Sum two\nnumbers.\n")]
+    assert sorted((r.problem_id, r.statement) for r in rows) == [
+        ("4-NOT SPECIFIED", "Sum two\nnumbers.\n"), ("a+b", "Sum two\nnumbers.\n")]
 
 
 def test_html_tree_rules():
@@ -76,6 +87,11 @@ def test_html_tree_rules():
     assert parse_tree("")[0]["type"] == "#document"                              # root always exists
 
 
+def test_html_declarations_end_a_text():
+    nodes = parse_tree("<p>hello<?php x ?>world<!DOCTYPE a>tail</p>")
+    assert [n["value"] for n in nodes if n["type"] == "#text"] == ["hello", "world", "tail"]
+
+
 def test_html_byte_offsets():
     text = "<p>é</p>"
     nodes = parse_tree(text)

@@ -110,3 +110,61 @@ def test_wide_hot_document(spark):
     got = enc.groupBy("doc_id", "path_ids", "fork_ids").count().collect()
     assert sorted((r.doc_id, r.path_ids, r.fork_ids, r["count"]) for r in got) == [
         ("big", "001002003", "001003", k), ("tiny", "001", "001", 1)]
+
+
+def _chain(spark, n):
+    from sylva.schemas import NODES
+    rows = [("c", i, i - 1 if i else None, 0, 1 + i % 9, "n", True, False, int(i < n - 1), 0, 0, i, 0, i, 0, None)
+            for i in range(n)]
+    return spark.createDataFrame(rows, NODES)
+
+
+@pytest.mark.parametrize(("n", "most"), [(40, 8), (1000, 12)])
+def test_rounds_grow_with_the_logarithm_of_the_depth(spark, monkeypatch, n, most):
+    written = []
+    real = trees.write_table
+    monkeypatch.setattr(trees, "write_table", lambda df, tag: written.append(tag) or real(df, tag))
+    row = trees.encoded_paths(_chain(spark, n), only=["path_len", "path_ids"]).collect()
+    assert len(row) == 1 and row[0].path_len == n
+    assert row[0].path_ids == "".join(f"{1 + i % 9:03d}" for i in range(n))
+    assert len(written) - 1 <= most          # the first write holds the inner nodes
+
+
+def test_children_of_one_node_spread_over_tasks(spark):
+    k = 400_000
+    cols = {"parent_id": "0", "child_idx": "CAST(id AS INT)", "symbol": "2", "type": "'w'", "child_count": "0", "value": "'x'"}
+    root = {"parent_id": "CAST(NULL AS INT)", "child_idx": "0", "symbol": "1", "type": "'r'", "child_count": str(k),
+            "value": "CAST(NULL AS STRING)"}
+
+    def table(df, node_id, c):
+        return df.selectExpr("'wide' AS doc_id", f"CAST({node_id} AS INT) AS node_id", *[f"{v} AS {n}" for n, v in c.items()],
+                             "true AS is_named", "false AS is_extra", "0 AS start_byte", "0 AS end_byte", "0 AS start_row",
+                             "0 AS start_col", "0 AS end_row", "0 AS end_col")
+
+    nodes = table(spark.range(k), "id + 1", cols).unionByName(table(spark.range(1), "0", root))
+    out = trees.encoded_paths(nodes, only=["path_ids"])
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled",
+                                          "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        sizes = [r["count"] for r in out.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()]
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == k and len(sizes) >= 8
+
+
+def test_lost_parent_raises(spark):
+    whole = hand_nodes(spark)
+    for gone in (1, 2):
+        with pytest.raises(Exception, match="no parent row"):
+            trees.encoded_paths(whole.where(f"NOT (doc_id = 't1' AND node_id = {gone})")).collect()
+
+
+def test_nested_starts_give_a_path_each(spark):
+    got = trees.subtree_paths(hand_nodes(spark), F.col("doc_id") == "t3").collect()
+    assert sorted(tuple(n.node_id for n in r.path) for r in got) == sorted(tuple(range(i, 5)) for i in range(5))
+    alone = trees.subtree_paths(hand_nodes(spark), F.col("type").isin("fork", "identifier")).collect()
+    assert (4, 5) in {tuple(n.node_id for n in r.path) for r in alone} and all(r.path for r in alone)
