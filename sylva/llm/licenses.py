@@ -143,23 +143,28 @@ def build_automaton():
     return a
 
 
-def scan(text: str, automaton) -> dict:
-    """All findings of one text: words, base places, labels, chosen ids, level and score."""
+def _hits(text: str, automaton) -> tuple[list[bytes], list[tuple[int, int, str, str]]]:
+    """The words of a text and all phrases in them as (start word, end word, kind, label)."""
     words = text.encode().translate(_WORD_BYTES).split()
     joined = f" {b' '.join(words).decode()} "
-    places, notices, trust, tagged = [], [], [], False
-    base: set[str] = set()
+    found = []
     for end, (length, n, kinds) in automaton.iter(joined):
         start = joined.count(" ", 0, end + 1 - length)
-        for kind, label in kinds:
-            trust.append(TRUST[kind])
-            if kind == "base":
-                places.append(start)
-                base.add(label)
-            elif kind == "notice":
-                notices.append((start, start + n, label))
-            else:
-                tagged = True
+        found += [(start, start + n, kind, label) for kind, label in kinds]
+    return words, found
+
+
+def scan(text: str, automaton) -> dict:
+    """All findings of one text: words, base places, labels, chosen ids, level and score."""
+    words, found = _hits(text, automaton)
+    n_words = len(words)
+    places = [s for s, _, kind, _ in found if kind == "base"]
+    base = {label for *_, kind, label in found if kind == "base"}
+    trust = [TRUST[kind] for *_, kind, _ in found]
+    tagged = any(kind == "tag" for *_, kind, _ in found)
+    if tagged:  # ids in the expression of a tag are no notices
+        words, found = _hits(_TAG.sub("\n", text), automaton)
+    notices = [(s, e, label) for s, e, kind, label in found if kind == "notice"]
     labels, chosen, level = set(base), set(), None
 
     def take(tokens: list[str]) -> None:
@@ -193,7 +198,7 @@ def scan(text: str, automaton) -> dict:
     miss = 1.0
     for t in trust:
         miss *= 1.0 - t
-    return {"n_words": len(words), "n_base": len(places), "first_word": min(places, default=None),
+    return {"n_words": n_words, "n_base": len(places), "first_word": min(places, default=None),
             "last_word": max(places, default=None), "base_labels": ",".join(sorted(base)),
             "labels": ",".join(sorted(labels)), "score": 1.0 - miss, "chosen": ",".join(sorted(chosen)),
             "level": None if level is None else LEVELS[level]}

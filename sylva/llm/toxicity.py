@@ -10,7 +10,8 @@ The lexicon is a general seed list and the words and beginnings of words that a
 documents not explained so far. Weights and curve are fitted on the same sample, in one task.
 
 Defined results: a null text is an empty one and gets the score of the curve at no hits; repeated rows get the
-same score; without labels of both classes the seed list with weight 1 and a fixed curve are used.
+same score; without labels of both classes the seed list with weight 1 and a fixed curve are used; the fixed curve also
+stands in for a fitted one that would reject texts without any hit.
 """
 
 from __future__ import annotations
@@ -56,7 +57,7 @@ def _fold_table() -> dict[int, str]:
 
 
 _TABLE = _fold_table()
-_LOOSE = re.compile(r"(?<![^\W_])[@$!|]+|[@$!|]+(?![^\W_])")
+_LOOSE = re.compile(r"(?<![^\W_])[@$!|]{2,}|[@$!|]+(?![^\W_])")  # signs that stand for no letter of a word
 _HAS_SIGN = re.compile(r"[@$!|]")
 _BREAK = re.compile(r"[^\w\s]|_")
 
@@ -172,6 +173,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Lex
         a = found.automaton()
         raw = np.array([raw_weight(t, a) for t in folded])
         curve = fit_curve(raw, np.array([t.count(" ") - 1 for t in folded]), target)
+        if curve[0] >= 0 or min(curve[1:]) < 0:  # too few labels: it would reject texts without hits, or fall with hits
+            curve = DEFAULT_CURVE
         names = list(found.weights)
         yield pa.RecordBatch.from_arrays(
             [pa.array([*names, "", "", ""]), pa.array([*(found.weights[n] for n in names), *curve])], ["term", "value"])
