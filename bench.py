@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sylva.plans.queries import QUERIES  # noqa: E402
-from sylva.session import get_spark  # noqa: E402
+from sylva.session import drop_tables, get_spark  # noqa: E402
 
 HEADLINE = [
     "error_lines",        # flagship: pairs -> both trees -> signatures -> anti-join
@@ -47,6 +47,7 @@ def main() -> None:
         t0 = time.time()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - t0, 3)
+        drop_tables(spark)  # tables between the walk's rounds
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total_sec",

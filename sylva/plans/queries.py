@@ -307,18 +307,23 @@ def q_review_sheet(spark, d):
 
 # --- parse job ------------------------------------------------------------------------------
 
+def _spread(spark) -> int:
+    # pages are few large rows: deal them to as many tasks as a shuffle has
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def q_html_nodes(spark, d):
-    return parser_for("html")[0](_t(spark, d, "pages"))
+    return parser_for("html")[0](_t(spark, d, "pages"), spread=_spread(spark))
 
 
 def q_html_terminal_values(spark, d):
     pages = _t(spark, d, "pages")
     src = pages.select(F.col("page_id").cast("string").alias("doc_id"), F.col("html").alias("text"))
-    return trees.terminal_values(parser_for("html")[0](pages), src)
+    return trees.terminal_values(parser_for("html")[0](pages, spread=_spread(spark)), src)
 
 
 def q_html_branches(spark, d):
-    enc = trees.encode_leaf_paths(html_leaf_paths(_t(spark, d, "pages")))
+    enc = trees.encode_leaf_paths(html_leaf_paths(_t(spark, d, "pages"), spread=_spread(spark)))
     return contexts.branches(enc).select("doc_id", "branch")
 
 
