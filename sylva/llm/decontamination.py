@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.common import doc_slices, read_table
-from sylva.llm.words import Capped, mix, rolling, word_hash
+from sylva.llm.common import per_worker, read_table, sized_slices
+from sylva.llm.words import Capped, batch_words, mix, rolling, word_hash
 
 WORDS = 5
 LEAST = 0.75
@@ -34,16 +34,16 @@ BITS, BLOCKS = 128, 16
 RADIUS = 40
 BLOCK_RADIUS = RADIUS // BLOCKS
 ITEMS = 10_000
+BATCH_BYTES = 4 << 20
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _NEAR = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= BLOCK_RADIUS  # values within the block radius
 _TABLE_BITS = 20
 
 
-def word_parts(text: bytes, cache: Capped) -> tuple[np.ndarray, np.ndarray]:
+def word_parts(text: str, cache: Capped) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and byte lengths of the words of a text."""
-    words = text.lower().split()
-    return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words)), np.fromiter(map(len, words), np.int64, len(words))
+    return next(batch_words(pa.array([text], pa.string()), cache))
 
 
 def weights(lengths: np.ndarray, k: int) -> np.ndarray:
@@ -77,7 +77,7 @@ class Items:
         cache = Capped(word_hash)
         self.by_size: dict[int, dict] = {}
         for item_id, text in rows:
-            hashes, lengths = word_parts((text or "").encode(), cache)
+            hashes, lengths = word_parts(text, cache)
             n = len(hashes)
             if not n:
                 continue
@@ -102,9 +102,8 @@ class Items:
             self.table[k] = np.zeros(1 << _TABLE_BITS, bool)
             self.table[k][self.known[k] >> np.uint64(64 - _TABLE_BITS)] = True
 
-    def search(self, text: bytes, cache: Capped) -> list[tuple]:
-        """(item_id, start word, words, distance, similarity) of the best window for each item that is found."""
-        hashes, lengths = word_parts(text, cache)
+    def search(self, hashes: np.ndarray, lengths: np.ndarray) -> list[tuple]:
+        """(item_id, start word, words, distance, similarity) of the best window for each item found in a text's words."""
         found: dict[int, tuple] = {}
         for k, sizes in self.k_sizes.items():
             if len(hashes) < k:
@@ -161,10 +160,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def finder(rows: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, cache = Items(rows), Capped(word_hash)
-            for b in doc_slices(batches):
-                out = [(d, *hit) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(),
-                                                 strict=True) for hit in items.search(t or b"", cache)]
+            items, cache = Items(rows), per_worker("words", lambda: Capped(word_hash))
+            for b in sized_slices(batches, "text", BATCH_BYTES):
+                out = [(d, *hit) for d, words in zip(b.column("doc_id").to_pylist(), batch_words(b.column("text"), cache),
+                                                     strict=True) for hit in items.search(*words)]
                 kinds = [pa.int64()] * 5 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
@@ -182,9 +181,9 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def cleaner(rows: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, cache = Items(rows), Capped(word_hash)
-            for b in doc_slices(batches):
-                clean = [not items.search(t or b"", cache) for t in b.column("text").cast(pa.binary()).to_pylist()]
+            items, cache = Items(rows), per_worker("words", lambda: Capped(word_hash))
+            for b in sized_slices(batches, "text", BATCH_BYTES):
+                clean = [not items.search(*words) for words in batch_words(b.column("text"), cache)]
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         return run

@@ -7,8 +7,11 @@ UTF-8 bytes. A word's hash is 64 bits of blake2b; hashes of repeated words come
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -44,6 +47,33 @@ def word_hashes(words: list[bytes], cache: Capped) -> np.ndarray:
     return np.fromiter(map(cache.__getitem__, words), np.uint64, len(words))
 
 
+def split_batch(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words, place of each word among them in text order, end of each text in that order)."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+    coded = lists.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy()
+    ends = (lists.offsets.to_numpy() - lists.offsets.to_numpy()[0])[1:]
+    real = pc.binary_length(coded.dictionary).to_numpy()[codes] > 0  # white space at an end leaves an empty word
+    if not real.all():
+        ends = np.concatenate([[0], np.cumsum(real)])[ends]
+        codes = codes[real]
+    return coded.dictionary, codes, ends
+
+
+def batch_words(texts: pa.Array, cache: Capped) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per text, lower-cased (A-Z): the hashes of its words and their lengths in bytes.
+
+    A word is hashed once for all its places in the batch.
+    """
+    distinct, codes, ends = split_batch(pc.ascii_lower(texts))
+    words = distinct.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+    hashes, sizes = word_hashes(words, cache)[codes], np.fromiter(map(len, words), np.int64, len(words))[codes]
+    at = 0
+    for end in ends.tolist():
+        yield hashes[at:end], sizes[at:end]
+        at = end
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values (the finaliser of the public splitmix64 generator)."""
     h = (h ^ (h >> np.uint64(30))) * _MIX1
