@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.common import doc_slices, fit_in_task, held_out, labelled_sample, read_table
-from sylva.llm.words import Capped, rolling, word_hash
+from sylva.llm.common import fit_in_task, held_out, labelled_sample, read_table, sized_slices
+from sylva.llm.words import mix, split_batch
 
 BUCKETS = 1 << 17
 DIM = 16
@@ -30,32 +30,64 @@ EPOCHS = 6
 RATE = 0.5
 CUT = 0.3
 SEED = 10
-
-
-def _bucket(data: bytes) -> int:
-    return word_hash(data) % BUCKETS
-
-
-def word_buckets(word: bytes) -> tuple[int, np.ndarray]:
-    """A word's hash, and the buckets of the word and its character n-grams."""
-    marked = f"<{word.decode('utf-8', 'replace')}>"
-    grams = {marked[i:i + n] for n in NGRAMS for i in range(len(marked) - n + 1)} - {marked}
-    h = word_hash(word)
-    return h, np.array([h % BUCKETS, *sorted(_bucket(g.encode()) for g in grams)], np.int64)
-
-
-def pair_buckets(hashes: np.ndarray) -> np.ndarray:
-    return (rolling(hashes, 2) % np.uint64(BUCKETS)).astype(np.int64)
-
-
-def features(text: bytes, cache: Capped) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and how often each occurs."""
-    found = [cache[w] for w in text.split()]
-    if not found:
-        return np.empty(0, np.int64), np.empty(0)
-    every = np.concatenate([*(x[1] for x in found), pair_buckets(np.array([x[0] for x in found], np.uint64))])
-    buckets, counts = np.unique(every, return_counts=True)
-    return buckets, counts.astype(float)
+BATCH_BYTES = 4 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+class Features:
+    """Hashed features of a batch of texts: of each distinct word its own bucket and those of its character n-grams."""
+
+    def __init__(self, texts: pa.Array):
+        distinct, self.codes, self.ends = split_batch(texts)
+        words = distinct.to_numpy(zero_copy_only=False).tolist()
+        chars = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), "<u4").astype(np.uint64)
+        length = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        end = np.cumsum(length)
+        start = end - length
+        place = np.arange(len(chars)) - np.repeat(start, length)
+        # a word's hash: its characters times powers of an odd number, summed (all arithmetic is modulo 2**64)
+        power = np.cumprod(np.full(int(length.max(initial=1)), _ODD, np.uint64), dtype=np.uint64)
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(chars * power[place], dtype=np.uint64)])
+        self.hashes = mix(upto[end] - upto[start] + length.astype(np.uint64))
+        owner, of = [np.arange(len(words))], np.repeat(np.arange(len(words)), length)
+        buckets = [self.hashes % np.uint64(BUCKETS)]
+        for n in NGRAMS:
+            inside = np.nonzero(place + n <= np.repeat(length, length))[0]
+            h = np.zeros(len(inside), np.uint64)
+            for j in range(n):
+                h = h * _ODD + chars[inside + j]
+            buckets.append(mix(h + np.uint64(n)) % np.uint64(BUCKETS))
+            owner.append(of[inside])
+        self.n_words = len(words)
+        self.owner, self.buckets = np.concatenate(owner), np.concatenate(buckets).astype(np.int64)
+        # word pairs inside one text, and the text they stand in
+        text = np.repeat(np.arange(len(self.ends)), np.diff(self.ends, prepend=0))
+        h = self.hashes[self.codes]
+        same = text[1:] == text[:-1]
+        self.text, self.pair_text = text, text[:-1][same]
+        self.pairs = (mix(h[:-1] * _ODD + h[1:] + np.uint64(2))[same] % np.uint64(BUCKETS)).astype(np.int64)
+
+    def log_odds(self, odds: np.ndarray) -> np.ndarray:
+        """Mean of the buckets' log-odds over each text's features; 0 without any."""
+        n = len(self.ends)
+        total = np.bincount(self.owner, odds[self.buckets], self.n_words)[self.codes]
+        count = np.bincount(self.owner, minlength=self.n_words)[self.codes]
+        sums = np.bincount(self.text, total, n) + np.bincount(self.pair_text, odds[self.pairs], n)
+        counts = np.bincount(self.text, count, n) + np.bincount(self.pair_text, minlength=n)
+        return sums / np.maximum(counts, 1)
+
+    def counted(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its distinct buckets and how often each occurs."""
+        order = np.argsort(self.owner, kind="stable")
+        per_word = np.split(self.buckets[order], np.cumsum(np.bincount(self.owner, minlength=self.n_words))[:-1])
+        pair_ends = np.cumsum(np.bincount(self.pair_text, minlength=len(self.ends)))
+        out, at, pair_at = [], 0, 0
+        for end, pair_end in zip(self.ends.tolist(), pair_ends.tolist(), strict=True):
+            every = np.concatenate([np.empty(0, np.int64), *(per_word[c] for c in self.codes[at:end]), self.pairs[pair_at:pair_end]])
+            buckets, counts = np.unique(every, return_counts=True)
+            out.append((buckets, counts.astype(float)))
+            at, pair_at = end, pair_end
+        return out
 
 
 def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int = EPOCHS, rate: float = RATE,
@@ -90,9 +122,9 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, epochs: int
 def fit_quality(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int = FIT_ROWS
                 ) -> tuple[np.ndarray, float] | None:
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, seen, y = Capped(word_buckets, 60_000), [], []
-        for b in doc_slices(batches):
-            seen += [features(t, cache) for t in b.column("text").cast(pa.binary()).to_pylist()]
+        seen, y = [], []
+        for b in sized_slices(batches, "text", BATCH_BYTES):
+            seen += Features(b.column("text")).counted()
             y += b.column("y").to_pylist()
         if len(set(y)) == 2:
             odds, bias = train(seen, np.array(y))
@@ -108,23 +140,9 @@ def score_quality(docs: DataFrame, model: tuple[np.ndarray, float] | None, cut:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds, bias = model if model else (np.zeros(BUCKETS), 0.0)
-
-        def known(word: bytes) -> tuple[int, float, int]:
-            h, buckets = word_buckets(word)
-            return h, float(odds[buckets].sum()), len(buckets)
-
-        cache = Capped(known, 300_000)
-        for b in doc_slices(batches):
-            z = []
-            for t in b.column("text").cast(pa.binary()).to_pylist():
-                found = list(map(cache.__getitem__, (t or b"").split()))
-                if not found:
-                    z.append(bias)
-                    continue
-                hashes, sums, sizes = zip(*found, strict=True)
-                pairs = odds[pair_buckets(np.array(hashes, np.uint64))]
-                z.append(bias + (sum(sums) + float(pairs.sum())) / (sum(sizes) + len(pairs)))
-            score = 1.0 / (1.0 + np.exp(-np.clip(np.array(z, float), -30, 30)))
+        for b in sized_slices(batches, "text", BATCH_BYTES):
+            z = bias + Features(b.column("text")).log_odds(odds)
+            score = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), pa.array(score), pa.array((score >= cut).astype(np.int32))],
                 ["doc_id", "score", "predicted"])

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,7 +9,6 @@ from sylva.llm import quality_classifier as QC
 from sylva.llm import quality_rules as QR
 from sylva.llm import toxicity as T
 from sylva.llm.common import held_out, labelled_sample
-from sylva.llm.words import Capped
 from tests.llm import odd_docs
 
 SF = "/root/testdata/sf0.1"
@@ -121,11 +121,15 @@ def test_rejecting_keeps_columns(spark):
 
 
 def test_scores_equal_the_trained_model(spark):
-    cache = Capped(QC.word_buckets)
-    texts = [b"good fine words here", b"BAD!! BAD!! LOUD!!", b"more good words", b"LOUD!! THINGS!!"] * 10
-    seen = [QC.features(t, cache) for t in texts]
+    texts = ["good fine words here", " BAD!! BAD!! LOUD!!\n", "more good words", "LOUD!! THÏNGS!!"] * 10
+    seen = QC.Features(pa.array(texts)).counted()
+    alone = [QC.Features(pa.array([t])).counted()[0] for t in texts]
+    assert all((x[0] == y[0]).all() and (x[1] == y[1]).all() for x, y in zip(seen, alone, strict=True))
+    # "good": a word, <go goo ood od> <goo good ood> <good good>; no n-gram crosses into the next word
+    assert QC.Features(pa.array(["good"])).counted()[0][1].sum() == 1 + 4 + 3 + 2
+    assert QC.Features(pa.array(["good good"])).counted()[0][1].sum() == 2 * 10 + 1
     odds, bias = QC.train(seen, np.array([1, 0, 1, 0] * 10))
-    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts[:4])], "doc_id long, text string")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:4])], "doc_id long, text string")
     for r in QC.score_quality(docs, (odds, bias)).collect():
         buckets, n = seen[r.doc_id]
         z = bias + (odds[buckets] * n).sum() / n.sum()
