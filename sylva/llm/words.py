@@ -92,11 +92,6 @@ def rolling(hashes: np.ndarray, k: int) -> np.ndarray:
     return mix(out + np.uint64(k))
 
 
-def lower_ascii(text: bytes) -> bytes:
-    """A-Z in lower case, other bytes unchanged (``bytes.lower`` changes ASCII letters only)."""
-    return text.lower()
-
-
 def shingle_set(hashes: np.ndarray, k: int) -> np.ndarray:
     """Sorted distinct shingles: runs of ``k`` words; the whole sequence if it is shorter; empty without words."""
     if len(hashes) == 0:
