@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
         large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").distinct())
+                 .where("a <> b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b")))

@@ -2,8 +2,9 @@
 
 A document's set holds the hashes of its distinct 5-word shingles. Hashing shingles into groups (the low bits of
 the hash) turns a set into a point of group counts, and the sum of coordinate minima of two points bounds the
-overlap of their sets from above. An R-tree node keeps the coordinate-wise maximum of its points, so the same sum
-bounds the overlap with everything below it.
+overlap of their sets from above. An R-tree node keeps the coordinate-wise maximum of its points at a coarse
+resolution (about 8 shingles to a group), so the same sum bounds the overlap with everything below it; at the leaves
+points are compared at a fine resolution (64 groups or more to a shingle), where few groups hold two shingles.
 
 Steps, all on Spark:
 
@@ -13,11 +14,12 @@ Steps, all on Spark:
    probability s, so a pair misses all buckets with probability at most (1 - 0.75) ** 16 = 2e-10; for sets of up
    to 60 shingles the shared bucket is certain (prefix bound). Shingles that crowd a bucket are passed over
    for the next ones; a class made mostly of such shingles also uses its ``KEYS`` smallest crowded ones.
-3. In every bucket each point is linked to the first leader that the bound allows; the best such link
-   of each class is verified and gives first components, which take care of large groups of near copies.
+3. ``ROUNDS`` times, every point proposes a few of its neighbours by size in each bucket, those that the bound puts
+   nearest; its ``EACH`` best proposals are verified and join components, so that large groups of near copies
+   become one component at a cost in proportion to their size.
 4. Buckets that hold several components get an R-tree each; a join of the tree with itself finds all pairs of
-   different components that size and overlap bounds allow, and the exact sets verify them. Buckets
-   of more than ``BLOCK`` points are dealt out as pairs of blocks.
+   different components that size and overlap bounds allow, each pair in the first bucket that both share, and the
+   exact sets verify them. Buckets of more than ``BLOCK`` points are dealt out as pairs of blocks.
 5. Components of all verified links.
 
 Skipped pairs are only those that are already connected, so components are those of all links. Defined results:
@@ -36,21 +38,25 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sylva.llm.common import doc_slices, read_table, save
+from sylva.llm.common import doc_slices, per_worker, read_table, save, sized_slices
 from sylva.llm.components import components
-from sylva.llm.words import Capped, shingle_set, word_hash, word_hashes
+from sylva.llm.words import Capped, batch_words, shingle_set, word_hash, word_hashes
 
 WORDS = 5
 PERCENT = 75
+SPREAD = 64  # groups to a shingle, at least
 SAMPLE = 64  # smallest hashes kept of a set
 KEYS = 16
 CROWD = 200  # points in a bucket from which its shingle is passed over, at least
 MOST_CROWDED = 1 << 20  # bound on the number of such shingles, which are sent to every task (8 MB)
 MOSTLY = 0.4  # share of crowded shingles in a sample from which crowded buckets are used too
 BLOCK = 8192
+BATCH_BYTES = 4 << 20
 LEAF = 32
 FAN = 16
-LEADERS = 8
+ROUNDS = 1
+EACH = 2
+LOOK = 64
 
 
 def text_set(text: bytes, cache: Capped) -> np.ndarray:
@@ -61,19 +67,53 @@ def class_id(shingles: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def count_vector(shingles: np.ndarray) -> np.ndarray:
-    """Counts of the shingles by group; about 8 to a group, and never more than a byte holds."""
-    groups = max(8, 1 << (len(shingles) // 8).bit_length())
-    while True:
-        counts = np.bincount((shingles & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-        if counts.max(initial=0) <= 255:
-            return counts.astype(np.uint8)
-        groups *= 2
+def pack_point(shingles: np.ndarray) -> bytes:
+    """The point of a set: the sorted groups of its shingles, about ``SPREAD`` groups to a shingle, as steps of a byte.
+
+    A step of 255 means that the next byte goes on with the same step.
+    """
+    groups = SPREAD << (len(shingles) - 1).bit_length()
+    steps = np.diff(np.sort((shingles & np.uint64(groups - 1)).astype(np.int64)), prepend=0)
+    long, rest = np.divmod(steps, 255)
+    out = np.full(int((long + 1).sum()), 255, np.uint8)
+    out[np.cumsum(long + 1) - 1] = rest
+    return out.tobytes()
+
+
+class Point:
+    """Group counts of a set at any resolution: groups with equal low bits add up."""
+
+    def __init__(self, packed: bytes):
+        steps = np.frombuffer(packed, np.uint8)
+        self.at = np.cumsum(steps, dtype=np.int64)[steps != 255]
+        self.n = len(self.at)
+        self.groups = SPREAD << (self.n - 1).bit_length()
+        self.coarse = max(8, 1 << (self.n // 8).bit_length())
+
+    def counts(self, groups: int) -> np.ndarray:
+        return np.bincount(self.at & (groups - 1), minlength=groups)
+
+    def bits(self, groups: int) -> np.ndarray:
+        """Which groups are not empty, as 64-bit words."""
+        on = np.zeros(groups, bool)
+        on[self.at & (groups - 1)] = True
+        return np.packbits(on).view(np.uint64)
+
+
+def bit_table(points: list[Point]) -> tuple[np.ndarray, np.ndarray]:
+    """Bit rows of points at their common resolution, and how many shingles share a group with another of their set."""
+    groups = min(p.groups for p in points)
+    rows = np.stack([p.bits(groups) for p in points])
+    return rows, np.array([p.n for p in points]) - np.bitwise_count(rows).sum(1, dtype=np.int64)
+
+
+def overlap_bound(row: np.ndarray, spare: int, rows: np.ndarray, spares: np.ndarray) -> np.ndarray:
+    """At least the sum of coordinate minima of one point and others: common groups, and shared ones beyond the first."""
+    return np.bitwise_count(rows & row).sum(1, dtype=np.int64) + np.minimum(spares, spare)
 
 
 def folded(counts: np.ndarray, groups: int) -> np.ndarray:
-    """A point at a coarser resolution: groups with equal low bits are added up."""
-    return counts.reshape(-1, groups).sum(0, dtype=np.int64) if len(counts) > groups else counts.astype(np.int64)
+    return counts.reshape(-1, groups).sum(0) if len(counts) > groups else counts
 
 
 def needed(n_a, n_b):
@@ -81,66 +121,69 @@ def needed(n_a, n_b):
     return -(-(PERCENT * (n_a + n_b)) // (100 + PERCENT))
 
 
-def may_link(n_a: int, a: np.ndarray, n_b: int, b: np.ndarray) -> bool:
-    least = needed(n_a, n_b)
-    if min(n_a, n_b) < least:
-        return False
-    groups = min(len(a), len(b))
-    return int(np.minimum(folded(a, groups), folded(b, groups)).sum()) >= least
+def key_table(keys: list[np.ndarray], token: int) -> np.ndarray:
+    """Bit rows of the buckets before ``token`` in which each point also stands."""
+    before, which = np.unique(np.concatenate([k[k < token] for k in keys]), return_inverse=True)
+    rows = np.repeat(np.arange(len(keys)), [int((k < token).sum()) for k in keys])
+    on = np.zeros((len(keys), -(-max(1, len(before)) // 64) * 64), bool)
+    on[rows, which] = True
+    return np.packbits(on, axis=1).view(np.uint64)
 
 
 class CountTree:
-    """Packed R-tree over count vectors: leaves of LEAF points in the given order, FAN children to a node."""
+    """Packed R-tree over count vectors: leaves of LEAF points in the given order, FAN children to a node.
+
+    A node is (smallest size, largest size, coordinate-wise largest counts, label if all points have one, children, rows).
+    ``others`` has bit rows of further trees that hold the point too; a pair is left to the first tree that has both.
+    """
 
-    def __init__(self, sizes: np.ndarray, points: list[np.ndarray], labels: np.ndarray):
-        self.sizes, self.points, self.labels = sizes, points, labels
-        level = [self._node(range(i, min(i + LEAF, len(sizes))), None) for i in range(0, len(sizes), LEAF)]
+    def __init__(self, points: list[Point], labels: np.ndarray, others: np.ndarray):
+        self.points, self.labels, self.others = points, labels, others
+        self.sizes = np.array([p.n for p in points])
+        level = [self._leaf(np.arange(i, min(i + LEAF, len(points)))) for i in range(0, len(points), LEAF)]
         while len(level) > 1:
-            level = [self._node(None, level[i:i + FAN]) for i in range(0, len(level), FAN)]
+            level = [self._node(level[i:i + FAN]) for i in range(0, len(level), FAN)]
         self.root = level[0]
 
-    def _node(self, rows, children):
-        if children is None:
-            rows = list(rows)
-            vectors = [self.points[i] for i in rows]
-            low, high = int(self.sizes[rows].min()), int(self.sizes[rows].max())
-            label = self.labels[rows[0]] if (self.labels[rows] == self.labels[rows[0]]).all() else None
-        else:
-            vectors = [c[2] for c in children]
-            low, high = min(c[0] for c in children), max(c[1] for c in children)
-            label = children[0][3] if all(c[3] is not None and c[3] == children[0][3] for c in children) else None
-        groups = min(map(len, vectors))
-        peak = np.maximum.reduce([folded(v, groups) for v in vectors])
-        return low, high, peak, label, children, rows
+    def _leaf(self, rows: np.ndarray) -> tuple:
+        groups = min(self.points[i].coarse for i in rows)
+        peak = np.maximum.reduce([self.points[i].counts(groups) for i in rows])
+        labels = self.labels[rows]
+        return (self.sizes[rows].min(), self.sizes[rows].max(), peak, labels[0] if (labels == labels[0]).all() else None,
+                None, rows)
+
+    @staticmethod
+    def _node(children: list[tuple]) -> tuple:
+        groups = min(len(c[2]) for c in children)
+        peak = np.maximum.reduce([folded(c[2], groups) for c in children])
+        labels = {c[3] for c in children}
+        return (min(c[0] for c in children), max(c[1] for c in children), peak, labels.pop() if len(labels) == 1 else None,
+                children, None)
 
     @staticmethod
-    def _apart(a, b) -> bool:
+    def _apart(a: tuple, b: tuple) -> bool:
         """No point of one node can link to one of the other, or all are in one component already."""
-        if a[3] is not None and b[3] is not None and a[3] == b[3]:
+        if a[3] is not None and a[3] == b[3]:
             return True
         if 100 * min(a[1], b[1]) < PERCENT * max(a[0], b[0]):
             return True
         groups = min(len(a[2]), len(b[2]))
         return int(np.minimum(folded(a[2], groups), folded(b[2], groups)).sum()) < needed(a[0], b[0])
 
-    def _rows(self, a: list[int], b: list[int], same: bool) -> Iterator[tuple[int, int]]:
-        groups = min(len(self.points[i]) for i in (*a, *b))
-        if max(len(self.points[i]) for i in (*a, *b)) > 4 * groups:  # sizes far apart: pair by pair
-            for i in a:
-                for j in b:
-                    if (i < j or not same) and self.labels[i] != self.labels[j] and may_link(
-                            self.sizes[i], self.points[i], self.sizes[j], self.points[j]):
-                        yield i, j
-            return
-        x, y = (np.stack([folded(self.points[i], groups) for i in rows]) for rows in (a, b))
-        least = needed(self.sizes[a][:, None], self.sizes[b][None, :])
-        bound = np.stack([np.minimum(row, y).sum(1) for row in x])
-        smaller = np.minimum(self.sizes[a][:, None], self.sizes[b][None, :])
-        ok = (bound >= least) & (smaller >= least) & (self.labels[a][:, None] != self.labels[b][None, :])
+    def _rows(self, a: np.ndarray, b: np.ndarray, same: bool) -> Iterator[tuple[int, int]]:
+        sizes_a, sizes_b = self.sizes[a][:, None], self.sizes[b][None, :]
+        least = needed(sizes_a, sizes_b)
+        ok = (np.minimum(sizes_a, sizes_b) >= least) & (self.labels[a][:, None] != self.labels[b][None, :])
+        ok &= ~(self.others[a][:, None, :] & self.others[b][None, :, :]).any(2)
         if same:
             ok &= np.triu(np.ones(ok.shape, bool), 1)
-        for i, j in zip(*np.nonzero(ok), strict=True):
-            yield a[i], b[j]
+        if not ok.any():
+            return
+        rows, spare = bit_table([self.points[i] for i in (*a, *b)])
+        for i in np.nonzero(ok.any(1))[0]:
+            bound = overlap_bound(rows[i], spare[i], rows[len(a):], spare[len(a):])
+            for j in np.nonzero(ok[i] & (bound >= least[i]))[0]:
+                yield int(a[i]), int(b[j])
 
     def pairs(self) -> Iterator[tuple[int, int]]:
         """Index pairs of different labels that size and overlap bounds allow."""
@@ -163,15 +206,15 @@ def document_points(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, cid, tokens, point) of every document; cid, tokens and point are null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Capped(word_hash)
-        for b in doc_slices(batches):
+        cache = per_worker("words", lambda: Capped(word_hash))
+        for b in sized_slices(batches, "text", BATCH_BYTES):
             n, cid, tokens, point = [], [], [], []
-            for t in b.column("text").cast(pa.binary()).to_pylist():
-                s = text_set(t or b"", cache)
+            for hashes, _ in batch_words(b.column("text"), cache):
+                s = shingle_set(hashes, WORDS)
                 n.append(len(s))
                 cid.append(class_id(s) if len(s) else None)
                 tokens.append(s[:SAMPLE].view(np.int64) if len(s) else None)
-                point.append(count_vector(s).tobytes() if len(s) else None)
+                point.append(pack_point(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cid, pa.int64()),
                  pa.array(tokens, pa.list_(pa.int64())), pa.array(point, pa.binary())],
@@ -214,9 +257,16 @@ def bucket_keys(classes: DataFrame, crowded: np.ndarray) -> DataFrame:
     return classes.select("cid", "tokens").mapInArrow(run, "token long, cid long")
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str]) -> Iterator[tuple]:
-    """Runs of rows with equal keys, as (key, column arrays); rows must arrive sorted by the keys."""
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[str], overlap: int = 0) -> Iterator[tuple]:
+    """Runs of rows with equal keys, as (key, column arrays); rows must arrive sorted by the keys.
+
+    With ``overlap`` a run of more than 64 times as many rows comes in pieces that share ``overlap`` rows.
+    """
     held_key, held = None, []
+
+    def joined(parts: list) -> list:
+        return [np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*parts, strict=True)]
+
     for b in batches:
         if not b.num_rows:
             continue
@@ -228,12 +278,16 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], columns: list[st
         for i, j in zip(starts[:-1], starts[1:], strict=True):
             key = tuple(c[i] for c in cols)
             if key != held_key and held:
-                yield held_key, [np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*held, strict=True)]
+                yield held_key, joined(held)
                 held = []
+            elif overlap and sum(len(x[0]) for x in held) > 64 * overlap:
+                whole = joined(held)
+                yield held_key, whole
+                held = [[x[-overlap:] for x in whole]]
             held_key = key
             held.append([b.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) for c in columns])
     if held:
-        yield held_key, [np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*held, strict=True)]
+        yield held_key, joined(held)
 
 
 def _pair_batches(pairs: Iterator[tuple[int, int]], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
@@ -247,28 +301,42 @@ def _pair_batches(pairs: Iterator[tuple[int, int]], rows: int = 20_000) -> Itera
     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def leader_links(members: DataFrame) -> DataFrame:
-    """(a, b): in each bucket every point and the first leader that the bound allows it, leaders in order of cid."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[tuple[int, int]]:
-            token, leaders = None, []
-            for b in batches:
-                for t, cid, n, p in zip(*(b.column(c).to_pylist() for c in ("token", "cid", "n", "point")), strict=True):
-                    if t != token:
-                        token, leaders = t, []
-                    point = np.frombuffer(p, np.uint8)
-                    for lead, lead_n, lead_point in leaders:
-                        if may_link(n, point, lead_n, lead_point):
-                            yield lead, cid
-                            break
-                    else:
-                        if len(leaders) < LEADERS:
-                            leaders.append((cid, n, point))
+def near_links(members: DataFrame, each: int = EACH) -> DataFrame:
+    """(a, b): for every point, the ``each`` most similar by bound that some bucket shows it, of other labels.
 
-        yield from _pair_batches(found())
+    In a bucket, in order of size, a point looks at the ``LOOK`` points before it; a bucket passes on two.
+    """
 
-    return members.repartition("token").sortWithinPartitions("token", "cid").mapInArrow(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b, alike = [], [], []
+        for _, (cid, n, point, label) in _groups(batches, ["token"], ["cid", "n", "point", "label"], LOOK):
+            points = [Point(p) for p in point]
+            for at in range(0, len(cid), LOOK):
+                seen = np.arange(max(0, at - LOOK), min(at + LOOK, len(cid)))
+                rows, spare = bit_table([points[i] for i in seen])
+                for i in range(max(1, at), int(seen[-1]) + 1):
+                    here = i - int(seen[0])
+                    sizes = n[seen[:here]]
+                    bound = overlap_bound(rows[here], spare[here], rows[:here], spare[:here])
+                    ok = (bound >= needed(sizes, n[i])) & (label[seen[:here]] != label[i])
+                    score = np.where(ok, bound / np.maximum(sizes + n[i] - bound, 1), -1.0)
+                    for j in np.argsort(-score, kind="stable")[:2]:
+                        if score[j] > 0:
+                            a.append(int(cid[seen[j]]))
+                            b.append(int(cid[i]))
+                            alike.append(float(score[j]))
+            if len(a) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(alike)], ["a", "b", "alike"])
+                a, b, alike = [], [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(alike, pa.float64())],
+                                         ["a", "b", "alike"])
+
+    found = (members.repartition("token").sortWithinPartitions("token", "n", "cid")
+             .mapInArrow(run, "a long, b long, alike double"))
+    # a point has at most 2 * 2 * KEYS rows here
+    best = F.slice(F.sort_array(F.collect_set(F.struct((-F.col("alike")).alias("order"), "a"))), 1, each)
+    chosen = found.groupBy("b").agg(best.alias("best")).select(F.explode("best.a").alias("a"), "b")
+    return chosen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def tree_pairs(mixed: DataFrame) -> DataFrame:
@@ -281,20 +349,20 @@ def tree_pairs(mixed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple[int, int]]:
-            for (_, low, high), (cid, n, point, label, own) in _groups(
-                    batches, ["token", "low", "high"], ["cid", "n", "point", "label", "own"]):
+            for (token, low, high), (cid, n, point, label, own, keys) in _groups(
+                    batches, ["token", "low", "high"], ["cid", "n", "point", "label", "own", "keys"]):
                 if len(cid) < 2 or (label == label[0]).all():
                     continue
                 order = np.lexsort((n, label))
-                points = [np.frombuffer(point[i], np.uint8) for i in order]
-                for i, j in CountTree(n[order], points, label[order]).pairs():
+                others = key_table([keys[i] for i in order], token)
+                for i, j in CountTree([Point(point[i]) for i in order], label[order], others).pairs():
                     x, y = order[i], order[j]
                     if low == high or own[x] != own[y]:
                         yield int(cid[x]), int(cid[y])
 
         yield from _pair_batches(found())
 
-    return (dealt.select("token", "low", "high", "cid", "n", "point", "label", "own")
+    return (dealt.select("token", "low", "high", "cid", "n", "point", "label", "own", "keys")
             .repartition("token", "low", "high").sortWithinPartitions("token", "low", "high")
             .mapInArrow(run, "a long, b long"))
 
@@ -342,6 +410,17 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long, overlap long, united long"))
 
 
+def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """The points with the label of their component so far, in buckets that hold more than one component."""
+    if roots is None:
+        return members.withColumn("label", F.col("cid"))
+    of = roots.select(F.col("node").alias("cid"), "root")
+    marked = members.join(of, "cid", "left").select(*members.columns, F.coalesce("root", "cid").alias("label"))
+    per_token = Window.partitionBy("token")
+    return (marked.withColumn("_low", F.min("label").over(per_token)).withColumn("_high", F.max("label").over(per_token))
+            .where("_low <> _high").drop("_low", "_high"))
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, cid (class of equal sets) and root (of its component)."""
     spark = docs.sparkSession
@@ -352,21 +431,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     crowded = crowded_tokens(classes)
     keys = bucket_keys(classes, crowded)
     shared = keys.withColumn("_n", F.count("*").over(Window.partitionBy("token"))).where("_n > 1").drop("_n")
-    members = save(shared.join(classes.select("cid", "n", "point"), "cid"), "jaccard-members")
+    own = shared.groupBy("cid").agg(F.sort_array(F.collect_list("token")).alias("keys"))  # at most 2 * KEYS
+    members = save(shared.join(own, "cid").join(classes.select("cid", "n", "point"), "cid"), "jaccard-members")
     texts = save(class_texts(docs, members.select("cid").distinct().join(classes.select("cid", "first_doc"), "cid")),
                  "jaccard-texts")
 
-    tries = leader_links(members).groupBy("b", "a").count()
-    best = tries.groupBy("b").agg(F.max_by("a", F.struct("count", -F.col("a"))).alias("a"))
-    first_links = save(verified(best, texts).select("a", "b"), "jaccard-links")
-    first = components(first_links)
-    label = F.coalesce(F.col("root"), F.col("cid")).alias("label")
-    marked = members.join(first.withColumnRenamed("node", "cid"), "cid", "left").select(*members.columns, label)
-    per_token = Window.partitionBy("token")
-    mixed = (marked.withColumn("_low", F.min("label").over(per_token)).withColumn("_high", F.max("label").over(per_token))
-             .where("_low <> _high").drop("_low", "_high"))
-    more = verified(save(tree_pairs(mixed).distinct(), "jaccard-pairs"), texts).select("a", "b")
-    links = save(first_links.unionByName(more), "jaccard-links")
+    links = label = None
+    for _ in range(ROUNDS):
+        found = save(verified(near_links(_mixed(members, label)), texts).select("a", "b"), "jaccard-links")
+        links = found if links is None else save(links.unionByName(found), "jaccard-links")
+        label = components(links)
+    pairs = save(tree_pairs(_mixed(members, label)), "jaccard-pairs")
+    links = save(links.unionByName(verified(pairs, texts).select("a", "b")), "jaccard-links")
     roots = save(components(links), "jaccard-roots")
     placed = (classes.select("cid", "first_doc").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
               .withColumn("root", F.coalesce("root", "cid")))
