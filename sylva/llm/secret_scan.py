@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.common import doc_slices, read_table
-from sylva.llm.words import Capped
+from sylva.llm.common import doc_slices, read_table, sized_slices
+from sylva.llm.words import Capped, split_batch
 
 # fixed values of the contract
 KINDS = ("assign", "access", "hex", "crf")
@@ -41,6 +42,8 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 
 FIT_DOCS = 10_000
 WINDOW = 24
+CACHED_WORDS = 400_000
+BATCH_BYTES = 4 << 20
 OFFSETS = (-3, -2, -1, 0, 1)
 N_SHAPES, N_FILE = 26, 4
 O, B, I = 0, 1, 2  # noqa: E741
@@ -247,15 +250,34 @@ def _span_text(spans: list[tuple]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e, *_ in spans)
 
 
-def scan(text: str, field: Field | None, rows: Capped) -> tuple[list[tuple], list[tuple]]:
-    """(base spans, all spans) of a text."""
+def token_rows(text: str, field: Field) -> array:
+    """For each token of a text its row in the field's table; bit 32 marks letters mixed with digits."""
+    profiles = map(shape, _TOKEN.findall(text))
+    return array("q", [field.lookup(p) | bool(p & _MIXED) << 32 for p in profiles])
+
+
+def batch_rows(texts: pa.Array, words: Capped) -> Iterator[np.ndarray]:
+    """``token_rows`` of each text; no token spans white space, so each distinct word of the batch is cut once."""
+    distinct, codes, ends = split_batch(texts)
+    known = [words[w] for w in distinct.to_numpy(zero_copy_only=False).tolist()]
+    length = np.fromiter(map(len, known), np.int64, len(known))
+    rows = np.concatenate([np.empty(0, np.int64), *(np.frombuffer(k, np.int64) for k in known if len(k))])
+    place = np.cumsum(length) - length
+    n = length[codes]
+    upto = np.concatenate([[0], np.cumsum(n)])
+    own = rows[np.repeat(place[codes] - upto[:-1], n) + np.arange(upto[-1])]
+    at = 0
+    for end in upto[ends].tolist():
+        yield own[at:end]
+        at = end
+
+
+def scan(text: str, field: Field | None, own: np.ndarray) -> tuple[list[tuple], list[tuple]]:
+    """(base spans, all spans) of a text with the given ``token_rows``."""
     base = base_spans(text)
-    tokens = _TOKEN.findall(text) if field else []
-    if not tokens:
+    if not field or not len(own):
         return base, base
-    own = np.fromiter(map(rows.__getitem__, tokens), np.int64, len(tokens))
-    mixed = int((own >> 32).sum())
-    tags = field.decode(field.scores(own & 0xFFFFFFFF, file_features(len(tokens), mixed, text)))
+    tags = field.decode(field.scores(own & 0xFFFFFFFF, file_features(len(own), int((own >> 32).sum()), text)))
     if not tags.any():
         return base, base
     found = list(_TOKEN.finditer(text))
@@ -274,15 +296,11 @@ def scan_secrets(docs: DataFrame, field: Field | None) -> DataFrame:
     """Per document: n_assign, n_access, n_hex, base_sha256, spans and n_crf."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(token: str) -> int:
-            profile = shape(token)
-            return field.lookup(profile) | bool(profile & _MIXED) << 32
-
-        rows = Capped(row)
-        for b in doc_slices(batches):
+        words = Capped(lambda w: token_rows(w, field) if field else array("q"), CACHED_WORDS)
+        for b in sized_slices(batches, "text", BATCH_BYTES):
             out = []
-            for t in b.column("text").to_pylist():
-                base, spans = scan(t or "", field, rows)
+            for t, own in zip(b.column("text").to_pylist(), batch_rows(b.column("text"), words), strict=True):
+                base, spans = scan(t or "", field, own)
                 kinds = [s[0] for s in spans]
                 digest = hashlib.sha256(_span_text(base).encode()).hexdigest()
                 out.append((*(kinds.count(k) for k in KINDS), digest, _span_text(spans)))

@@ -3,6 +3,7 @@ import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from sylva.llm import licenses, secret_scan
 from sylva.llm.words import Capped
@@ -108,11 +109,17 @@ def test_gradient_training_learns_spans_and_shapes():
     texts = [f"some words before token = \"{hashlib.sha1(str(i).encode()).hexdigest()}\" and after it\nmore text here" for i in range(60)]
     rows = [w for t in texts for w in secret_scan.windows(t)]
     field = secret_scan.train(rows)
-    cache = Capped(lambda t: field.lookup(secret_scan.shape(t)) | bool(secret_scan.shape(t) & secret_scan._MIXED) << 32)
-    base, every = secret_scan.scan("words here credential = \"Zx9f8Qe7d6Wc5b4Ta39Yk28v17pRm06Lq3s8x1w2\" end of it", field, cache)
+
+    def ask(text):
+        own = np.frombuffer(secret_scan.token_rows(text, field), np.int64)
+        batch = list(secret_scan.batch_rows(pa.array(["x", text, None]), Capped(lambda w: secret_scan.token_rows(w, field))))
+        assert (batch[1] == own).all() and len(batch) == 3 and not len(batch[2])
+        return secret_scan.scan(text, field, own)
+
+    base, every = ask("words here credential = \"Zx9f8Qe7d6Wc5b4Ta39Yk28v17pRm06Lq3s8x1w2\" end\xa0of it")
     assert not base and [s[0] for s in every] == ["crf"]
-    assert secret_scan.scan("some words before and after it, more text here", field, cache) == ([], [])
-    one = secret_scan.scan(texts[0], field, cache)
+    assert ask("some words before and after it, more text here") == ([], [])
+    one = ask(texts[0])
     assert one[0] == one[1]                        # a span that overlaps a base span is not added
 
 
