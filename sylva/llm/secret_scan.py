@@ -223,7 +223,7 @@ def train(rows: list, steps: int = 150, rate: float = 0.1, ridge: float = 0.02)
     return Field(weight[:-N_FILE].reshape(len(OFFSETS), N_SHAPES, 3), weight[-N_FILE:], moves, start)
 
 
-def fit_field(docs: DataFrame, n: int = FIT_DOCS, most: int = 4000) -> Field | None:
+def fit_field(docs: DataFrame, n: int = FIT_DOCS, most: int = 1500) -> Field | None:
     """The field trained on windows of ``n`` documents picked by a seeded hash of the id; at most ``most`` windows a kind."""
     rank = F.md5(F.concat(F.lit("secrets:"), F.col("doc_id").cast("string")))
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(rank).limit(n)
