@@ -7,6 +7,10 @@ into 16 blocks of 8 bits; if two fingerprints differ in at most ``RADIUS`` = 40
 in at most 2, so looking up the items near each block value finds all items within the radius. Survivors are
 compared exactly: weight of common shingles over weight of all shingles of both, at least 0.75.
 
+A long word can put a pair that meets 0.75 beyond the radius, so the radius decides nothing by itself: an item is left out
+only if the document's distinct common shingles weigh under 0.75 of the item (no window can then reach 0.75), and
+every other item is also compared exactly with all windows that share a shingle with it.
+
 The benchmark is a stated query set: it is read in blocks of at most ``ITEMS`` items, each of which goes to every
 task as arrays (a few MB) while the documents stream by. Documents are never shuffled.
 
@@ -70,6 +74,39 @@ def similarity(a: dict[int, int], b: dict[int, int]) -> float:
     return common / (sum(a.values()) + sum(b.values()) - common)
 
 
+def window_similarities(shingles: np.ndarray, weight: np.ndarray, size: int, own: np.ndarray, total: int) -> np.ndarray:
+    """Exact similarity of each run of ``size`` shingles with the set ``own`` of weight ``total``."""
+    n, at = len(shingles) - size + 1, np.arange(len(shingles))
+    # a shingle counts in the windows that hold this place of it and no earlier one
+    order = np.argsort(shingles, kind="stable")
+    same = shingles[order[1:]] == shingles[order[:-1]]
+    before = np.full(len(shingles), -1)
+    before[order[1:][same]] = order[:-1][same]
+    after = np.minimum(at, n - 1) + 1
+    first = np.minimum(np.maximum(before + 1, at - size + 1), after)
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        steps = np.zeros(n + 1, np.int64)
+        np.add.at(steps, first, w)
+        np.subtract.at(steps, after, w)
+        return np.cumsum(steps[:n])
+
+    common = sums(np.where(np.isin(shingles, own), weight, 0))
+    return common / (total + sums(weight) - common)
+
+
+def spans(at: np.ndarray, size: int, last: int) -> list[list[int]]:
+    """First and last start, at most ``last``, of each stretch of windows of ``size`` that hold one of the places ``at``."""
+    begin, end = np.clip(at - size + 1, 0, last), np.clip(at, 0, last)
+    runs: list[list[int]] = []
+    for b, e in zip(begin.tolist(), end.tolist(), strict=True):
+        if runs and b <= runs[-1][1] + 1:
+            runs[-1][1] = max(runs[-1][1], e)
+        else:
+            runs.append([b, e])
+    return runs
+
+
 class Items:
     """One block of benchmark items, ready to be searched."""
 
@@ -96,7 +133,13 @@ class Items:
             # multi-index: for each block and value, the items whose block is near that value
             group["prints"] = prints
             group["near"] = np.stack([_NEAR[:, prints[:, b]] for b in range(BLOCKS)])
-            group["own"] = np.unique(np.array([s for x in group["sets"] for s in x], np.uint64))
+            group["keys"] = [np.array(list(x), np.uint64) for x in group["sets"]]
+            group["total"] = np.array([sum(x.values()) for x in group["sets"]])
+            group["own"], place = np.unique(np.concatenate(group["keys"]), return_inverse=True)
+            # the items that hold each shingle: holders[starts[j]:starts[j + 1]] for shingle own[j]
+            order = np.argsort(place, kind="stable")
+            group["holders"] = np.repeat(np.arange(len(prints)), [len(x) for x in group["keys"]])[order]
+            group["starts"] = np.searchsorted(place[order], np.arange(len(group["own"]) + 1))
         for k, sizes in self.k_sizes.items():
             self.known[k] = np.unique(np.concatenate([self.by_size[n]["own"] for n in sizes]))
             self.table[k] = np.zeros(1 << _TABLE_BITS, bool)
@@ -125,17 +168,15 @@ class Items:
     def _windows(self, shingles, weight, at, n: int, group: dict, found: dict) -> None:
         size = min(n - group["k"] + 1, len(shingles))  # shingles in a window
         last = len(shingles) - size
-        begin, end = np.clip(at - size + 1, 0, last), np.clip(at, 0, last)
-        runs: list[list[int]] = []
-        for b, e in zip(begin.tolist(), end.tolist(), strict=True):
-            if runs and b <= runs[-1][1] + 1:
-                runs[-1][1] = max(runs[-1][1], e)
-            else:
-                runs.append([b, e])
-        for b, e in runs:
+        items = self._possible(shingles, weight, at, group)
+        if not len(items):
+            return
+        at = at[np.isin(shingles[at], np.concatenate([group["keys"][i] for i in items]))]
+        for b, e in spans(at, size, last):
             prints = fingerprints(shingles[b:e + size], weight[b:e + size], size)
-            near = reduce(np.logical_or, (group["near"][i][prints[:, i]] for i in range(BLOCKS)))
-            for w, i in zip(*np.nonzero(near), strict=True):
+            near = reduce(np.logical_or, (group["near"][i][:, items][prints[:, i]] for i in range(BLOCKS)))
+            for w, c in zip(*np.nonzero(near), strict=True):
+                i = items[c]
                 distance = int(_ONES[prints[w] ^ group["prints"][i]].sum())
                 if distance > RADIUS:
                     continue
@@ -144,6 +185,35 @@ class Items:
                 item = group["ids"][i]
                 if alike >= LEAST and (item not in found or alike > found[item][4]):
                     found[item] = (item, int(b + w), int(size + group["k"] - 1), distance, float(alike))
+        for i in items:
+            self._beyond(shingles, weight, at, size, i, group, found)
+
+    @staticmethod
+    def _possible(shingles, weight, at, group: dict) -> np.ndarray:
+        """Items of which the text's distinct shingles hold at least the least share of the weight."""
+        distinct, first = np.unique(shingles[at], return_index=True)
+        held = np.searchsorted(group["own"], distinct)
+        counts = group["starts"][held + 1] - group["starts"][held]
+        step = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        holders = group["holders"][np.repeat(group["starts"][held], counts) + step]
+        common = np.bincount(holders, np.repeat(weight[at[first]], counts), len(group["ids"]))
+        return np.nonzero(common >= LEAST * group["total"])[0]
+
+    @staticmethod
+    def _beyond(shingles, weight, at, size: int, i: int, group: dict, found: dict) -> None:
+        """Compare an item with all windows that share a shingle with it, whatever their fingerprints' distance."""
+        item, own, total = group["ids"][i], group["keys"][i], int(group["total"][i])
+        for b, e in spans(at[np.isin(shingles[at], own)], size, len(shingles) - size):
+            part, heavy = shingles[b:e + size], weight[b:e + size]
+            alike = window_similarities(part, heavy, size, own, total)
+            w = int(alike.argmax())
+            if alike[w] < LEAST:
+                continue
+            best, start = float(alike[w]), b + w
+            if item not in found or (-best, start) < (-found[item][4], found[item][1]):
+                own_print = fingerprints(part[w:w + size], heavy[w:w + size], size)[0]
+                distance = int(_ONES[own_print ^ group["prints"][i]].sum())
+                found[item] = (item, start, int(size + group["k"] - 1), distance, best)
 
 
 def item_blocks(benchmark: DataFrame, items: int = ITEMS) -> Iterator[list[tuple[int, str]]]:

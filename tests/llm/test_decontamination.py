@@ -116,3 +116,34 @@ def test_search_is_case_blind_for_ascii_only():
     cache = Capped(word_hash)
     assert items.search(*D.word_parts("É ONE two three four five", cache))
     assert not items.search(*D.word_parts("é one two three four five", cache))
+
+
+def long_word_cases():
+    """Items with one long word, each in a document with that word changed: alike by weight, far apart in the SimHash."""
+    rnd = random.Random(11)
+    items, docs = [], []
+    for i, (n, size, place) in enumerate([(60, 150, 59), (100, 250, 99), (150, 400, 149), (300, 150, 150)] * 2):
+        words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(4, 5))) for _ in range(n)]
+        long = "".join(rnd.choice("abcdef0123456789") for _ in range(size))
+        items.append((i, " ".join(words[:place] + [long] + words[place + 1:])))
+        for j, changed in enumerate(["x" * size, "short", long]):
+            body = [f"d{rnd.randint(0, 10**6)}" for _ in range(40)]
+            docs.append((10 * i + j, " ".join(body[:20] + words[:place] + [changed] + words[place + 1:] + body[20:])))
+    items.append((90, "again and again and again and again and again and once more"))
+    docs.append((900, "so again and again and again and again and again and again and once more"))
+    docs.append((901, items[0][1] + " gap " + items[0][1][::-1] + " " + items[0][1]))
+    return docs, items
+
+
+def test_long_words_lose_no_leak():
+    docs, items = long_word_cases()
+    block, cache = D.Items(items), Capped(word_hash)
+    far = 0
+    for _, text in docs:
+        got = {r[0]: r for r in block.search(*D.word_parts(text.lower(), cache))}
+        want = brute(text, items)
+        assert set(got) == set(want)
+        for item, (_, start, _, distance, alike) in got.items():
+            assert start == want[item][0] and abs(alike - want[item][1]) < 1e-9
+            far += distance > D.RADIUS
+    assert far
