@@ -55,16 +55,19 @@ PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 
 _WORD_BYTES = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
                     for b in range(256))
-_TAG = re.compile(r"SPDX-License-Identifier\s*:?[ \t]*([^\r\n]*)", re.IGNORECASE | re.ASCII)
-_TOKEN = re.compile(r"\s*(\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*)")
+_TAG = re.compile(r"SPDX-License-Identifier\s*:?[ \t]*", re.IGNORECASE | re.ASCII)
+_TOKEN = re.compile(r"[^\S\r\n]*(\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*)")  # an expression ends with its line
 
 
-def expression_tokens(text: str) -> list[str]:
-    """The tokens of the longest start of ``text`` in which operands and operators alternate, without open ends."""
-    out, at, want, depth, good = [], 0, True, 0, 0
+def parse_expression(text: str, at: int) -> tuple[list[str], int]:
+    """The tokens of the longest stretch from ``at`` in which operands and operators alternate, without open ends, and
+    where it ends. A line's end and another tag end it, too."""
+    out, want, depth, good, end = [], True, 0, 0, at
     while m := _TOKEN.match(text, at):
         t = m[1].lower()
         if want:
+            if _TAG.match(t):
+                break
             if t in PRECEDENCE or t == ")":
                 break
             depth += t == "("
@@ -80,8 +83,23 @@ def expression_tokens(text: str) -> list[str]:
         out.append(t)
         at = m.end()
         if not want and not depth:
-            good = len(out)
-    return [t.rstrip(".") if t not in "()" else t for t in out[:good]]
+            good, end = len(out), at
+    return [t.rstrip(".") if t not in "()" else t for t in out[:good]], end
+
+
+def expression_tokens(text: str) -> list[str]:
+    """The tokens of the expression that ``text`` begins with."""
+    return parse_expression(text, 0)[0]
+
+
+def tag_expressions(text: str) -> tuple[list[list[str]], str]:
+    """The tokens after each tag, and the text with tags and these expressions each replaced by a word of no notice."""
+    expressions, rest, at = [], [], 0
+    while m := _TAG.search(text, at):
+        rest.append(text[at:m.start()])
+        tokens, at = parse_expression(text, m.end())
+        expressions.append(tokens)
+    return expressions, "\nspdx\n".join([*rest, text[at:]])
 
 
 def to_postfix(tokens: list[str]) -> list[str]:
@@ -162,8 +180,10 @@ def scan(text: str, automaton) -> dict:
     base = {label for *_, kind, label in found if kind == "base"}
     trust = [TRUST[kind] for *_, kind, _ in found]
     tagged = any(kind == "tag" for *_, kind, _ in found)
+    expressions = []
     if tagged:  # ids in the expression of a tag are no notices
-        words, found = _hits(_TAG.sub("\n", text), automaton)
+        expressions, rest = tag_expressions(text)
+        words, found = _hits(rest, automaton)
     notices = [(s, e, label) for s, e, kind, label in found if kind == "notice"]
     labels, chosen, level = set(base), set(), None
 
@@ -174,10 +194,9 @@ def scan(text: str, automaton) -> dict:
         chosen.update(best)
         level = at if level is None else max(level, at)
 
-    if tagged:
-        for m in _TAG.finditer(text):
-            if tokens := expression_tokens(m[1]):
-                take(tokens)
+    for tokens in expressions:
+        if tokens:
+            take(tokens)
     # of notices that begin at one word the longest names the licence; neighbours may be joined by a word
     longest = {s: (s, e, label) for s, e, label in sorted(notices, key=lambda x: (x[0], x[1]))}
     chain: list[str] = []

@@ -53,6 +53,25 @@ def test_tags_and_notices():
     assert licenses.scan("nothing", AUTOMATON)["score"] == 0.0
 
 
+def test_tags_in_texts_without_line_breaks():
+    def ask(text):
+        r = licenses.scan(text, AUTOMATON)
+        return r["labels"], r["chosen"], r["level"]
+
+    tag = "SPDX-License-Identifier:"
+    assert ask(f"/* {tag} MIT */ f(); /* {tag} GPL-3.0 */ g(); all rights reserved") == (
+        "gpl-3.0,mit,proprietary", "gpl-3.0,mit,proprietary", "restricted")
+    assert ask(f"{tag} MIT OR GPL-2.0 */ x {tag} (ISC OR broken {tag} MPL-2.0") == (
+        "gpl-2.0,mit,mpl-2.0", "mit,mpl-2.0", "weak copyleft")
+    assert ask(f"{tag} MIT OR {tag} GPL-3.0") == ("gpl-3.0,mit", "gpl-3.0,mit", "copyleft")
+    assert ask(f"{tag} {tag} ISC") == ("isc", "isc", "permissive")
+    # a tag's ids are no notices; words on both sides of a tag form none either; a line's end ends the expression
+    assert ask(f"{tag} MIT OR GPL-3.0 rest")[1] == "mit"
+    assert ask(f"all rights {tag} MIT */ reserved") == ("mit", "mit", "permissive")
+    assert ask(f"{tag} MIT\nOR GPL-3.0-only")[0] == "gpl-3.0,mit"
+    assert ask(f"{tag} MIT */ mit license or {tag} ISC */ gplv3")[1] == "gpl-3.0,isc,mit"
+
+
 def test_scan_query_rows(spark):
     got = licenses.scan_licenses(odd_docs.table(spark)).collect()
     assert len(got) == len(odd_docs.rows()) and licenses.scan_licenses(odd_docs.empty(spark)).count() == 0
