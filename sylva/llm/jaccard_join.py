@@ -39,6 +39,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylva.llm.common import doc_slices, per_worker, read_table, save, sized_slices
 from sylva.llm.components import components
@@ -226,6 +227,19 @@ def document_points(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, cid long, tokens array<long>, point binary")
 
 
+def with_class(docs: DataFrame, name: str) -> DataFrame:
+    """All columns and, as ``name``, the class of equal sets of the row's text; null for the empty set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = per_worker("words", lambda: Capped(word_hash))
+        for b in sized_slices(batches, "text", BATCH_BYTES):
+            sets = [shingle_set(hashes, WORDS) for hashes, _ in batch_words(b.column("text"), cache)]
+            cids = pa.array([class_id(s) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*b.columns, cids], [*b.schema.names, name])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def crowded_tokens(classes: DataFrame) -> np.ndarray:
     """Shingles (as signed hashes) whose buckets of smallest hashes would hold too many classes.
 

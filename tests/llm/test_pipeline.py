@@ -41,3 +41,17 @@ def test_mixing_stage_repeats_rows_by_budget(spark):
     mixed = stages.mix(spark, docs, "")
     times = collections.Counter(str(r) for r in mixed.collect())
     assert max(times.values()) <= 4 and mixed.columns == docs.columns       # two rows of the table are equal
+
+
+def test_one_row_of_a_component_stays_with_null_and_repeated_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    rows = [(None, a), (None, a), (None, a + " near"),            # copies without an id only
+            (3, b), (None, b), (None, b + " near"),               # copies of a kept document
+            (5, c), (5, b + " end"), (5, c + " near"), (5, c),    # id 5 stands for c, not for its row in b's component
+            (7, d), (8, d + " near"),
+            (None, ""), (None, None), (9, ""), (9, ""), (10, " ")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int")
+    kept = stages.drop_near_copies(spark, docs, "").collect()
+    assert collections.Counter((r.text or "")[:1].strip() for r in kept) == {"a": 1, "b": 1, "c": 1, "d": 1, "": 4}
+    assert {r.doc_id for r in kept if r.text and r.text.strip() and r.text[0] != "a"} == {3, 5, 7}
+    assert len({r.n for r in kept}) == len(kept)
