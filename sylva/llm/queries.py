@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from sylva.llm import (
+    conversation_repair,
     decontamination,
     jaccard_join,
     licenses,
@@ -13,6 +14,8 @@ from sylva.llm import (
     sharding,
     tokens,
     toxicity,
+    vector_codes,
+    warc,
 )
 
 QUERIES = {
@@ -26,9 +29,15 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_quality_classifier": quality_classifier.op10_quality_classifier,
+    "op11_vector_codes": vector_codes.op11_vector_codes,
+    "op12_repair_conversations": conversation_repair.op12_repair_conversations,
+    "op13_warc": warc.op13_warc,
 }
 
 ORACLES = {
     "op5_jaccard_join": jaccard_join.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
+    "op11_vector_codes": vector_codes.ORACLE,
+    "op12_repair_conversations": conversation_repair.ORACLE,
+    "op13_warc": warc.ORACLE,
 }
