@@ -8,6 +8,8 @@ it are emitted and their nodes dropped, so memory holds the unresolved part only
 one with the least edit string wins; two tied survivors are compared over the whole of their unresolved parts.
 (No cheapest path into a state is a proper prefix of another one into the same state, because they could
 differ only by inserts that end in the same state and cost more. So what is least stays least later on.)
+A survivor that can no longer win is dropped (see ``WITHIN``): else the path that deletes everything, which
+shares no edit with the others, would keep the tree from ever becoming certain.
 
 How it runs. Equal rows of a conversation are one row with a count. Rows are range-sorted by (conversation,
 turn, role, digest of the text), so a conversation of any size spreads over several tasks. Conversations
@@ -58,9 +60,15 @@ class _Node:
 
 
 class Survivors:
-    """The best path into each state, as leaves of one tree; ``step`` yields the edges that have become certain."""
+    """The best path into each state, as leaves of one tree; ``step`` yields the edges that have become certain.
 
-    def __init__(self, starts: Iterable[int] = (START,)):
+    ``within`` tells what a state can cost more than another one from here on, whatever follows:
+    ``within[t, f]`` = the most that going on from t can cost above going on from f. A survivor in f whose cost
+    lies further above one in t can no longer win, not even by a tie, and is dropped.
+    """
+
+    def __init__(self, starts: Iterable[int] = (START,), within: dict[tuple[int, int], int] | None = None):
+        self.within = within or {}
         self.root = _Node(None, "", None)
         self.best: dict[int, tuple[int, _Node]] = {}
         for s in starts:
@@ -94,6 +102,10 @@ class Survivors:
             if now is None or cost < now[0] or (
                     cost == now[0] and self._suffix(held[1]) + arc[3] < self._suffix(now[1]) + now[2][3]):
                 chosen[arc[1]] = (cost, held[1], arc)
+        lost = [f for (t, f), more in self.within.items()
+                if t in chosen and f in chosen and chosen[f][0] > chosen[t][0] + more]
+        for f in set(lost):
+            del chosen[f]
         old, self.best = self.best, {}
         for to, (cost, parent, arc) in chosen.items():
             node = _Node(parent, arc[3], arc[4] if len(arc) > 4 else None)
@@ -125,6 +137,13 @@ _AHEAD = {START: [(START, 0, ""), (USER, INSERT, "I"), (ASSISTANT, 2 * INSERT, "
           SYSTEM: [(SYSTEM, 0, ""), (USER, INSERT, "I"), (ASSISTANT, 2 * INSERT, "II")],
           USER: [(USER, 0, ""), (ASSISTANT, INSERT, "I")],
           ASSISTANT: [(ASSISTANT, 0, ""), (USER, INSERT, "I")]}
+#: See ``Survivors.within``. From ``a`` all that is open to ``s`` costs the same; what is open to the empty
+#: start may keep one ``s`` row that has to go after an ``a``; the start can go on like an ``a``; after an ``s``
+#: a conversation cannot end, so it may need both a user and an assistant; one insert leads from ``u`` to ``a`` or back.
+WITHIN = {(ASSISTANT, START): DELETE, (ASSISTANT, SYSTEM): 0, (ASSISTANT, USER): INSERT,
+          (USER, ASSISTANT): INSERT, (USER, START): INSERT + DELETE, (USER, SYSTEM): INSERT,
+          (START, ASSISTANT): 0, (START, SYSTEM): 0, (START, USER): INSERT,
+          (SYSTEM, ASSISTANT): 2 * INSERT, (SYSTEM, START): 2 * INSERT, (SYSTEM, USER): INSERT}
 #: Arcs at the end of a conversation: what is still inserted.
 CLOSING = [(f, to, c, label, label) for f in STATES for to, c, label in _AHEAD[f] if to in ACCEPT]
 
@@ -217,7 +236,7 @@ class Tally:
 
 def solve(rows: Iterable[Row], start: int = START) -> tuple[Survivors, list[str]]:
     """Survivors after ``rows`` from one state, and the labels that are certain by then."""
-    paths, sure = Survivors([start]), []
+    paths, sure = Survivors([start], WITHIN), []
     for r in rows:
         for arcs in r.steps():
             sure += [label for label, _ in paths.step(arcs)]
@@ -405,7 +424,7 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chain the blocks of each conversation, in order; yields the way through each block and a row of totals."""
     kind, conv, seen, pending = None, None, False, []
-    paths, tally = Survivors(), Tally()
+    paths, tally = Survivors(within=WITHIN), Tally()
 
     def flush() -> pa.RecordBatch:
         cols = [pa.array([r.get("conv_id") for r in pending], kind)]
@@ -435,7 +454,7 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not seen or r["conv_id"] != conv:
                 if seen:
                     close()
-                conv, seen, paths, tally = r["conv_id"], True, Survivors(), Tally()
+                conv, seen, paths, tally = r["conv_id"], True, Survivors(within=WITHIN), Tally()
             tally.add(Tally([r[f] for f in Tally.FIELDS]))
             settle(paths.step([(p["start"], p["end"], p["cost"], p["audit"], (r["part"], r["block"], p["start"], p["end"]))
                                for p in r["paths"]]))
