@@ -403,7 +403,7 @@ def scan_records(archive: Archive) -> DataFrame:
 
     files = archive.records.select("file").distinct()
     n = shuffle_partitions(files.sparkSession)
-    return files.repartition(n, "file").mapInArrow(run, _PARSED)
+    return files.repartitionByRange(n, "file").mapInArrow(run, _PARSED)
 
 
 def fetch_records(archive: Archive, captures: DataFrame) -> DataFrame:
