@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sylva.llm.attach import attach
 from sylva.llm.common import read_table, save
+from sylva.operators.lookup import attach
 
 SCALE = 1024
 PARTS = 4

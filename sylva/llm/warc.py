@@ -42,8 +42,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.attach import attach
 from sylva.llm.common import read_table, save, shuffle_partitions
+from sylva.operators.lookup import attach
 from sylva.session import new_table_path
 
 LEAST = 1000  # bytes of a payload from which copies become revisits

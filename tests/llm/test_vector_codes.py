@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from sylva.llm import vector_codes as vc
-from sylva.llm.attach import attach
+from sylva.operators.lookup import attach
 
 SCHEMA = "vec_id long, embedding array<float>, label int, error int, part string, ids int"
 
