@@ -67,6 +67,23 @@ LEAVES = f"""
          '001002003007', 4, false, false, CASE WHEN nl >= 2 THEN 4 ELSE 3 END, '', 0,
          '007003002001', CASE WHEN nl >= 2 THEN '007003002001' ELSE '007003001' END FROM ({LINES}) x"""
 
+# Distinct paths to inner nodes; a single-child order has no line items, a single-child list one.
+PATH_TRIE = """
+  WITH o AS (SELECT coalesce(c.nl, 0) AS nl FROM orders LEFT JOIN
+             (SELECT l_orderkey AS k, count(*) AS nl FROM lineitem GROUP BY l_orderkey) c ON c.k = o_orderkey),
+  p AS (SELECT '001' AS path_ids, CASE WHEN nl = 0 THEN '' ELSE '001' END AS fork_ids, 1 AS path_len,
+               CASE WHEN nl = 0 THEN 0 ELSE 1 END AS fork_len, '001' AS reversed_ids, 1 AS symbol, nl = 0 AS is_single, 1 AS w FROM o
+        UNION ALL SELECT '001002', CASE WHEN nl = 1 THEN '001' ELSE '001002' END, 2, CASE WHEN nl = 1 THEN 1 ELSE 2 END,
+               '002001', 2, nl = 1, 1 FROM o WHERE nl > 0
+        UNION ALL SELECT '001002003', CASE WHEN nl = 1 THEN '001003' ELSE '001002003' END, 3, CASE WHEN nl = 1 THEN 2 ELSE 3 END,
+               '003002001', 3, false, nl FROM o WHERE nl > 0
+        UNION ALL SELECT '001002003004', CASE WHEN nl = 1 THEN '001003004' ELSE '001002003004' END, 4,
+               CASE WHEN nl = 1 THEN 3 ELSE 4 END, '004003002001', 4, false, nl FROM o WHERE nl > 0
+        UNION ALL SELECT '001002003004009', CASE WHEN nl = 1 THEN '001003004' ELSE '001002003004' END, 5,
+               CASE WHEN nl = 1 THEN 3 ELSE 4 END, '009004003002001', 9, true, nl FROM o WHERE nl > 0)
+  SELECT path_ids, fork_ids, path_len, fork_len, reversed_ids, symbol, is_single, sum(w)::BIGINT AS n_nodes, path_len = 1 AS is_root
+  FROM p GROUP BY ALL"""
+
 ERROR_LINES = f"""
 WITH pairs AS ({PAIRS}),
 leaves AS (SELECT doc_id, fork_ids || leaf_value AS signature, leaf_row FROM ({LEAVES}) lv),
@@ -323,6 +340,7 @@ ORACLES: dict[str, str] = {
     # trees
     "root_paths": f"""
       SELECT doc_id, all_ids AS path_ids, path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
+    "path_trie": PATH_TRIE,
     "fork_paths": f"""
       SELECT doc_id, fork_ids AS path_ids, fork_len AS path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
     "reversed_paths": f"""

@@ -17,9 +17,11 @@ def _col(c: str | Column) -> Column:
 def padded_symbol(symbol: str | Column) -> Column:
     """Symbol id zero-padded to at least three digits (``7`` -> ``007``, ``1200`` stays).
 
-    ``format_string`` keeps longer numbers whole, unlike ``lpad`` which cuts them.
+    ``lpad`` alone would cut longer numbers; ``format_string`` would do, but costs far more a row.
     """
-    return F.format_string("%03d", _col(symbol))
+    s = _col(symbol)
+    text = s.cast("string")
+    return F.when(s.between(0, 99), F.lpad(text, 3, "0")).when(s >= 100, text).otherwise(F.format_string("%03d", s))
 
 
 def path_ids(path: str | Column = "path", separator: str = "") -> Column:

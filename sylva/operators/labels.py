@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sylva.functions.text import numbered_line, split_lines, with_extension
 from sylva.operators.sampling import range_rank
+from sylva.session import write_table
 
 PAIR_KEY = ["problem_id", "user_id"]
 
@@ -83,7 +84,7 @@ def review_sheet(pairs: DataFrame, listings: DataFrame, error_lines: DataFrame,
     n = base.groupBy("problem_id").agg(F.count(F.lit(1)).alias("n_pairs"))
     p = range_rank(base, ["problem_id"], ["ok_id", "pt_id"], "pos").join(n, "problem_id")
     position = F.format_string("%d / %d", F.col("pos"), F.col("n_pairs"))
-    p = p.select(*PAIR_KEY, "ok_id", "pt_id", position.alias("position"))
+    p = write_table(p.select(*PAIR_KEY, "ok_id", "pt_id", position.alias("position")), "pairs")  # read by every part below
     none = F.lit(None).cast("string")
     pt = p.join(listings.select(F.col("doc_id").alias("pt_id"), "line", F.col("text").alias("pt_text")), "pt_id")
     ok = p.join(listings.select(F.col("doc_id").alias("ok_id"), "line", F.col("text").alias("ok_text")), "ok_id")

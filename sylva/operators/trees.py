@@ -1,13 +1,17 @@
 """Tree operators over the ``nodes`` table (one row per node, parent pointers).
 
-Paths are built by pointer doubling (see :func:`fold_paths`). Every inner node
+Paths are built by following pointers (see :func:`fold_paths`). Every inner node
 holds a pointer to an ancestor and a value folded over the nodes below that
-ancestor down to itself; a round joins each node with the row its pointer
-names, joins the two values and takes over that row's pointer, so a tree of
-depth ``d`` needs about ``log2(d)`` rounds. Nodes whose pointer has reached
+ancestor down to itself; a jump joins each node with the row its pointer
+names, joins the two values and takes over that row's pointer. Pointers never
+leave a document, so rows are dealt by document once a round and a round makes
+``JUMPS`` jumps without another exchange: a tree of depth ``d`` needs about
+``log(d) / log(JUMPS + 1)`` rounds. Documents that would not fit in a task go
+through rounds of one jump, dealt by node. Nodes whose pointer has reached
 their start node leave the rounds. Only inner nodes take part; terminals (most
 of a tree) are attached to their parents at the end, in one join salted by
 child ordinal, so the children of one very wide node spread over many tasks.
+The node table is written once and read by both.
 
 A walk carries only the folds that are asked for. Rounds are written to the
 shared checkpoint folder (``spark.checkpoint.dir``), so the plan stays flat
@@ -17,20 +21,28 @@ parent row is missing raises an error when the result is computed.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylva.functions.paths import fork_nodes, padded_symbol, path_ids
 from sylva.functions.text import byte_slice
+from sylva.operators.lookup import attach
 from sylva.schemas import PATH_NODE_FIELDS
 from sylva.session import write_table
 
 # Children of one node that one task attaches at most.
 CHILDREN_PER_TASK = 10_000
+# Joins of a round over documents that fit in a task: a round multiplies the distance covered by JUMPS + 1.
+JUMPS = 4
+# Inner nodes of a document that one task walks at most; larger documents are walked over many tasks.
+NODES_PER_TASK = 4_000_000
+# Rows of one partition are joined by hash up to this size, by sorting beyond.
+HASH_JOIN_BYTES = "64m"
 
 
 @dataclass(frozen=True)
@@ -95,6 +107,107 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _written(nodes: DataFrame, start: Column | None, leaf_filter: Column | None) -> DataFrame:
+    """The node table of a walk, written once: with ``_start``, and without the terminals that ``leaf_filter`` drops."""
+    anchor = F.col("parent_id").isNull() if start is None else F.coalesce(start, F.lit(False))
+    t = nodes.withColumn("_start", anchor)
+    if leaf_filter is not None:
+        t = t.where((F.col("child_count") > 0) | leaf_filter)
+    return write_table(t, "walk")
+
+
+@contextmanager
+def _by_document(spark: SparkSession) -> Iterator[None]:
+    """Let joins on (document, node) use rows that are dealt by document alone, and hash joins where partitions are small."""
+    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false",
+              "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": HASH_JOIN_BYTES}
+    old = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _jump(moving: DataFrame, above: DataFrame, folds: dict[str, Fold]) -> DataFrame:
+    """Join every row with the row its pointer names; rows that are done match nothing and stay as they are."""
+    j = moving.join(above, (F.col("doc_id") == F.col("_doc")) & (F.col("up") == F.col("_at")), "left")
+    found = F.col("_doc").isNotNull()
+    return j.select(
+        "doc_id", "node_id", "parent_id", "child_count", "is_start",
+        *[F.when(found, f.join(F.col(f"_{k}"), F.col(k))).otherwise(F.col(k)).alias(k) for k, f in folds.items()],
+        F.when(found, F.col("_up")).alias("up"), F.when(found, F.col("_top")).otherwise(F.col("top")).alias("top"),
+        F.when(found, F.col("_lost")).otherwise(F.col("lost") | F.col("up").isNotNull()).alias("lost"))
+
+
+def _rounds(rows: DataFrame, folds: dict[str, Fold], max_depth: int, together: bool,
+            most: int | None = None) -> list[DataFrame] | None:
+    """Follow all pointers to their ends; the tables returned hold each row of ``rows`` once.
+
+    With ``most``: None if some pointer has not reached its end after so many rounds.
+
+    ``together``: rows are dealt by document once a round, which then makes ``JUMPS`` joins without a
+    further exchange. Otherwise a round is one join dealt by (document, pointer), so that no document
+    has to fit in a task.
+    """
+    done, moving, covered = [rows.where("up IS NULL")], rows.where("up IS NOT NULL"), 1
+    while not moving.isEmpty():
+        if most is not None and len(done) > most:
+            return None
+        if covered > max_depth:
+            raise ValueError(f"trees deeper than max_depth={max_depth} (cycle in parent pointers?)")
+        above = _union([*done, moving]).select(
+            F.col("doc_id").alias("_doc"), F.col("node_id").alias("_at"), F.col("up").alias("_up"),
+            F.col("top").alias("_top"), F.col("lost").alias("_lost"), *[F.col(k).alias(f"_{k}") for k in folds])
+        jumps = min(JUMPS, max(1, max_depth // covered)) if together else 1
+        if together:
+            above, moving = above.repartition("_doc"), moving.repartition("doc_id")
+        for _ in range(jumps):
+            moving = _jump(moving, above, folds)
+        if together:
+            with _by_document(rows.sparkSession):
+                table = write_table(moving, "walk")
+        else:
+            table = write_table(moving, "walk")
+        done.append(table.where("up IS NULL"))
+        moving = table.where("up IS NOT NULL")
+        covered *= jumps + 1
+    return done
+
+
+def _start_rows(table: DataFrame, folds: dict[str, Fold]) -> DataFrame:
+    """Inner nodes with their own values and a pointer to their parent, or none if they are start nodes or roots."""
+    stop = F.col("_start") | F.col("parent_id").isNull()
+    return (table.where("child_count > 0")
+            .select("doc_id", "node_id", "parent_id", "child_count", F.col("_start").alias("is_start"),
+                    *[f.own().alias(k) for k, f in folds.items()],
+                    F.when(~stop, F.col("parent_id")).alias("up"), F.when(F.col("_start"), F.col("node_id")).alias("top"),
+                    F.lit(False).alias("lost")))
+
+
+def _short_folds(table: DataFrame, folds: dict[str, Fold], max_depth: int) -> DataFrame | None:
+    """The folds of all inner nodes if one round reaches them all, else None."""
+    rows = _start_rows(table, folds)
+    done = _rounds(rows, folds, max_depth, together=True, most=1) if rows.count() <= NODES_PER_TASK else None
+    return None if done is None else _union(done).drop("up")
+
+
+def _inner_folds(table: DataFrame, folds: dict[str, Fold], max_depth: int) -> DataFrame:
+    rows = _start_rows(table, folds)
+    large = None
+    if rows.count() > NODES_PER_TASK:
+        large = rows.groupBy("doc_id").count().where(F.col("count") > NODES_PER_TASK).select("doc_id")
+        large = None if large.isEmpty() else write_table(large, "walk")
+    if large is None:
+        done = _rounds(rows, folds, max_depth, together=True)
+    else:
+        done = (_rounds(rows.join(large, "doc_id", "left_anti"), folds, max_depth, together=True)
+                + _rounds(rows.join(large, "doc_id", "left_semi"), folds, max_depth, together=False))
+    return _union(done).drop("up")
+
+
 def inner_folds(nodes: DataFrame, folds: dict[str, Fold], start: Column | None = None,
                 max_depth: int = 10_000) -> DataFrame:
     """Every inner node with its nearest start node and the folds from there down to itself.
@@ -105,35 +218,34 @@ def inner_folds(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
     logarithm of the depth; more than ``max_depth`` allows raises, which also
     catches cycles of parent pointers.
     """
-    anchor = F.col("parent_id").isNull() if start is None else start
-    stop = F.col("is_start") | F.col("parent_id").isNull()
-    rows = (nodes.where(F.col("child_count") > 0)
-            .select("doc_id", "node_id", "parent_id", "child_count", F.coalesce(anchor, F.lit(False)).alias("is_start"),
-                    *[f.own().alias(k) for k, f in folds.items()])
-            .withColumn("up", F.when(~stop, F.col("parent_id")))
-            .withColumn("top", F.when(F.col("is_start"), F.col("node_id")))
-            .withColumn("lost", F.lit(False)))
-    rows = write_table(rows, "walk")
-    done = [rows.where(F.col("up").isNull())]
-    moving = rows.where(F.col("up").isNotNull())
-    covered = 1
-    while not moving.isEmpty():
-        if covered > max_depth:
-            raise ValueError(f"trees deeper than max_depth={max_depth} (cycle in parent pointers?)")
-        above = _union([*done, moving]).select(
-            "doc_id", F.col("node_id").alias("up"), F.lit(True).alias("_found"), F.col("up").alias("_up"),
-            F.col("top").alias("_top"), F.col("lost").alias("_lost"), *[F.col(k).alias(f"_{k}") for k in folds])
-        joined = moving.join(above, ["doc_id", "up"], "left")
-        rows = write_table(joined.select(
-            "doc_id", "node_id", "parent_id", "child_count", "is_start",
-            *[F.when(F.col("_found"), f.join(F.col(f"_{k}"), F.col(k))).otherwise(F.col(k)).alias(k)
-              for k, f in folds.items()],
-            F.col("_up").alias("up"), F.col("_top").alias("top"),
-            (F.col("_found").isNull() | F.col("_lost")).alias("lost")), "walk")
-        done.append(rows.where(F.col("up").isNull()))
-        moving = rows.where(F.col("up").isNotNull())
-        covered *= 2
-    return _union(done).drop("up")
+    return _inner_folds(_written(nodes.where("child_count > 0"), start, None), folds, max_depth)
+
+
+def _with_parents(table: DataFrame, inner: DataFrame, values: list[str]) -> DataFrame:
+    """Terminals of ``table`` with ``top`` and ``values`` of their parents; raises if a row above is missing.
+
+    The join is on (``doc_id``, ``parent_id``, block of child ordinals); a parent stands once for every block of
+    ``CHILDREN_PER_TASK`` children.
+    """
+    block = F.floor(F.coalesce("child_idx", F.lit(0)) / CHILDREN_PER_TASK)
+    leaves = table.where("child_count = 0").withColumn("_block", block)
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("child_count") - 1) / CHILDREN_PER_TASK))
+    parents = inner.select("doc_id", F.col("node_id").alias("parent_id"), F.explode(blocks).alias("_block"),
+                           F.lit(True).alias("_found"), "top", "lost", *values)
+    joined = leaves.join(parents, ["doc_id", "parent_id", "_block"], "left")
+    orphan = (F.col("parent_id").isNotNull() & F.col("_found").isNull()) | F.coalesce("lost", F.lit(False))
+    lost = F.raise_error(F.format_string("node %s of document %s has no parent row above it",
+                                         F.col("node_id").cast("string"), F.col("doc_id")))
+    # the check is part of a value, so that no filter on that value can pass it by
+    return joined.withColumn("top", F.when(orphan, lost.cast("int")).otherwise(F.col("top")))
+
+
+_LEAF_COLUMNS = {"doc_id": "doc_id", "node_id": "leaf_ord", "symbol": "leaf_symbol", "type": "leaf_type",
+                 "is_named": "leaf_is_named", "is_extra": "leaf_is_extra", "value": "leaf_value", "start_row": "leaf_row"}
+
+
+def _leaf_columns() -> list[Column]:
+    return [F.col(c).alias(out) for c, out in _LEAF_COLUMNS.items()]
 
 
 def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None = None,
@@ -147,46 +259,23 @@ def fold_paths(nodes: DataFrame, folds: dict[str, Fold], start: Column | None =
     leaf_value, leaf_row`` and one column per fold. ``leaf_filter`` (over the
     node columns) drops terminals before they are attached.
 
-    Terminals join their parents on (``doc_id``, ``parent_id``, block of child
-    ordinals); a parent stands once for every block of ``CHILDREN_PER_TASK``
-    children. The result is lazy: columns that nobody reads are not computed.
+    ``nodes`` is computed once. The result is lazy: columns that nobody reads are not computed.
     """
-    inner = inner_folds(nodes, folds, start, max_depth)
-    anchor = F.col("parent_id").isNull() if start is None else F.coalesce(start, F.lit(False))
-    leaves = nodes.where(F.col("child_count") == 0)
-    if leaf_filter is not None:
-        leaves = leaves.where(leaf_filter)
-    leaf_cols = ["_leaf_start", *[f"_own_{k}" for k in folds]]
-    leaves = leaves.select("doc_id", "node_id", "parent_id", "symbol", "type", "is_named", "is_extra", "value", "start_row",
-                           F.floor(F.coalesce("child_idx", F.lit(0)) / CHILDREN_PER_TASK).alias("_block"),
-                           anchor.alias("_leaf_start"), *[f.own().alias(f"_own_{k}") for k, f in folds.items()])
-    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("child_count") - 1) / CHILDREN_PER_TASK))
-    parents = inner.select("doc_id", F.col("node_id").alias("parent_id"), F.explode(blocks).alias("_block"),
-                           F.lit(True).alias("_found"), "top", "lost", *folds)
-    joined = leaves.join(parents, ["doc_id", "parent_id", "_block"], "left")
-    orphan = (F.col("parent_id").isNotNull() & F.col("_found").isNull()) | F.coalesce("lost", F.lit(False))
-    lost = F.raise_error(F.format_string("node %s of document %s has no parent row above it",
-                                         F.col("node_id").cast("string"), F.col("doc_id")))
-    # the check is part of a value, so that no filter on that value can pass it by
-    joined = joined.withColumn("top", F.when(orphan, lost.cast("int")).otherwise(F.col("top")))
-    keep = [c for c in joined.columns if c not in (*leaf_cols, *folds)]
-    below = joined.where(F.col("top").isNotNull()).select(
-        *keep, *[f.join(F.col(k), F.col(f"_own_{k}")).alias(k) for k, f in folds.items()])
-    alone = joined.where("_leaf_start").select(*keep, *[F.col(f"_own_{k}").alias(k) for k in folds])
-    out = [below, alone]
-    if start is not None:
-        out += _outer_starts(inner, below, alone, folds, keep)
-    return _union(out).select(
-        "doc_id",
-        F.col("node_id").alias("leaf_ord"),
-        F.col("symbol").alias("leaf_symbol"),
-        F.col("type").alias("leaf_type"),
-        F.col("is_named").alias("leaf_is_named"),
-        F.col("is_extra").alias("leaf_is_extra"),
-        F.col("value").alias("leaf_value"),
-        F.col("start_row").alias("leaf_row"),
-        *folds,
-    )
+    table = _written(nodes, start, leaf_filter)
+    return _fold_terminals(table, _inner_folds(table, folds, max_depth), folds, start)
+
+
+def _fold_terminals(table: DataFrame, inner: DataFrame, folds: dict[str, Fold], start: Column | None = None) -> DataFrame:
+    joined = _with_parents(table, inner, list(folds))
+    below = {k: f.join(F.col(k), f.own()) for k, f in folds.items()}
+    if start is None:  # a terminal is below a root or is one
+        return joined.select(*_leaf_columns(), *[F.when(F.col("top").isNotNull(), v).otherwise(folds[k].own()).alias(k)
+                                                 for k, v in below.items()])
+    keep = ["top", *_LEAF_COLUMNS]
+    under = joined.where("top IS NOT NULL").select(*keep, *[v.alias(k) for k, v in below.items()])
+    alone = joined.where("_start").select(*keep, *[f.own().alias(k) for k, f in folds.items()])
+    out = [under, alone, *_outer_starts(inner, under, alone, folds, keep)]
+    return _union(out).select(*_leaf_columns(), *folds)
 
 
 def _outer_starts(inner: DataFrame, below: DataFrame, alone: DataFrame, folds: dict[str, Fold],
@@ -268,17 +357,116 @@ def path_folds(separator: str = "") -> dict[str, Fold]:
     }
 
 
+# Two primes below 2^31 (products fit a long) and a base for each, for the numbers that stand for path prefixes.
+MODULI = (2_147_483_629, 2_147_483_587)
+BASES = (1_000_003, 1_299_709)
+# Encodings that depend on nothing but the symbols of a path and on which of its nodes have a single child.
+TRIE_ENCODINGS = ("path_ids", "path_len", "fork_ids", "fork_len", "reversed_ids", "reversed_fork_ids")
+# Prefixes whose encodings one task folds at most.
+PREFIXES_PER_TASK = 100_000
+
+
+def _code() -> Column:
+    """A node's symbol and whether it has a single child, as one number above 0."""
+    return F.col("symbol").cast("long") * 2 + (F.col("child_count") == 1).cast("int") + 1
+
+
+def prefix_fold() -> Fold:
+    """Polynomial of the path's codes modulo two primes, with the factors that a longer path needs.
+
+    Four numbers whatever the length of the path: a walk carries these instead of growing strings.
+    """
+
+    def own() -> Column:
+        return F.struct(*[F.pmod(_code(), F.lit(m)).alias(f"h{i}") for i, m in enumerate(MODULI)],
+                        *[F.lit(b).cast("long").alias(f"w{i}") for i, b in enumerate(BASES)])
+
+    def join(upper: Column, lower: Column) -> Column:
+        return F.struct(*[((upper[f"h{i}"] * lower[f"w{i}"] + lower[f"h{i}"]) % m).alias(f"h{i}") for i, m in enumerate(MODULI)],
+                        *[((upper[f"w{i}"] * lower[f"w{i}"]) % m).alias(f"w{i}") for i, m in enumerate(MODULI)])
+
+    return Fold(own, join)
+
+
+def _prefix_id(hashes: list[Column]) -> Column:
+    return F.shiftleft(hashes[0], 31).bitwiseOR(hashes[1])
+
+
+def _prefix_of(fold: str) -> Column:
+    return _prefix_id([F.col(fold)[f"h{i}"] for i in range(len(MODULI))])
+
+
+def _trie(inner: DataFrame, max_depth: int, separator: str, names: list[str]) -> DataFrame:
+    """All distinct prefixes of ``inner`` (folded with ``prefix`` and ``symbol``), written, with their encodings.
+
+    The parent's number follows from a prefix's own number and its last code, so edges come from one partial
+    aggregate without a join. Two prefixes that share a number would give it two edges; that raises an error.
+    """
+    hashes = [F.pmod(F.pmod(F.col("prefix")[f"h{i}"] - _code(), F.lit(m)) * pow(b, -1, m), F.lit(m))
+              for i, (m, b) in enumerate(zip(MODULI, BASES))]
+    edge = [_prefix_of("prefix").alias("prefix"), F.when(F.col("parent_id").isNotNull(), _prefix_id(hashes)).alias("parent"),
+            "symbol", (F.col("child_count") == 1).alias("is_single")]
+    edges = inner.select(*edge).groupBy("prefix", "parent", "symbol", "is_single").agg(F.count(F.lit(1)).alias("n_nodes"))
+    clash = F.raise_error(F.lit("two path prefixes have the same number")).cast("long")
+    alone = F.count(F.lit(1)).over(Window.partitionBy("prefix")) == 1
+    rows = write_table(edges.withColumn("n_nodes", F.when(alone, F.col("n_nodes")).otherwise(clash)), "trie")
+    all_folds = path_folds(separator)
+    folds = {"n_nodes": _last("n_nodes"), "symbol": _last("symbol"), "is_single": _last("is_single"),
+             **{k: all_folds[k] for k in names}}
+    tree = rows.select(F.lit("").alias("doc_id"), F.col("prefix").alias("node_id"), F.col("parent").alias("parent_id"),
+                       "symbol", "is_single", "n_nodes", F.when(F.col("is_single"), 1).otherwise(2).alias("child_count"))
+    small = rows.limit(PREFIXES_PER_TASK + 1).count() <= PREFIXES_PER_TASK
+    done = _rounds(_start_rows(tree.withColumn("_start", F.col("parent_id").isNull()), folds), folds, max_depth, together=small)
+    return _union(done).select(F.col("node_id").alias("prefix"), F.col("parent_id").alias("parent"), "symbol", "is_single",
+                               "n_nodes", *names)
+
+
+def _last(name: str) -> Fold:
+    """A column of the path's last node."""
+    return Fold(lambda: F.col(name), lambda upper, lower: lower)
+
+
+def path_trie(nodes: DataFrame, separator: str = "", max_depth: int = 10_000) -> DataFrame:
+    """Dictionary of the distinct root-to-node paths over inner nodes.
+
+    A path is told by its symbols and by which of its nodes have a single child. Columns: ``prefix`` (its number),
+    ``parent`` (the number of the path without its last node; null at roots), the last node's ``symbol`` and
+    ``is_single``, ``n_nodes`` (nodes of all documents with that path) and the encodings of :func:`path_folds`
+    that need nothing else. Nodes whose own or any upper parent row is missing are left out.
+    """
+    inner = inner_folds(nodes, {"prefix": prefix_fold(), "symbol": _last("symbol")}, max_depth=max_depth)
+    return _trie(inner.where("top IS NOT NULL AND NOT lost"), max_depth, separator, list(TRIE_ENCODINGS))
+
+
 def encoded_paths(nodes: DataFrame, start: Column | None = None, separator: str = "",
                   max_depth: int = 10_000, only: list[str] | None = None,
                   leaf_filter: Column | None = None) -> DataFrame:
-    """Compact path encodings of every terminal, folded during the walk (no path arrays).
+    """Compact path encodings of every terminal (no path arrays).
 
     Columns: the leaf columns of :func:`fold_paths` and those of
     :func:`path_folds`, or just the encodings named in ``only``.
+
+    Paths from the roots that are longer than a round reaches carry numbers of fixed size (:func:`prefix_fold`); their
+    strings are made once for each distinct prefix (:func:`path_trie`) and joined to the terminals by that
+    number. Short paths, whose strings are no larger than the numbers, and paths from other start nodes fold
+    their strings in the walk.
     """
-    folds = path_folds(separator)
-    return fold_paths(nodes, {k: folds[k] for k in (only or folds)}, start=start, max_depth=max_depth,
-                      leaf_filter=leaf_filter)
+    folds = {k: path_folds(separator)[k] for k in (only or path_folds(separator))}
+    names = [k for k in folds if k in TRIE_ENCODINGS]
+    if start is not None or not names:
+        return fold_paths(nodes, folds, start=start, max_depth=max_depth, leaf_filter=leaf_filter)
+    rest = {k: f for k, f in folds.items() if k not in TRIE_ENCODINGS}
+    table = _written(nodes, None, leaf_filter)
+    short = _short_folds(table, folds, max_depth)
+    if short is not None:
+        return _fold_terminals(table, short, folds)
+    inner = _inner_folds(table, {"prefix": prefix_fold(), "symbol": _last("symbol"), **rest}, max_depth)
+    trie = _trie(inner.where("top IS NOT NULL AND NOT lost"), max_depth, separator, names)
+    parents = inner.select("doc_id", "node_id", "child_count", "top", "lost", _prefix_of("prefix").alias("prefix"), *rest)
+    joined = attach(_with_parents(table, parents, ["prefix", *rest]), trie.select("prefix", *names), ["prefix"],
+                    F.xxhash64("doc_id", "node_id"))
+    return joined.select(*_leaf_columns(), *[F.when(F.col("top").isNotNull(), f.join(F.col(k), f.own())).otherwise(f.own())
+                                             .alias(k) for k, f in folds.items()])
 
 
 def encode_leaf_paths(leaf_paths: DataFrame, separator: str = "") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sylva.functions.text import file_stem
 from sylva.operators import contexts, diff, labels, meta, sampling, trees
 from sylva.plans import diff_labels, extract_contexts, preprocess_corpus, subtree_start
-from sylva.session import new_table_path
+from sylva.session import new_table_path, write_table
 from sylva.sinks import write_vocabulary_text
 from sylva.sources import fixtures as fx
 from sylva.sources.corpus import read_metadata, read_vocabulary
@@ -144,10 +144,6 @@ def q_read_metadata(spark, d):
 
 # --- trees ----------------------------------------------------------------------------------
 
-def q_root_paths(spark, d):
-    return trees.path_summary(trees.root_paths(_nodes(spark, d)))
-
-
 def _summary(enc: DataFrame, ids: str, n: str, leaf_type=None) -> DataFrame:
     return enc.select("doc_id", F.col(ids).alias("path_ids"), F.col(n).alias("path_len"),
                       (leaf_type if leaf_type is not None else F.col("leaf_type")).alias("leaf_type"),
@@ -159,6 +155,15 @@ def _walk(spark, d, ids: str, n: str, leaf_type=None, start=None) -> DataFrame:
     return _summary(trees.encoded_paths(_nodes(spark, d), start=start, only=only), ids, n, leaf_type)
 
 
+def q_root_paths(spark, d):
+    return _walk(spark, d, "path_ids", "path_len")
+
+
+def q_path_trie(spark, d):
+    return trees.path_trie(_nodes(spark, d)).select("path_ids", "fork_ids", "path_len", "fork_len", "reversed_ids", "symbol",
+                                                    "is_single", "n_nodes", F.col("parent").isNull().alias("is_root"))
+
+
 def q_fork_paths(spark, d):
     return _walk(spark, d, "fork_ids", "fork_len")
 
@@ -299,10 +304,13 @@ def q_numbered_lines(spark, d):
 
 
 def q_review_sheet(spark, d):
-    nodes, pairs = _nodes(spark, d), _pairs(spark, d)
-    paired = nodes.join(diff.pair_documents(pairs).select("doc_id").distinct(), "doc_id", "left_semi")
-    return labels.review_sheet(pairs, labels.tree_listing(paired), diff.error_lines(pairs, nodes),
-                               fx.statements_from_documents(_t(spark, d, "documents")))
+    # pairs, the nodes of their documents, listings and error lines are written once and read by each part of the sheet
+    pairs = write_table(_pairs(spark, d), "pairs")
+    docs = diff.pair_documents(pairs).select("doc_id").distinct()
+    nodes = write_table(_nodes(spark, d).join(docs, "doc_id", "left_semi"), "nodes")
+    listings = write_table(labels.tree_listing(nodes), "listings")
+    lines = write_table(diff.error_lines(pairs, nodes), "lines")
+    return labels.review_sheet(pairs, listings, lines, fx.statements_from_documents(_t(spark, d, "documents")))
 
 
 # --- parse job ------------------------------------------------------------------------------

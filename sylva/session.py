@@ -23,6 +23,8 @@ def get_spark(master: str | None = None, app: str = "sylva", shuffle_partitions:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # join by hash where every partition of the smaller side is known to be small, by sorting elsewhere
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
         .config("spark.driver.memory", os.environ.get("SYLVA_DRIVER_MEMORY", "16g"))

@@ -55,3 +55,10 @@ def test_single_partition_only_over_aggregates(spark, name):
         if "Exchange SinglePartition" in line:
             below = lines[i + 1].strip()
             assert "HashAggregate" in below or "SortAggregate" in below, (name, below)
+
+
+@pytest.mark.parametrize(("name", "most"), [("error_lines", 4), ("review_sheet", 10), ("branches", 4), ("label_lines", 6)])
+def test_shared_parts_are_read_not_computed_again(spark, name, most):
+    """Nodes, pairs, signatures and error lines are written once: the plan of the result reads few tables."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= most, plan.count("Relation [")

@@ -168,3 +168,78 @@ def test_nested_starts_give_a_path_each(spark):
     assert sorted(tuple(n.node_id for n in r.path) for r in got) == sorted(tuple(range(i, 5)) for i in range(5))
     alone = trees.subtree_paths(hand_nodes(spark), F.col("type").isin("fork", "identifier")).collect()
     assert (4, 5) in {tuple(n.node_id for n in r.path) for r in alone} and all(r.path for r in alone)
+
+
+def _bushy(spark, depth, docs=3):
+    """Documents of several shapes whose inner nodes lie deeper than one round reaches."""
+    import random
+    from sylva.schemas import NODES
+    rnd, rows = random.Random(depth), []
+    for d in range(docs):
+        kids, parent, level, made = {0: 0}, {0: None}, {0: 0}, [0]
+        for i in range(1, 150):
+            deep = [p for p in made if level[p] < depth - 1]
+            p = deep[-1] if rnd.random() < 0.7 else rnd.choice(deep)
+            parent[i], level[i], kids[i] = p, level[p] + 1, 0
+            kids[p] += 1
+            made.append(i)
+        order, at = {}, {}
+
+        def number(n):
+            order[n] = len(order)
+            for j, k in enumerate([x for x in made if parent[x] == n]):
+                at[k] = j
+                number(k)
+        number(0)
+        for n in made:
+            rows.append((f"d{d}", order[n], None if parent[n] is None else order[parent[n]], at.get(n, 0), rnd.choice([1, 2, 30, 1200]),
+                         "t", True, False, kids[n], 0, 0, n, 0, n, 0, f"v{n % 5}" if not kids[n] else None))
+    return spark.createDataFrame(rows, NODES)
+
+
+def test_long_paths_through_the_trie_equal_array_encodings(spark, monkeypatch):
+    nodes = _bushy(spark, 40)
+    used = []
+    real = trees._trie
+    monkeypatch.setattr(trees, "_trie", lambda *a: used.append(1) or real(*a))
+    cols = ["doc_id", "leaf_ord", "path_ids", "path_len", "fork_ids", "fork_len", "reversed_ids", "reversed_fork_ids", "start_type"]
+    for separator in ("", "/"):
+        enc = trees.encoded_paths(nodes, separator=separator)
+        ref = trees.encode_leaf_paths(trees.root_paths(nodes), separator)
+        assert sorted(map(tuple, enc.select(cols).collect())) == sorted(map(tuple, ref.select(cols).collect()))
+    assert used == [1, 1]
+
+
+def test_trie_holds_every_distinct_prefix_once(spark):
+    nodes = _bushy(spark, 12)
+    rows = {(r.doc_id, r.node_id): r for r in nodes.collect()}
+
+    def path(r):
+        up = () if r.parent_id is None else path(rows[r.doc_id, r.parent_id])
+        return (*up, (r.symbol, r.child_count == 1))
+    want = {}
+    for r in rows.values():
+        if r.child_count:
+            want[path(r)] = want.get(path(r), 0) + 1
+    trie = {r.prefix: r for r in trees.path_trie(nodes).collect()}
+
+    def spelled(r):
+        return (*(() if r.parent is None else spelled(trie[r.parent])), (r.symbol, r.is_single))
+    assert {spelled(r): r.n_nodes for r in trie.values()} == want
+    for r in trie.values():
+        symbols = [f"{s:03d}" for s, _ in spelled(r)]
+        assert r.path_ids == "".join(symbols) and r.reversed_ids == "".join(reversed(symbols)) and r.path_len == len(symbols)
+
+
+def test_two_prefixes_with_one_number_raise(spark, monkeypatch):
+    monkeypatch.setattr(trees, "MODULI", (7, 5))
+    monkeypatch.setattr(trees, "BASES", (3, 2))
+    with pytest.raises(Exception, match="same number"):
+        trees.path_trie(_bushy(spark, 20)).collect()
+
+
+def test_documents_larger_than_a_task_walk_over_many(spark, monkeypatch):
+    nodes = _bushy(spark, 30)
+    want = sorted(map(tuple, trees.encoded_paths(nodes, only=["path_ids"]).collect()))
+    monkeypatch.setattr(trees, "NODES_PER_TASK", 60)
+    assert sorted(map(tuple, trees.encoded_paths(nodes, only=["path_ids"]).collect())) == want
