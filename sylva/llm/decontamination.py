@@ -2,21 +2,27 @@
 
 Documents and benchmark items are lower-cased (A-Z) and cut into words; 5-word shingles weigh as many as their
 words have bytes. Around every place where a document shares a shingle with some item, all windows of that item's length
-get a 128-bit SimHash (other windows share nothing with any item, so their similarity is 0). Each fingerprint is cut
-into 16 blocks of 8 bits; if two fingerprints differ in at most ``RADIUS`` = 40 bits, some block differs
-in at most 2, so looking up the items near each block value finds all items within the radius. Survivors are
-compared exactly: weight of common shingles over weight of all shingles of both, at least 0.75.
-
-A long word can put a pair that meets 0.75 beyond the radius, so the radius decides nothing by itself: an item is left out
-only if the document's distinct common shingles weigh under 0.75 of the item (no window can then reach 0.75), and
-every other item is also compared exactly with all windows that share a shingle with it.
+get a 128-bit SimHash (other windows share nothing with any item, so their similarity is 0), in which a shingle counts by
+the square root of its weight. Each fingerprint is cut into 16 blocks of 8 bits; if two fingerprints differ in at most
+``RADIUS`` = 47 bits, some block differs in at most 2, so looking up the items near each block value finds all
+items within the radius. These candidates are compared exactly: weight of common shingles over weight of all shingles
+of both, at least 0.75.
+
+With square roots as signs' weights the cosine of two shingle vectors is the common weight over the geometric mean of
+both, which is 0.857 or more for a pair that meets 0.75; such a pair differs in 22 bits on average, standard deviation
+4.3, as long as no shingle outweighs the rest. Where one holds over ``HEAVY`` of the item's weight, in the item or in the
+document around it (long words, items of few shingles), the radius is not relied on: the item is compared exactly with
+all windows that share a shingle with it, so that ``distance`` may exceed the radius. Before either, an item is left out if
+the document's distinct common shingles weigh under 0.75 of the item, since no window can then reach 0.75.
 
 The benchmark is a stated query set: it is read in blocks of at most ``ITEMS`` items, each of which goes to every
-task as arrays (a few MB) while the documents stream by. Documents are never shuffled.
+task as arrays (a few MB) while the documents stream by. Documents are never shuffled. With more than one block each
+block's result is written before the next block is read.
 
 Defined results: items without words match nothing; items of under five words match as one whole shingle; a document
 shorter than the item is one window; null texts are empty; repeated documents give repeated rows; of several windows
-that match one item the most similar counts, then the first.
+that match one item the most similar counts, then the first; empty tables give no matches. A very long text is
+searched whole, alone in its batch. Extra columns are ignored by ``find_leaks`` and kept by ``drop_leaks``, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,14 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.common import per_worker, read_table, sized_slices
-from sylva.llm.words import Capped, batch_words, mix, rolling, word_hash
+from sylva.llm.common import per_worker, read_table, save, sized_slices
+from sylva.llm.words import Capped, batch_arrays, batch_words, mix, rolling, word_hash
 
 WORDS = 5
 LEAST = 0.75
 BITS, BLOCKS = 128, 16
-RADIUS = 40
-BLOCK_RADIUS = RADIUS // BLOCKS
+BLOCK_RADIUS = 2
+RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1  # 47: with more, all blocks could differ in more than BLOCK_RADIUS bits
+HEAVY = 0.1
 ITEMS = 10_000
 BATCH_BYTES = 4 << 20
 _SECOND = np.uint64(0xD1B54A32D192ED03)
@@ -65,17 +72,20 @@ def signs(shingles: np.ndarray) -> np.ndarray:
 def fingerprints(shingles: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
     """SimHash of each run of ``size`` shingles, as 16 bytes."""
     sums = np.zeros((len(shingles) + 1, BITS), np.int64)
-    np.cumsum(signs(shingles) * weight[:, None], axis=0, out=sums[1:])
+    roots = np.rint(np.sqrt(weight) * 1024).astype(np.int64)
+    np.cumsum(signs(shingles) * roots[:, None], axis=0, out=sums[1:])
     return np.packbits(sums[size:] - sums[:-size] > 0, axis=1)
 
 
-def similarity(a: dict[int, int], b: dict[int, int]) -> float:
-    common = sum(w for s, w in a.items() if s in b)
-    return common / (sum(a.values()) + sum(b.values()) - common)
+def among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``values`` stand in ``known`` (sorted and distinct)."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
 
 
 def window_similarities(shingles: np.ndarray, weight: np.ndarray, size: int, own: np.ndarray, total: int) -> np.ndarray:
-    """Exact similarity of each run of ``size`` shingles with the set ``own`` of weight ``total``."""
+    """Exact similarity of each run of ``size`` shingles with the sorted set ``own`` of weight ``total``."""
     n, at = len(shingles) - size + 1, np.arange(len(shingles))
     # a shingle counts in the windows that hold this place of it and no earlier one
     order = np.argsort(shingles, kind="stable")
@@ -91,7 +101,7 @@ def window_similarities(shingles: np.ndarray, weight: np.ndarray, size: int, own
         np.subtract.at(steps, after, w)
         return np.cumsum(steps[:n])
 
-    common = sums(np.where(np.isin(shingles, own), weight, 0))
+    common = sums(np.where(among(shingles, own), weight, 0))
     return common / (total + sums(weight) - common)
 
 
@@ -133,7 +143,8 @@ class Items:
             # multi-index: for each block and value, the items whose block is near that value
             group["prints"] = prints
             group["near"] = np.stack([_NEAR[:, prints[:, b]] for b in range(BLOCKS)])
-            group["keys"] = [np.array(list(x), np.uint64) for x in group["sets"]]
+            group["keys"] = [np.sort(np.array(list(x), np.uint64)) for x in group["sets"]]
+            group["heaviest"] = np.array([max(x.values()) for x in group["sets"]])
             group["total"] = np.array([sum(x.values()) for x in group["sets"]])
             group["own"], place = np.unique(np.concatenate(group["keys"]), return_inverse=True)
             # the items that hold each shingle: holders[starts[j]:starts[j + 1]] for shingle own[j]
@@ -145,48 +156,70 @@ class Items:
             self.table[k] = np.zeros(1 << _TABLE_BITS, bool)
             self.table[k][self.known[k] >> np.uint64(64 - _TABLE_BITS)] = True
 
-    def search(self, hashes: np.ndarray, lengths: np.ndarray) -> list[tuple]:
-        """(item_id, start word, words, distance, similarity) of the best window for each item found in a text's words."""
-        found: dict[int, tuple] = {}
-        for k, sizes in self.k_sizes.items():
+    def hits(self, hashes: np.ndarray, ends: np.ndarray) -> dict[int, dict[int, np.ndarray]]:
+        """For each text of a batch that shares shingles with items: their places in the text, by shingle length."""
+        starts = np.concatenate([[0], ends[:-1]])
+        found: dict[int, dict[int, np.ndarray]] = {}
+        for k in self.k_sizes:
             if len(hashes) < k:
                 continue
             shingles = rolling(hashes, k)
-            hits = np.nonzero(self.table[k][shingles >> np.uint64(64 - _TABLE_BITS)])[0]
-            if len(hits):
-                hits = hits[np.isin(shingles[hits], self.known[k])]
-            if not len(hits):
-                continue
-            weight = weights(lengths, k)
-            for n in sizes:
+            at = np.nonzero(self.table[k][shingles >> np.uint64(64 - _TABLE_BITS)])[0]
+            at = at[among(shingles[at], self.known[k])]
+            text = np.searchsorted(ends, at, "right")
+            inside = at + k <= ends[text]  # no shingle goes on in the next text
+            at, text = at[inside], text[inside]
+            cuts = np.nonzero(np.diff(text))[0] + 1
+            for places, t in zip(np.split(at, cuts), text[np.concatenate([[0], cuts])] if len(text) else [], strict=False):
+                found.setdefault(int(t), {})[k] = places - starts[t]
+        return found
+
+    def search_batch(self, hashes: np.ndarray, lengths: np.ndarray, ends: np.ndarray) -> dict[int, list[tuple]]:
+        """``search`` of every text of a batch in which an item may stand, by the text's number."""
+        starts = np.concatenate([[0], ends[:-1]])
+        out = {}
+        for t, places in sorted(self.hits(hashes, ends).items()):
+            got = self.search(hashes[starts[t]:ends[t]], lengths[starts[t]:ends[t]], places)
+            if got:
+                out[t] = got
+        return out
+
+    def search(self, hashes: np.ndarray, lengths: np.ndarray, places: dict[int, np.ndarray] | None = None) -> list[tuple]:
+        """(item_id, start word, words, distance, similarity) of the best window for each item found in a text's words."""
+        found: dict[int, tuple] = {}
+        if places is None:
+            places = self.hits(hashes, np.array([len(hashes)])).get(0, {})
+        for k, hits in places.items():
+            shingles, weight = rolling(hashes, k), weights(lengths, k)
+            for n in self.k_sizes[k]:
                 group = self.by_size[n]
-                at = hits[np.isin(shingles[hits], group["own"])]
+                at = hits[among(shingles[hits], group["own"])]
                 if len(at):
                     self._windows(shingles, weight, at, n, group, found)
         return sorted(found.values())
 
     def _windows(self, shingles, weight, at, n: int, group: dict, found: dict) -> None:
         size = min(n - group["k"] + 1, len(shingles))  # shingles in a window
-        last = len(shingles) - size
         items = self._possible(shingles, weight, at, group)
         if not len(items):
             return
-        at = at[np.isin(shingles[at], np.concatenate([group["keys"][i] for i in items]))]
-        for b, e in spans(at, size, last):
-            prints = fingerprints(shingles[b:e + size], weight[b:e + size], size)
+        at = at[among(shingles[at], np.unique(np.concatenate([group["keys"][i] for i in items])))]
+        for b, e in spans(at, size, len(shingles) - size):
+            part, heavy = shingles[b:e + size], weight[b:e + size]
+            prints = fingerprints(part, heavy, size)
             near = reduce(np.logical_or, (group["near"][i][:, items][prints[:, i]] for i in range(BLOCKS)))
-            for w, c in zip(*np.nonzero(near), strict=True):
-                i = items[c]
-                distance = int(_ONES[prints[w] ^ group["prints"][i]].sum())
-                if distance > RADIUS:
+            for c, i in enumerate(items):
+                total = int(group["total"][i])
+                distance = _ONES[prints ^ group["prints"][i]].sum(axis=1, dtype=np.int64)
+                fit = near[:, c] & (distance <= RADIUS)
+                if max(int(group["heaviest"][i]), int(heavy.max())) > HEAVY * total:
+                    fit[:] = True
+                if not fit.any():
                     continue
-                s = slice(b + w, b + w + size)
-                alike = similarity(dict(zip(shingles[s].tolist(), weight[s].tolist(), strict=True)), group["sets"][i])
-                item = group["ids"][i]
-                if alike >= LEAST and (item not in found or alike > found[item][4]):
-                    found[item] = (item, int(b + w), int(size + group["k"] - 1), distance, float(alike))
-        for i in items:
-            self._beyond(shingles, weight, at, size, i, group, found)
+                alike = np.where(fit, window_similarities(part, heavy, size, group["keys"][i], total), 0.0)
+                w, item = int(alike.argmax()), group["ids"][i]
+                if alike[w] >= LEAST and (item not in found or alike[w] > found[item][4]):
+                    found[item] = (item, int(b + w), int(size + group["k"] - 1), int(distance[w]), float(alike[w]))
 
     @staticmethod
     def _possible(shingles, weight, at, group: dict) -> np.ndarray:
@@ -199,22 +232,6 @@ class Items:
         common = np.bincount(holders, np.repeat(weight[at[first]], counts), len(group["ids"]))
         return np.nonzero(common >= LEAST * group["total"])[0]
 
-    @staticmethod
-    def _beyond(shingles, weight, at, size: int, i: int, group: dict, found: dict) -> None:
-        """Compare an item with all windows that share a shingle with it, whatever their fingerprints' distance."""
-        item, own, total = group["ids"][i], group["keys"][i], int(group["total"][i])
-        for b, e in spans(at[np.isin(shingles[at], own)], size, len(shingles) - size):
-            part, heavy = shingles[b:e + size], weight[b:e + size]
-            alike = window_similarities(part, heavy, size, own, total)
-            w = int(alike.argmax())
-            if alike[w] < LEAST:
-                continue
-            best, start = float(alike[w]), b + w
-            if item not in found or (-best, start) < (-found[item][4], found[item][1]):
-                own_print = fingerprints(part[w:w + size], heavy[w:w + size], size)[0]
-                distance = int(_ONES[own_print ^ group["prints"][i]].sum())
-                found[item] = (item, start, int(size + group["k"] - 1), distance, best)
-
 
 def item_blocks(benchmark: DataFrame, items: int = ITEMS) -> Iterator[list[tuple[int, str]]]:
     """The benchmark's (item_id, text), at most about ``items`` at a time."""
@@ -225,15 +242,19 @@ def item_blocks(benchmark: DataFrame, items: int = ITEMS) -> Iterator[list[tuple
         yield sorted((tuple(r) for r in part.collect()), key=lambda r: (r[0] is None, r))
 
 
+def _search_batches(batches: Iterator[pa.RecordBatch], rows: list[tuple[int, str]]) -> Iterator[tuple[pa.RecordBatch, dict]]:
+    items, cache = Items(rows), per_worker("words", lambda: Capped(word_hash))
+    for b in sized_slices(batches, "text", BATCH_BYTES):
+        yield b, items.search_batch(*batch_arrays(b.column("text"), cache))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, distance, similarity): each benchmark item found in each document."""
 
     def finder(rows: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, cache = Items(rows), per_worker("words", lambda: Capped(word_hash))
-            for b in sized_slices(batches, "text", BATCH_BYTES):
-                out = [(d, *hit) for d, words in zip(b.column("doc_id").to_pylist(), batch_words(b.column("text"), cache),
-                                                     strict=True) for hit in items.search(*words)]
+            for b, found in _search_batches(batches, rows):
+                out = [(b.column("doc_id")[t].as_py(), *hit) for t, hits in found.items() for hit in hits]
                 kinds = [pa.int64()] * 5 + [pa.float64()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)],
@@ -243,7 +264,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     schema = "doc_id long, item_id long, start_word long, n_words long, distance long, similarity double"
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    return reduce(DataFrame.unionByName, [texts.mapInArrow(finder(rows), schema) for rows in item_blocks(benchmark)])
+    found, now = [], None
+    for rows in item_blocks(benchmark):
+        if now is not None:
+            found.append(save(now, "leaks"))
+        now = texts.mapInArrow(finder(rows), schema)
+    return reduce(DataFrame.unionByName, [*found, now])
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -251,15 +277,15 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def cleaner(rows: list[tuple[int, str]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items, cache = Items(rows), per_worker("words", lambda: Capped(word_hash))
-            for b in sized_slices(batches, "text", BATCH_BYTES):
-                clean = [not items.search(*words) for words in batch_words(b.column("text"), cache)]
-                yield b.filter(pa.array(clean, pa.bool_()))
+            for b, found in _search_batches(batches, rows):
+                clean = np.ones(b.num_rows, bool)
+                clean[list(found)] = False
+                yield b.filter(pa.array(clean))
 
         return run
 
-    for rows in item_blocks(benchmark):
-        docs = docs.mapInArrow(cleaner(rows), docs.schema)
+    for block, rows in enumerate(item_blocks(benchmark)):
+        docs = (save(docs, "unleaked") if block else docs).mapInArrow(cleaner(rows), docs.schema)
     return docs
 
 

@@ -60,14 +60,19 @@ def split_batch(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, codes, ends
 
 
-def batch_words(texts: pa.Array, cache: Capped) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Per text, lower-cased (A-Z): the hashes of its words and their lengths in bytes.
+def batch_arrays(texts: pa.Array, cache: Capped) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and byte lengths of all words of a batch of texts, lower-cased (A-Z), and the end of each text in them.
 
     A word is hashed once for all its places in the batch.
     """
     distinct, codes, ends = split_batch(pc.ascii_lower(texts))
     words = distinct.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
-    hashes, sizes = word_hashes(words, cache)[codes], np.fromiter(map(len, words), np.int64, len(words))[codes]
+    return word_hashes(words, cache)[codes], np.fromiter(map(len, words), np.int64, len(words))[codes], ends
+
+
+def batch_words(texts: pa.Array, cache: Capped) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Per text, lower-cased (A-Z): the hashes of its words and their lengths in bytes."""
+    hashes, sizes, ends = batch_arrays(texts, cache)
     at = 0
     for end in ends.tolist():
         yield hashes[at:end], sizes[at:end]
