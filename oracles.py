@@ -84,6 +84,22 @@ PATH_TRIE = """
   SELECT path_ids, fork_ids, path_len, fork_len, reversed_ids, symbol, is_single, sum(w)::BIGINT AS n_nodes, path_len = 1 AS is_root
   FROM p GROUP BY ALL"""
 
+# Every subtree spelled out as text, then counted.
+SUBTREES = """
+  WITH r AS (SELECT l.l_orderkey AS k, p.p_brand AS b, p.p_name AS i, p.p_type AS c, CAST(p.p_size AS VARCHAR) AS s, l.l_returnflag AS f,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+               l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS r
+             FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+  ref AS (SELECT k, r, f, s, concat_ws('|', b, i, c, s) AS ref FROM r),
+  lists AS (SELECT k, string_agg(ref || '|' || f, '#' ORDER BY r) AS list, 5 * count(*) AS n FROM ref GROUP BY k),
+  t AS (SELECT k, 9 AS symbol, 1 AS height, 1::BIGINT AS n_leaves, s AS txt FROM ref
+        UNION ALL SELECT k, 4, 2, 4, ref FROM ref
+        UNION ALL SELECT k, 3, 3, 5, ref || '|' || f FROM ref
+        UNION ALL SELECT k, 2, 4, n, list FROM lists
+        UNION ALL SELECT o_orderkey, 1, CASE WHEN n IS NULL THEN 1 ELSE 5 END, coalesce(n, 0) + 1, o_orderstatus || '#' || coalesce(list, '')
+                  FROM orders LEFT JOIN lists ON k = o_orderkey)
+  SELECT CAST(k AS VARCHAR) AS doc_id, symbol, height, n_leaves, count(*) OVER (PARTITION BY symbol, txt) AS n_equal FROM t"""
+
 ERROR_LINES = f"""
 WITH pairs AS ({PAIRS}),
 leaves AS (SELECT doc_id, fork_ids || leaf_value AS signature, leaf_row FROM ({LEAVES}) lv),
@@ -341,6 +357,8 @@ ORACLES: dict[str, str] = {
     "root_paths": f"""
       SELECT doc_id, all_ids AS path_ids, path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
     "path_trie": PATH_TRIE,
+    "subtree_fingerprints": SUBTREES,
+    "error_lines_unshared": ERROR_LINES,
     "fork_paths": f"""
       SELECT doc_id, fork_ids AS path_ids, fork_len AS path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
     "reversed_paths": f"""

@@ -299,6 +299,26 @@ def _outer_starts(inner: DataFrame, below: DataFrame, alone: DataFrame, folds: d
         out.append(rows)
 
 
+def walk_inner(nodes: DataFrame, folds: dict[str, Fold], max_depth: int = 10_000) -> tuple[DataFrame, DataFrame]:
+    """The written node table and its inner nodes with their folds from the root (see :func:`inner_folds`)."""
+    table = _written(nodes, None, None)
+    return table, _inner_folds(table, folds, max_depth)
+
+
+def terminals_below(table: DataFrame, inner: DataFrame, folds: dict[str, Fold], skip: DataFrame | None = None) -> DataFrame:
+    """Terminals with their folds, as :func:`fold_paths` gives them, from the two results of :func:`walk_inner`.
+
+    ``skip`` (``doc_id, node_id``, distinct) lists inner nodes whose terminals are left out.
+    """
+    if skip is None:
+        return _fold_terminals(table, inner, folds)
+    gone = skip.select("doc_id", "node_id", F.lit(True).alias("_skip"))
+    parents = inner.join(gone, ["doc_id", "node_id"], "left")
+    joined = _with_parents(table, parents, [*folds, "_skip"]).where("_skip IS NULL")
+    return joined.select(*_leaf_columns(), *[F.when(F.col("top").isNotNull(), f.join(F.col(k), f.own())).otherwise(f.own())
+                                             .alias(k) for k, f in folds.items()])
+
+
 def array_fold() -> Fold:
     """The path itself: array of node structs, root first."""
     return Fold(lambda: F.array(_path_elem()), F.concat)

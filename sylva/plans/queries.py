@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylva.functions.text import file_stem
-from sylva.operators import contexts, diff, labels, meta, sampling, trees
+from sylva.operators import contexts, diff, labels, meta, sampling, subtrees, trees
 from sylva.plans import diff_labels, extract_contexts, preprocess_corpus, subtree_start
 from sylva.session import new_table_path, write_table
 from sylva.sinks import write_vocabulary_text
@@ -272,6 +272,16 @@ def q_error_lines(spark, d):
     return diff.error_lines(_pairs(spark, d), _nodes(spark, d))
 
 
+def q_subtree_fingerprints(spark, d):
+    # every subtree with the number of equal ones in the corpus
+    return subtrees.equal_subtrees(_nodes(spark, d)).select("doc_id", "symbol", "height", "n_leaves", "n_equal")
+
+
+def q_error_lines_unshared(spark, d):
+    # the same lines with the terminals of subtrees that both trees hold left out before the comparison
+    return diff.error_lines(_pairs(spark, d), _nodes(spark, d), skip_shared=True)
+
+
 def q_label_lines(spark, d):
     r = diff_labels(_subs(spark, d), _nodes(spark, d))
     return r.label_rows
