@@ -353,6 +353,19 @@ ORACLES: dict[str, str] = {
     "train_size": f"""
       SELECT count(*) AS n_total, 75 * (count(*) // 100) AS n_train FROM ({SOURCES}) s""",
     "train_val_split": TRAIN_VAL,
+    "train_val_select": TRAIN_VAL,
+    "growing_sample": f"""
+      SELECT doc_id, problem_id, file_name, n_files FROM (
+        SELECT s.*, row_number() OVER (PARTITION BY problem_id ORDER BY md5('42:sample:' || doc_id), doc_id) AS rn,
+               count(*) OVER (PARTITION BY problem_id) AS n_files
+        FROM ({SOURCES}) s) x WHERE rn <= 30""",
+    "vocabulary_runs": f"""
+      SELECT md5(token) AS key, token, CAST(max(run) AS INTEGER) AS run FROM (
+        SELECT CASE WHEN is_named AND leaf_type <> 'identifier' THEN leaf_value ELSE leaf_type END AS token,
+               CASE WHEN path_len >= 6 THEN 2 ELSE 1 END AS run
+        FROM ({LEAVES}) lv WHERE NOT is_extra AND path_len >= 5) t
+      GROUP BY token""",
+    "point_lookup": f"SELECT * FROM ({SUBMISSIONS}) s WHERE submission_id = (SELECT max(submission_id) FROM ({SUBMISSIONS}) m)",
     # trees
     "root_paths": f"""
       SELECT doc_id, all_ids AS path_ids, path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
@@ -405,6 +418,17 @@ ORACLES: dict[str, str] = {
       SELECT CAST(o.o_orderkey AS VARCHAR) AS doc_id, CAST(o.o_orderkey AS VARCHAR) || coalesce(' ' || per.bs, '') AS line,
              'root_terminal|masked_identifiers|ids_hash' AS run
       FROM orders o LEFT JOIN per ON per.doc_id = CAST(o.o_orderkey AS VARCHAR)""",
+    "run_files": f"""
+      WITH per AS (SELECT doc_id, string_agg(branch, ' ' ORDER BY branch) AS bs FROM ({BRANCHES}) b GROUP BY doc_id)
+      SELECT 'root_terminal|masked_identifiers|ids_hash_tokens.txt' AS file,
+             CAST(o.o_orderkey AS VARCHAR) || coalesce(' ' || per.bs, '') AS record
+      FROM orders o LEFT JOIN per ON per.doc_id = CAST(o.o_orderkey AS VARCHAR)
+      UNION ALL SELECT 'root_terminal|masked_identifiers|ids_hash_mapping.txt', CAST(count(*) AS VARCHAR) FROM ({VOCAB}) v
+      UNION ALL SELECT 'root_terminal|masked_identifiers|ids_hash_mapping.txt', key || ' ' || display FROM ({VOCAB}) v""",
+    "corpus_source": """
+      SELECT source AS problem_id, CAST(doc_id AS VARCHAR) || '.' || lang AS file_name, CAST(doc_id AS VARCHAR) AS stem, lang AS ext,
+             md5(coalesce(text, '')) AS text_md5, strlen(coalesce(text, ''))::BIGINT AS n_bytes
+      FROM documents""",
     "signature_groups": f"""
       SELECT doc_id, fork_ids || leaf_value AS signature, count(*) AS n_leaves, min(leaf_row) AS first_row
       FROM ({LEAVES}) lv GROUP BY doc_id, fork_ids || leaf_value""",

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylva.functions.text import with_extension
@@ -124,3 +124,20 @@ def adhoc_sql(submissions: DataFrame, query: str, args: dict | None = None,
     if len(out.columns) != len(FIELDS):
         raise ValueError(f"ad-hoc query must return {len(FIELDS)} columns, got {out.columns}")
     return out.toDF(*FIELDS)
+
+
+def write_lookup_layout(submissions: DataFrame, path: str, files: int | None = None, id_col: str = "submission_id") -> None:
+    """Write metadata for point lookups: range-sorted by id into ``files`` files, with a Bloom filter on the id.
+
+    A lookup skips files and row groups by their smallest and largest id, and by the Bloom filter where the id would
+    fit but is not there.
+    """
+    n = files or int(submissions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (submissions.repartitionByRange(n, id_col).sortWithinPartitions(id_col).write.mode("overwrite")
+     .option(f"parquet.bloom.filter.enabled#{id_col}", "true")
+     .option("parquet.bloom.filter.adaptive.enabled", "true").parquet(path))
+
+
+def point_lookup(spark: SparkSession, path: str, key: str, id_col: str = "submission_id") -> DataFrame:
+    """The rows of one id from a layout of :func:`write_lookup_layout`; the id is a pushed-down filter."""
+    return spark.read.parquet(path).where(F.col(id_col) == key)

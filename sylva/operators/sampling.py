@@ -130,3 +130,55 @@ def train_val_split(pool: DataFrame, total: int | None = None, split: int = 75,
     n_train = split * n // 100 if exact else split * (n // 100)
     return (ranked.withColumn("split", F.when(F.col("_rank") <= n_train, F.lit("train")).otherwise(F.lit("val")))
             .drop("_rank", "_k"))
+
+
+DIGITS = 4  # hex digits of a key that one pass of selection tells apart: at most 16^4 counts come back
+FEW = 10_000  # keys that are sorted on the driver at the end
+
+
+def kth_key(keys: DataFrame, k: int) -> tuple[str, str] | None:
+    """The ``k``-th smallest (``key``, ``doc_id``) of a saved table of hex keys, or None if it has fewer rows.
+
+    Each pass counts the rows under the prefix found so far by their next ``DIGITS`` digits and goes on in the
+    bin that holds the k-th; evenly spread keys need two or three passes for any number of rows. Rows are neither
+    sorted nor moved. Beyond 32 digits, that is for one key with very many ids, the ids' own digests go on.
+    """
+    if k < 1:
+        return None
+    text = F.concat("key", F.md5("doc_id"))
+    prefix, rest, left = "", keys, k
+    while True:
+        size = len(prefix) + DIGITS
+        bins = sorted(tuple(r) for r in rest.groupBy(F.substring(text, 1, size).alias("bin")).count().collect())
+        for name, n in bins:
+            if left <= n:
+                break
+            left -= n
+        else:
+            return None
+        prefix, rest = name, keys.where(F.substring(text, 1, size) == name)
+        if n <= FEW or size >= 64:
+            if size >= 64:  # rows of one id
+                rest, left = rest.limit(1), 1
+            return sorted((r.key, r.doc_id) for r in rest.collect())[left - 1]
+
+
+def train_val_select(pool: DataFrame, total: int | None = None, split: int = 75, seed: int = 42,
+                     exact: bool = False) -> DataFrame:
+    """The result of :func:`train_val_split`, with the last train file found by selection (:func:`kth_key`).
+
+    Only the keys are written, once; no rows are sorted, and the pool itself is not shuffled. Rows that share their
+    id fall on the same side.
+    """
+    if not 0 <= split <= 100:
+        raise ValueError("split must be in 0..100")
+    keyed = pool.withColumn("_key", rank_key(seed, "split", "doc_id"))
+    keys = write_table(keyed.select(F.col("_key").alias("key"), "doc_id"), "keys")
+    n = total if total is not None else keys.count()
+    n_train = split * n // 100 if exact else split * (n // 100)
+    last = kth_key(keys, n_train)
+    if last is None:
+        train = F.lit(n_train >= 1)  # fewer files than train places
+    else:
+        train = (F.col("_key") < last[0]) | ((F.col("_key") == last[0]) & (F.col("doc_id") <= last[1]))
+    return keyed.withColumn("split", F.when(train, F.lit("train")).otherwise(F.lit("val"))).drop("_key")

@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylva.functions.text import file_stem
-from sylva.operators import contexts, diff, labels, meta, sampling, subtrees, trees
+from sylva.operators import contexts, diff, growing, labels, meta, sampling, subtrees, trees
 from sylva.plans import diff_labels, extract_contexts, preprocess_corpus, subtree_start
 from sylva.session import new_table_path, write_table
 from sylva.sinks import write_vocabulary_text
+from sylva.sinks.run_files import write_run
 from sylva.sources import fixtures as fx
 from sylva.sources.corpus import read_metadata, read_vocabulary
+from sylva.sources.corpus_format import read_corpus, write_corpus_files
 from sylva.sources.html import html_leaf_paths, parser_for
 
 # Parameters of the registered runs (fixed values).
@@ -131,6 +133,41 @@ def q_train_val_split(spark, d):
     return _pre(spark, d).split.select("doc_id", "problem_id", "file_name", "split", F.md5("text").alias("text_md5"))
 
 
+def q_train_val_select(spark, d):
+    # the split of train_val_split, its threshold found by selection instead of a sort
+    src = _sources(spark, d)
+    counts = sampling.problem_counts(src)
+    pool = sampling.flatten_corpus(src.select("doc_id", "problem_id", "file_name"), counts)
+    split = sampling.train_val_select(pool, src.count(), SPLIT, SEED)
+    return split.join(src.select("doc_id", F.md5("text").alias("text_md5")), "doc_id")
+
+
+def q_growing_sample(spark, d):
+    # the corpus arrives in one load a language; the kept sample is that of the whole
+    src = _sources(spark, d)
+    state = growing.GrowingSample(spark, new_table_path(spark, "growing"), N_FILES, SEED)
+    for r in src.select("ext").distinct().orderBy("ext").collect():
+        state.add(src.where(F.col("ext").eqNullSafe(r.ext)), str(r.ext))
+    return state.sample().join(state.counts(), "problem_id")
+
+
+def q_vocabulary_runs(spark, d):
+    # the vocabularies of two runs with different shortest paths, merged; the last run that has an entry wins
+    table = growing.VersionedVocabulary(spark, new_table_path(spark, "vocabulary"))
+    for run, min_len in ((1, 5), (2, 6)):
+        r = extract_contexts(_nodes(spark, d), _order_docs(spark, d), min_len=min_len)
+        table.merge(r.vocabulary.select("key", "token"), run)
+    return table.entries()
+
+
+def q_point_lookup(spark, d):
+    # the submission with the largest id, from a layout sorted by id with Bloom filters
+    path = new_table_path(spark, "submissions")
+    meta.write_lookup_layout(_subs(spark, d), path)
+    last = _subs(spark, d).agg(F.max("submission_id")).first()[0]
+    return meta.point_lookup(spark, path, last)
+
+
 def q_file_stem(spark, d):
     return _sources(spark, d).select("doc_id", "file_name", file_stem("file_name").alias("stem"))
 
@@ -262,6 +299,27 @@ def q_vocabulary_file(spark, d):
     return read_vocabulary(spark, f"{path}/records")
 
 
+def q_run_files(spark, d):
+    # the two files of a run under its name, put together from the tasks' parts and read back
+    run = extract_contexts(_nodes(spark, d), _order_docs(spark, d), order="sorted")
+    tokens, mapping = write_run(run.corpus, run.vocabulary, run.name, new_table_path(spark, "run"))
+    lines, raw, entries = spark.read.text(tokens), spark.read.text(mapping), read_vocabulary(spark, mapping)
+    records = {tokens: lines.select(F.col("value").alias("record")),
+               mapping: raw.where("value RLIKE '^[0-9]+$'").select(F.col("value").alias("record")).unionByName(
+                   entries.select(F.concat_ws(" ", "key", "display").alias("record")))}
+    parts = [r.select(F.lit(path.rpartition("/")[2]).alias("file"), "record") for path, r in records.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def q_corpus_source(spark, d):
+    # every document as a file of its own, read back through the corpus format
+    src = _sources(spark, d).withColumn("file_name", F.concat_ws(".", "doc_id", "ext"))
+    root = new_table_path(spark, "corpus")
+    written = write_table(write_corpus_files(src, root), "corpus-files")
+    back = read_corpus(spark, root).select("problem_id", "file_name", "stem", "ext", F.md5("text").alias("text_md5"))
+    return back.join(written, ["problem_id", "file_name"])
+
+
 def q_signature_groups(spark, d):
     return diff.signature_groups(trees.encoded_paths(_nodes(spark, d), only=["fork_ids"]))
 
