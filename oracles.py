@@ -372,6 +372,11 @@ ORACLES: dict[str, str] = {
     "path_trie": PATH_TRIE,
     "subtree_fingerprints": SUBTREES,
     "error_lines_unshared": ERROR_LINES,
+    "sql_error_lines": ERROR_LINES,
+    "sql_path_contexts": f"SELECT doc_id, branch FROM ({BRANCHES}) b",
+    "sql_pairs": f"""
+      SELECT p.problem_id, p.user_id, p.ok_id, p.pt_id, count(t.line) AS n_clicked
+      FROM ({PAIRS}) p LEFT JOIN ({TOGGLED}) t ON t.problem_id = p.problem_id AND t.user_id = p.user_id GROUP BY ALL""",
     "fork_paths": f"""
       SELECT doc_id, fork_ids AS path_ids, fork_len AS path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
     "reversed_paths": f"""

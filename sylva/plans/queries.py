@@ -21,6 +21,7 @@ from sylva.sources import fixtures as fx
 from sylva.sources.corpus import read_metadata, read_vocabulary
 from sylva.sources.corpus_format import read_corpus, write_corpus_files
 from sylva.sources.html import html_leaf_paths, parser_for
+from sylva.sql import register_functions
 
 # Parameters of the registered runs (fixed values).
 N_PROBLEMS = 10   # of the top-problems report
@@ -340,6 +341,25 @@ def q_error_lines_unshared(spark, d):
     return diff.error_lines(_pairs(spark, d), _nodes(spark, d), skip_shared=True)
 
 
+def q_sql_error_lines(spark, d):
+    # the operators as table functions of SQL
+    enc = write_table(trees.encoded_paths(_nodes(spark, d), only=["path_ids", "path_len", "fork_ids"]), "encoded")
+    register_functions(spark, submissions=_subs(spark, d), encoded=enc)
+    return spark.sql("SELECT problem_id, user_id, ok_id, pt_id, line FROM error_lines('OK', 'PT')")
+
+
+def q_sql_path_contexts(spark, d):
+    enc = write_table(trees.encoded_paths(_nodes(spark, d), only=["path_ids", "path_len", "fork_ids"]), "encoded")
+    register_functions(spark, encoded=enc)
+    return spark.sql("SELECT doc_id, branch FROM path_contexts(split => 'ids_hash', n => 5)")
+
+
+def q_sql_pairs(spark, d):
+    register_functions(spark, submissions=_subs(spark, d), sources=_sources(spark, d), clicks=_clicks(spark, d))
+    return spark.sql("SELECT p.*, count(t.line) AS n_clicked FROM ok_pt_pairs() p LEFT JOIN toggled_lines() t "
+                     "ON t.problem_id = p.problem_id AND t.user_id = p.user_id GROUP BY ALL")
+
+
 def q_label_lines(spark, d):
     r = diff_labels(_subs(spark, d), _nodes(spark, d))
     return r.label_rows
