@@ -206,7 +206,7 @@ class CountTree:
 
 
 def document_points(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, cid, tokens, point) of every document; cid, tokens and point are null for the empty set."""
+    """(doc_id, text_key, n_shingles, cid, tokens, point) of every document; the last three are null for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = per_worker("words", lambda: Capped(word_hash))
@@ -219,12 +219,12 @@ def document_points(docs: DataFrame) -> DataFrame:
                 tokens.append(s[:SAMPLE].view(np.int64) if len(s) else None)
                 point.append(pack_point(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(cid, pa.int64()),
+                [b.column("doc_id").cast(pa.int64()), b.column("text_key"), pa.array(n, pa.int64()), pa.array(cid, pa.int64()),
                  pa.array(tokens, pa.list_(pa.int64())), pa.array(point, pa.binary())],
-                ["doc_id", "n_shingles", "cid", "tokens", "point"])
+                ["doc_id", "text_key", "n_shingles", "cid", "tokens", "point"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, cid long, tokens array<long>, point binary")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, cid long, tokens array<long>, point binary")
 
 
 def with_class(docs: DataFrame, name: str) -> DataFrame:
@@ -384,20 +384,24 @@ def tree_pairs(mixed: DataFrame) -> DataFrame:
 
 
 def class_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cid, packed): the compressed text of one document of each wanted class (cid, first_doc)."""
+    """(cid, packed): the compressed text of one document of each wanted class (cid, of = its doc_id and text_key).
+
+    Rows without an id, or with an id that others have too, meet only classes of their own text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, pack = Capped(word_hash), zstandard.ZstdCompressor(3)
         for b in doc_slices(batches):
             cid, packed = [], []
             for c, t in zip(b.column("cid").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                if class_id(text_set(t, cache)) == c:  # an id may stand on several rows
+                if class_id(text_set(t, cache)) == c:  # other texts may have the same key
                     cid.append(c)
                     packed.append(pack.compress(t))
             yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(packed, pa.binary())], ["cid", "packed"])
 
-    of = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    joined = of.join(wanted, of["doc_id"].eqNullSafe(wanted["first_doc"])).select("cid", "text")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")).where(F.col("text").isNotNull())
+    of = wanted.select("cid", F.col("of.doc_id").alias("_doc"), F.col("of.text_key").alias("_key"))
+    joined = rows.join(of, rows["doc_id"].eqNullSafe(of["_doc"]) & (rows["text_key"] == of["_key"])).select("cid", "text")
     return joined.mapInArrow(run, "cid long, packed binary").dropDuplicates(["cid"])
 
 
@@ -442,14 +446,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     every = save(document_points(docs), "jaccard-points")
     classes = save(every.where("cid IS NOT NULL").groupBy("cid").agg(
-        F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"),
+        F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "text_key")).alias("of"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"),
         F.first("point").alias("point")), "jaccard-classes")
     crowded = crowded_tokens(classes)
     keys = bucket_keys(classes, crowded)
     shared = keys.withColumn("_n", F.count("*").over(Window.partitionBy("token"))).where("_n > 1").drop("_n")
     own = shared.groupBy("cid").agg(F.sort_array(F.collect_list("token")).alias("keys"))  # at most 2 * KEYS
     members = save(shared.join(own, "cid").join(classes.select("cid", "n", "point"), "cid"), "jaccard-members")
-    texts = save(class_texts(docs, members.select("cid").distinct().join(classes.select("cid", "first_doc"), "cid")),
+    texts = save(class_texts(docs, members.select("cid").distinct().join(classes.select("cid", "of"), "cid")),
                  "jaccard-texts")
 
     links = label = None

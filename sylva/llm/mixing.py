@@ -1,7 +1,8 @@
 """Operator 6: mix sources to target weights with hash-random keys, a range sort and prefix sums.
 
-Every source gets a budget of words. Its documents are put in a random but repeatable order (md5 of a seed
-and the id), the whole corpus is range-sorted by (source, key), and the sum of words before each document
+Every source gets a budget of words. Its documents are put in a random but repeatable order (md5 of a seed,
+the id and the text's digest, so that rows without an id or with the same one have an order too; rows that are equal in
+all of it are interchangeable), the whole corpus is range-sorted by (source, key), and the sum of words before each document
 within its source comes from running totals per range plus one offset per range. A source takes whole epochs
 as long as its budget holds them and then the documents up to the place nearest to the rest of its budget:
 a document counts if its middle lies at or before the cut, so the source's total misses its budget by at
@@ -9,7 +10,7 @@ most half of one document.
 
 Defined results: a null source is a source of its own, last in the order of weights; a document without words
 (null, empty or only blanks) has size 0 and takes 0 words; repeated rows are separate documents; an empty
-table gives an empty result. The source table has one row a source and is ordered in one task.
+table gives an empty result; a very long text is one document, taken whole or not. The source table has one row a source and is ordered in one task.
 """
 
 from __future__ import annotations
@@ -31,6 +32,14 @@ def n_words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_digest(text: str = "text") -> Column:
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
+
+
+def order_key(seed: str, digest: Column, doc_id: str = "doc_id") -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), digest))
+
+
 def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
                    most: int = MOST_EPOCHS) -> DataFrame:
     """(source, place, source_size, target): ``share`` of all words by weight, at most ``most`` times a source.
@@ -55,12 +64,15 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
 
 
 def mix_sources(docs: DataFrame, size: Column | None = None, weights: tuple[float, ...] = WEIGHTS,
-                share: float = SHARE, most: int = MOST_EPOCHS, seed: str = SEED) -> DataFrame:
-    """All rows of ``docs`` with size, source_size, target, copies (times the mix holds it) and taken (words)."""
-    rows = docs.withColumn("_size", size if size is not None else n_words()).drop(*OWN).withColumnRenamed("_size", "size")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    t = range_sorted(rows.withColumn("_key", key), [F.col("source").asc_nulls_last(), F.col("_key"), F.col("doc_id")],
-                     "mix-rows")
+                share: float = SHARE, most: int = MOST_EPOCHS, seed: str = SEED, digest: Column | None = None) -> DataFrame:
+    """All rows of ``docs`` with size, source_size, target, copies (times the mix holds it) and taken (words).
+
+    ``digest`` (default: md5 of the column ``text``) tells rows with the same id apart.
+    """
+    key = order_key(seed, text_digest() if digest is None else digest)
+    rows = (docs.withColumn("_size", size if size is not None else n_words()).withColumn("_key", key).drop(*OWN)
+            .withColumnRenamed("_size", "size"))
+    t = range_sorted(rows, [F.col("source").asc_nulls_last(), F.col("_key"), F.col("doc_id"), F.col("size")], "mix-rows")
     targets = source_targets(t, weights, share, most)
     earlier = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     targets = targets.withColumn("_source_start", F.coalesce(F.sum("source_size").over(earlier), F.lit(0)))
@@ -78,15 +90,16 @@ def mix_sources(docs: DataFrame, size: Column | None = None, weights: tuple[floa
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    sized = save(docs.select("doc_id", "source", n_words().alias("size")), "mix-sizes")
-    return (mix_sources(sized, F.col("size"))
+    sized = save(docs.select("doc_id", "source", n_words().alias("size"), text_digest().alias("digest")), "mix-sizes")
+    return (mix_sources(sized, F.col("size"), digest=F.col("digest"))
             .select("doc_id", F.col("size").cast("long"), F.col("source_size").cast("long"),
                     F.col("target").cast("double"), "taken"))
 
 
 ORACLE = r"""
 WITH sized AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+         md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k FROM documents
 ), s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 s AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM s0),
 w AS (SELECT source, source_size, CASE place % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight FROM s),
@@ -98,7 +111,7 @@ lv AS (SELECT max((1.5::DOUBLE * total - held) / open) AS level FROM k),
 t AS (SELECT source, source_size, least(2.0::DOUBLE * source_size, weight * level) AS target FROM w, lv),
 d AS (SELECT doc_id, size, source_size, target,
         least(2, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 1 END) AS epochs,
-        coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), doc_id
+        coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY sized.k, doc_id, size
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside
       FROM sized JOIN t ON sized.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,

@@ -6,6 +6,10 @@ over capacities: each round tries ``TRIES`` capacities at once and checks all of
 job per shard ("how far does a shard that starts here reach?"). Groups are places on the line of all bytes, cut
 into buckets of equal width; a lookup is an equi-join on the bucket and gives one row for each capacity.
 
+A group that is larger than an even share sets that capacity by itself and stands alone in its shard. Filling up to it would
+leave other shards empty, so the stretches before and after it are cut again, each with its part of the shards
+left, at its own smallest capacity.
+
 Defined results: a null group value is one group of its own; rows repeated whole take consecutive slots; an
 empty table gives an empty result; with fewer groups than shards the later shards stay empty; input columns
 named like an output column are replaced.
@@ -56,13 +60,41 @@ def _greedy(places: DataFrame, width: int, total: int, capacities: list[int], n:
 
 
 def minimax_cuts(ends: DataFrame, n: int) -> list[tuple]:
-    """Inner cuts (start_bytes, first group after the cut, rows before it) at the smallest feasible capacity.
+    """Inner cuts (start_bytes, first group after the cut, rows before it) of contiguous shards with the smallest maximum.
 
-    ``ends`` has one row a group: _group, bytes, end_bytes, start_rows.
+    ``ends`` has one row a group: _group, bytes, end_bytes, start_rows. Where one group alone sets the maximum,
+    the shards on both sides of it are made as even as they can be (see the module text).
     """
+    cuts, capacity = _smallest_cuts(ends, n)
+    hot = ends.agg(F.max_by(F.struct("_group", "bytes", "end_bytes", "start_rows"), F.struct("bytes", "_group")).alias("g"),
+                   F.max("end_bytes").alias("total"), F.count("*").alias("n")).first()
+    if not hot.n or capacity > hot.g.bytes or capacity * n <= hot.total + n:
+        return cuts
+    start, end = hot.g.end_bytes - hot.g.bytes, hot.g.end_bytes
+    before, after = ends.where(F.col("end_bytes") <= start), ends.where(F.col("end_bytes") > end)
+    n_before, n_after = before.count(), after.count()
+    used = sum(1 for c in cuts if c[0] <= start)  # shards that the stretch before needs at this capacity
+    needs = len(cuts) + 1 - used - 1
+    share = round((n - 1) * start / max(1, hot.total - hot.g.bytes))
+    left = min(max(share, used, n - 1 - n_after), n - 1 - needs, max(used, n_before)) if n_before else 0
+    right = min(n - 1 - left, max(needs, n_after))
+    out = minimax_cuts(before, left) if left > 1 else []
+    if n_before:
+        out.append((start, hot.g._group, hot.g.start_rows))
+    if n_after:
+        following = after.agg(F.min_by(F.struct("_group", "start_rows"), "end_bytes").alias("g")).first().g
+        out.append((end, following._group, following.start_rows))
+        if right > 1:
+            rest = minimax_cuts(after.withColumn("end_bytes", F.col("end_bytes") - end), right)
+            out += [(c[0] + end, *c[1:]) for c in rest]
+    return out
+
+
+def _smallest_cuts(ends: DataFrame, n: int) -> tuple[list[tuple], int]:
+    """Inner cuts by greedy filling at the smallest feasible capacity, and that capacity."""
     stats = ends.agg(F.max("end_bytes").alias("total"), F.max("bytes").alias("largest"), F.count("*").alias("n")).first()
     if not stats.n:
-        return []
+        return [], 0
     total, largest = int(stats.total), int(stats.largest)
     # buckets of some GROUPS_PER_BUCKET groups; a group stands in each bucket that it reaches into
     width = max(1, total * GROUPS_PER_BUCKET // int(stats.n))
@@ -79,7 +111,7 @@ def minimax_cuts(ends: DataFrame, n: int) -> list[tuple]:
         good = min(c for c in tried if cuts[c] is not None)
         worse = [c for c in tried if c < good]
         if not worse or good - worse[-1] == 1:
-            return cuts[good]
+            return cuts[good], good
         low, high = worse[-1] + 1, good
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sylva.llm.common import read_table, save
 from sylva.llm.decontamination import drop_leaks
 from sylva.llm.jaccard_join import jaccard_components, with_class
-from sylva.llm.mixing import mix_sources, n_words
+from sylva.llm.mixing import mix_sources, n_words, text_digest
 from sylva.llm.sharding import shard_documents
 from sylva.llm.toxicity import fit_lexicon, reject_toxic
 
@@ -54,8 +54,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document as many times (0 to 2) as its source's budget takes it."""
-    rows = docs.select("doc_id", "source", n_words().alias("n"), F.struct(*docs.columns).alias("row"))
-    taken = mix_sources(rows, F.col("n")).where("copies > 0")
+    rows = docs.select("doc_id", "source", n_words().alias("n"), text_digest().alias("digest"), F.struct(*docs.columns).alias("row"))
+    taken = mix_sources(rows, F.col("n"), digest=F.col("digest")).where("copies > 0")
     return taken.withColumn("copy", F.explode(F.expr("sequence(1, copies)"))).select("row.*")
 
 

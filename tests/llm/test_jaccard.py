@@ -125,3 +125,20 @@ def test_stage_keeps_one_of_each_group(spark):
     keep = {int(c) for d, n, c in brute(odd_docs.rows()) if c != "None"}
     assert set(ids) == keep
     assert kept.where(F.col("doc_id").isNull()).count() == 1
+
+
+def test_rows_without_an_id_do_not_multiply(spark):
+    """Texts of rows whose id is null or repeated are joined to their own class only."""
+    from pyspark.sql import functions as F
+
+    from sylva.llm import jaccard_join as J
+    n = 5000
+    words = F.concat_ws(" ", *[F.concat(F.lit(f"w{j}x"), (F.col("id") * 7 + j) % 9973) for j in range(12)])
+    docs = spark.range(n).select(F.when(F.col("id") % 2 == 0, F.lit(7)).cast("long").alias("doc_id"), words.alias("text"))
+    points = J.save(J.document_points(docs), "t")
+    wanted = points.groupBy("cid").agg(F.min(F.struct("doc_id", "text_key")).alias("of"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    of = wanted.select("cid", F.col("of.doc_id").alias("_doc"), F.col("of.text_key").alias("_key"))
+    joined = rows.join(of, rows["doc_id"].eqNullSafe(of["_doc"]) & (rows["text_key"] == of["_key"])).count()
+    assert joined <= n
+    assert J.class_texts(docs, wanted).count() == points.select("cid").distinct().count()

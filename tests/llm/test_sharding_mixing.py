@@ -86,3 +86,48 @@ def test_text_crc_is_of_utf8(spark):
     got = {r.doc_id: r for r in sharding.shard_documents(odd_docs.table(spark)).collect()}
     assert got[10].text_crc32 == zlib.crc32("日本 語 🙂".encode()) and got[10]["size"] == len("日本 語 🙂".encode()) + 8
     assert got[0].text_crc32 is None and got[0]["size"] == 8
+
+
+@pytest.mark.parametrize("hot", [0, 2000, 3999])
+def test_a_hot_group_leaves_no_shard_empty(spark, hot):
+    """4,000 groups of one size and one that holds a third of all bytes: every shard gets its part of the rest."""
+    rows = [(f"g{i:04d}", 100) for i in range(4000)] + [(f"g{hot:04d}", 100)] * 2000
+    df = spark.createDataFrame(rows, "k string, s long")
+    got = sharding.shard_minimax(df, F.col("k"), F.col("s"), [], 24).groupBy("shard").agg(F.sum("s").alias("b"), F.min("k").alias("k")).collect()
+    sizes = sorted(r.b for r in got)
+    assert len(got) == 24 and sizes[-1] == 200_100 and sizes[0] >= 0.85 * 399_900 / 23 and sizes[-2] <= 1.15 * 399_900 / 23
+    order = sorted(got, key=lambda r: r.shard)
+    assert [r.k for r in order] == sorted(r.k for r in order)
+
+
+def test_several_hot_groups_and_few_groups(spark):
+    import random
+    rnd = random.Random(2)
+    for sizes, n in (([900, 1, 1, 800, 1, 1, 1, 700, 1], 6), ([5, 5, 5], 24), ([1000], 24), ([1, 1000], 4), ([1000, 1], 4),
+                     ([rnd.randint(1, 9) for _ in range(60)] + [500] + [rnd.randint(1, 9) for _ in range(20)], 7)):
+        df = spark.createDataFrame([(f"{i:03d}", s) for i, s in enumerate(sizes)], "k string, s long")
+        got = sharding.shard_minimax(df, F.col("k"), F.col("s"), [], n).collect()
+        by = defaultdict(int)
+        for r in got:
+            by[r.shard] += r.s
+        assert max(by.values()) == best_capacity(sizes, n) and len(got) == len(sizes) and max(by) < n
+        assert len(by) == min(n, len(sizes))
+        shards = [r.shard for r in sorted(got, key=lambda r: r.k)]
+        assert shards == sorted(shards)
+        for s in by:
+            assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+
+
+def test_mix_agrees_for_repeated_and_missing_ids(spark):
+    import random
+    rnd = random.Random(6)
+    rows = [(rnd.choice([None, *range(50)]), "w " * rnd.randint(0, 40) + str(rnd.randint(0, 5)), rnd.choice(["a", "b", "c", None])) for _ in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def taken(df):
+        return sorted(map(str, ((r.doc_id, r.text, r.source, r.taken) for r in mixing.mix_sources(df).collect())))
+    want = taken(docs.repartition(3))
+    assert taken(docs.repartition(11, "text")) == want
+    shuffled = list(rows)
+    rnd.shuffle(shuffled)
+    assert taken(spark.createDataFrame(shuffled, docs.schema)) == want
