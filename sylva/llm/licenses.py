@@ -12,6 +12,7 @@ broken expression counts as far as it parses; repeated rows are scanned again.
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -161,13 +162,18 @@ def build_automaton():
     return a
 
 
+_SPACE = re.compile(" ")
+
+
 def _hits(text: str, automaton) -> tuple[list[bytes], list[tuple[int, int, str, str]]]:
     """The words of a text and all phrases in them as (start word, end word, kind, label)."""
     words = text.encode().translate(_WORD_BYTES).split()
     joined = f" {b' '.join(words).decode()} "
-    found = []
+    found, spaces = [], None
     for end, (length, n, kinds) in automaton.iter(joined):
-        start = joined.count(" ", 0, end + 1 - length)
+        if spaces is None:  # the place of each space, found once for all hits
+            spaces = [m.start() for m in _SPACE.finditer(joined)]
+        start = bisect.bisect_left(spaces, end + 1 - length)
         found += [(start, start + n, kind, label) for kind, label in kinds]
     return words, found
 

@@ -8,12 +8,14 @@ before and one after, and features of the whole file. The best tag sequence is f
 Decoding is exact but skips most tokens: where "outside" leads by more than twice the range of the transition
 scores, no best path has another tag, so the chain falls into short independent runs.
 
-There are no secret labels, so the field is trained on spans of the base patterns, in windows of tokens from a bounded,
-seeded sample of documents (``FIT_DOCS``); it finds spans of similar shape and surroundings that the
-patterns miss. Spans that overlap a base span are not added.
+There are no secret labels, so the field is trained on spans of the base patterns: every document is searched for them,
+and of all documents that hold one, ``FIT_HITS`` give at most ``FIT_HITS`` windows of tokens with a span. At most
+``FIT_CONTRAST`` windows without one come from ``FIT_DOCS`` of all documents. Both are picked by a seeded hash. The
+field finds spans of similar shape and surroundings that the patterns miss. Spans that overlap a base span are not added.
 
 Defined results: a null text is an empty one; no spans give the digest of the empty string and empty spans; repeated
-rows are scanned again; if the sample holds no base span, no spans are added.
+rows are scanned again; an empty table, or one without any base span, gets no further spans; a very long text is
+scanned whole, alone in its batch. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylva.llm.common import doc_slices, read_table, sized_slices
+from sylva.llm.common import doc_slices, read_table, save, sized_slices
 from sylva.llm.words import Capped, split_batch
 
 # fixed values of the contract
@@ -40,7 +42,7 @@ _HEX = re.compile(r"[0-9a-f]+")
 _LONG_HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-FIT_DOCS = 10_000
+FIT_HITS, FIT_CONTRAST, FIT_DOCS = 4000, 2000, 4000
 WINDOW = 24
 CACHED_WORDS = 400_000
 BATCH_BYTES = 4 << 20
@@ -223,27 +225,57 @@ def train(rows: list, steps: int = 150, rate: float = 0.1, ridge: float = 0.02)
     return Field(weight[:-N_FILE].reshape(len(OFFSETS), N_SHAPES, 3), weight[-N_FILE:], moves, start)
 
 
-def fit_field(docs: DataFrame, n: int = FIT_DOCS, most: int = 1500) -> Field | None:
-    """The field trained on windows of ``n`` documents picked by a seeded hash of the id; at most ``most`` windows a kind."""
-    rank = F.md5(F.concat(F.lit("secrets:"), F.col("doc_id").cast("string")))
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(rank).limit(n)
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(ids), "doc_id")
+def _chosen(ids: DataFrame, n: int, seed: str) -> DataFrame:
+    """``n`` of the distinct ids (all if there are fewer) by a seeded hash; few more than ``n`` rows reach the last step."""
+    rank = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    count = ids.count()
+    if count > 2 * n:
+        ids = ids.where(F.pmod(rank, F.lit(1 << 30)) < int((1 << 30) * 1.5 * n / count) + 1)
+    return ids.orderBy(rank, "doc_id").limit(n)
+
+
+def _hit_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in doc_slices(batches):
+        hit = [bool(base_spans(t)) for t in b.column("text").to_pylist()]
+        yield b.select(["doc_id"]).filter(pa.array(hit, pa.bool_()))
+
+
+def _cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in doc_slices(batches):
+        out = [(d, w) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)
+               for w in windows(t)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([d for d, _ in out], pa.int64()), pa.array([w["context"] for _, w in out], pa.list_(pa.int64())),
+             pa.array([w["file"] for _, w in out], pa.list_(pa.float64())),
+             pa.array([w["tags"] for _, w in out], pa.list_(pa.int64()))], ["doc_id", "context", "file", "tags"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in doc_slices(batches):
-            out = [(d, w) for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)
-                   for w in windows(t)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in out], pa.int64()), pa.array([w["context"] for _, w in out], pa.list_(pa.int64())),
-                 pa.array([w["file"] for _, w in out], pa.list_(pa.float64())),
-                 pa.array([w["tags"] for _, w in out], pa.list_(pa.int64()))], ["doc_id", "context", "file", "tags"])
 
-    cut = sample.mapInArrow(run, "doc_id long, context array<long>, file array<double>, tags array<long>")
-    found = cut.withColumn("hit", F.array_max("tags") > 0)
+def training_windows(docs: DataFrame, hits: int = FIT_HITS, contrast: int = FIT_CONTRAST, sample: int = FIT_DOCS) -> list:
+    """Windows with base spans, from all documents that hold one, and windows without; both bounded (see the module text)."""
+    texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    low = F.lower("text")
+    may = F.col("text").contains("AKIA") | F.col("text").rlike("[0-9a-f]{24}")
+    for word in ("passw", "secret", "token", "api"):
+        may = may | low.contains(word)
+    with_span = save(texts.where(may).mapInArrow(_hit_ids, "doc_id long").distinct(), "secret-hits")
     order = F.xxhash64("doc_id", "context")
-    hits = found.where("hit").orderBy(order).limit(most).collect()
-    rest = found.where("NOT hit").orderBy(order).limit(most // 2).collect()
-    return train(sorted([*hits, *rest], key=lambda r: (r.doc_id, r.context))) if hits else None
+
+    def cut(ids: DataFrame, wanted: str, most: int) -> list:
+        found = texts.join(F.broadcast(ids), "doc_id").mapInArrow(
+            _cut_windows, "doc_id long, context array<long>, file array<double>, tags array<long>")
+        return found.where(F.array_max("tags") > 0 if wanted == "hit" else F.array_max("tags") == 0).orderBy(order).limit(most).collect()
+
+    own = cut(_chosen(with_span, hits, "secrets"), "hit", hits)
+    if not own:
+        return []
+    others = cut(_chosen(texts.select("doc_id").distinct(), sample, "contrast"), "rest", contrast)
+    return sorted([*own, *others], key=lambda r: (r.doc_id, r.context))
+
+
+def fit_field(docs: DataFrame) -> Field | None:
+    """The field trained on :func:`training_windows`; None if no document holds a base span."""
+    rows = training_windows(docs)
+    return train(rows) if rows else None
 
 
 def _span_text(spans: list[tuple]) -> str:

@@ -16,11 +16,13 @@ stands in for a fitted one that would reject texts without any hit.
 
 from __future__ import annotations
 
+import bisect
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -103,7 +105,17 @@ def raw_weight(folded: str, automaton) -> float:
     hits, spared = [], []
     for end, (length, weight) in automaton.iter(folded):
         (spared if weight is None else hits).append((end + 1 - length, end + 1, weight))
-    return sum(w for s, e, w in hits if not any(a <= s and e <= b for a, b, _ in spared))
+    if not hits or not spared:
+        return sum(w for _, _, w in hits)
+    # a hit is covered if, of the phrases that begin no later, one reaches as far as its end
+    spared.sort(key=lambda x: x[0])
+    begins, reach = [a for a, _, _ in spared], list(accumulate((b for _, b, _ in spared), max))
+    total = 0.0
+    for s, e, w in hits:
+        i = bisect.bisect_right(begins, s)
+        if not i or reach[i - 1] < e:
+            total += w
+    return total
 
 
 def stems(words: set[str]) -> set[str]:

@@ -134,3 +134,41 @@ def test_scores_equal_the_trained_model(spark):
         buckets, n = seen[r.doc_id]
         z = bias + (odds[buckets] * n).sum() / n.sum()
         assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-6 and r.predicted == [1, 0, 1, 0][r.doc_id]
+
+
+def test_toxic_weight_equals_a_plain_scan():
+    """All places of every term and exception by string search, each hit against every exception."""
+    import random
+
+    from sylva.llm import toxicity
+    rnd = random.Random(4)
+    lexicon = toxicity.Lexicon({"bad": 1.5, "vil*": 2.0, "very bad": 0.5, "worst thing": 3.0, "d": 0.25},
+                               ("not bad", "bad village", "the worst thing ever", "d"))
+    automaton = lexicon.automaton()
+
+    def places(text, phrase):
+        return [i for i in range(len(text)) if text.startswith(phrase, i)]
+
+    def plain(folded):
+        spared = [(i, i + len(toxicity.fold(p))) for p in lexicon.exceptions for i in places(folded, toxicity.fold(p))]
+        total = 0.0
+        for term, w in lexicon.weights.items():
+            pattern = f" {term[:-1]}" if term.endswith("*") else f" {term} "
+            for i in places(folded, pattern):
+                total += w * (not any(a <= i and i + len(pattern) <= b for a, b in spared))
+        return total
+    words = ["bad", "very", "not", "village", "vile", "worst", "thing", "ever", "the", "fine", "b4d", "d"]
+    for _ in range(300):
+        folded = toxicity.fold(" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 40))))
+        assert abs(toxicity.raw_weight(folded, automaton) - plain(folded)) < 1e-9
+
+
+def test_a_text_of_very_many_hits_takes_linear_time():
+    import time
+
+    from sylva.llm import toxicity
+    lexicon = toxicity.Lexicon({"bad": 1.0}, ("not bad",))
+    folded = toxicity.fold("not bad but bad " * 200_000)
+    began = time.process_time()
+    assert toxicity.raw_weight(folded, lexicon.automaton()) == 200_000
+    assert time.process_time() - began < 5

@@ -147,3 +147,28 @@ def test_secret_query_on_odd_tables(spark):
     assert secret_scan.fit_field(odd_docs.empty(spark)) is None
     assert secret_scan.scan_secrets(docs, secret_scan.fit_field(docs)).count() == len(odd_docs.rows())
     assert secret_scan.scan_secrets(odd_docs.empty(spark), a_field()).count() == 0
+
+
+def test_a_text_of_very_many_phrases_takes_linear_time():
+    import time
+
+    automaton = licenses.build_automaton()
+    for text in ("the apache license and so on " * 80_000, "mit license or " * 80_000, "see cc by\n" * 80_000):
+        began = time.process_time()
+        got = licenses.scan(text, automaton)
+        assert got["n_base"] == 80_000 and time.process_time() - began < 5, time.process_time() - began
+
+
+def test_field_learns_from_rare_secrets_whatever_the_size_of_the_table(spark, monkeypatch):
+    """Two of 600 documents hold a span; the sample of documents for contrast holds neither."""
+    rows = [(i, f"plain words of document {i} and nothing more.") for i in range(600)]
+    rows[17] = (17, "config password = hunter2hunter2 end")
+    rows[333] = (333, "id 0123456789abcdef0123456789abcdef done")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = secret_scan.training_windows(docs, hits=100, contrast=5, sample=10)
+    assert {r.doc_id for r in got if max(r.tags) > 0} == {17, 333}
+    assert sum(max(r.tags) == 0 for r in got) == 5
+    again = secret_scan.training_windows(docs.repartition(7), hits=100, contrast=5, sample=10)
+    assert [tuple(r) for r in got] == [tuple(r) for r in again]
+    few = secret_scan.training_windows(docs, hits=1, contrast=5, sample=10)
+    assert sum(max(r.tags) > 0 for r in few) == 1
