@@ -19,7 +19,7 @@ from sylva.session import drop_tables, get_spark  # noqa: E402
 
 HEADLINE = [
     "error_lines",        # flagship: pairs -> both trees -> signatures -> anti-join
-    "root_paths",         # level-by-level tree walk
+    "root_paths",         # tree walk
     "branches",           # path-contexts
     "vocabulary",         # global vocabulary aggregate
     "corpus_lines",       # per-document export lines
