@@ -45,7 +45,7 @@ BLOCK_RADIUS = 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1  # 47: with more, all blocks could differ in more than BLOCK_RADIUS bits
 HEAVY = 0.1
 ITEMS = 10_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 _SECOND = np.uint64(0xD1B54A32D192ED03)
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 _NEAR = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= BLOCK_RADIUS  # values within the block radius
