@@ -20,7 +20,7 @@ from sylva.sinks.run_files import write_run
 from sylva.sources import fixtures as fx
 from sylva.sources.corpus import read_metadata, read_vocabulary
 from sylva.sources.corpus_format import read_corpus, write_corpus_files
-from sylva.sources.html import html_leaf_paths, parser_for
+from sylva.sources.html import parser_for
 from sylva.sql import register_functions
 
 # Parameters of the registered runs (fixed values).
@@ -419,8 +419,10 @@ def q_html_terminal_values(spark, d):
 
 
 def q_html_branches(spark, d):
-    enc = trees.encode_leaf_paths(html_leaf_paths(_t(spark, d, "pages"), spread=_spread(spark)))
-    return contexts.branches(enc).select("doc_id", "branch")
+    # the parser only splits pages into node rows; paths come from the walk over them
+    nodes = write_table(parser_for("html")[0](_t(spark, d, "pages"), spread=_spread(spark)), "html")
+    walked = trees.encoded_paths(nodes, only=["path_ids", "path_len"], leaf_filter=~F.col("is_extra"))
+    return contexts.branches(walked).select("doc_id", "branch")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
