@@ -189,6 +189,26 @@ NODE_IDS = """
   UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 6, b + 5, 'number' FROM lines
   UNION ALL SELECT CAST(l_orderkey AS VARCHAR), b + 7, b, 'flag' FROM lines"""
 
+# The pairs of terminals themselves, counted: in one part_ref, in one line, across lines, or with the order's status.
+TERMINAL_CONTEXTS = """
+  WITH r AS (SELECT l_orderkey, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_orderkey, l_partkey,
+               l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+               l_linestatus, l_shipdate) - 1 AS INTEGER) AS r FROM lineitem),
+  b AS (SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, 3 + 8 * r AS b FROM r),
+  t AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, NULL AS b, 1 AS id, 'status' AS type, false AS in_ref FROM orders
+        UNION ALL SELECT doc_id, b, b + 2, 'brand', true FROM b
+        UNION ALL SELECT doc_id, b, b + 3, 'identifier', true FROM b
+        UNION ALL SELECT doc_id, b, b + 6, 'number', true FROM b
+        UNION ALL SELECT doc_id, b, b + 7, 'flag', false FROM b),
+  p AS (SELECT x.doc_id, least(x.type, y.type) AS type_a, greatest(x.type, y.type) AS type_b, x.id AS x, y.id AS y, x.type AS t,
+               CASE WHEN x.b IS NULL THEN 0 WHEN x.b <> y.b THEN 2 WHEN x.in_ref AND y.in_ref THEN x.b + 1 ELSE x.b END AS lca_id,
+               CASE WHEN x.b IS NULL THEN 'order_unit' WHEN x.b <> y.b THEN 'line_list'
+                    WHEN x.in_ref AND y.in_ref THEN 'part_ref' ELSE 'line' END AS lca_type
+        FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.id < y.id),
+  g AS (SELECT doc_id, lca_id, lca_type, type_a, type_b, count(*) AS n_pairs, min({'x': x, 'y': y, 't': t}) AS f FROM p GROUP BY ALL)
+  SELECT doc_id, lca_id, lca_type, type_a, type_b, n_pairs, CASE WHEN f.t = type_a THEN f.x ELSE f.y END AS leaf_a,
+         CASE WHEN f.t = type_a THEN f.y ELSE f.x END AS leaf_b FROM g"""
+
 # Accepted corpus terminals with their document-order id (see NODE_IDS).
 CORPUS_DOC_ORDER = """
   WITH c AS (SELECT l_orderkey AS k, count(*) AS nl FROM lineitem GROUP BY l_orderkey),
@@ -371,6 +391,7 @@ ORACLES: dict[str, str] = {
       SELECT doc_id, all_ids AS path_ids, path_len, leaf_type, leaf_value, leaf_row FROM ({LEAVES}) lv""",
     "path_trie": PATH_TRIE,
     "subtree_fingerprints": SUBTREES,
+    "terminal_contexts": TERMINAL_CONTEXTS,
     "error_lines_unshared": ERROR_LINES,
     "sql_error_lines": ERROR_LINES,
     "sql_path_contexts": f"SELECT doc_id, branch FROM ({BRANCHES}) b",

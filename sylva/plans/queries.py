@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylva.functions.text import file_stem
-from sylva.operators import contexts, diff, growing, labels, meta, sampling, subtrees, trees
+from sylva.operators import clusters, contexts, diff, growing, labels, meta, sampling, subtrees, trees
+from sylva.operators.terminal_contexts import terminal_contexts
 from sylva.plans import diff_labels, extract_contexts, preprocess_corpus, subtree_start
 from sylva.session import new_table_path, write_table
 from sylva.sinks import write_vocabulary_text
@@ -30,6 +31,8 @@ SPLIT = 75
 SEED = 42
 N_PAIRS = 100
 ADHOC_PROBLEM = "1-URGENT"
+N_CLUSTERS = 20   # of the vector table
+TOP_CLUSTERS = 10  # of the cluster report
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -325,6 +328,21 @@ def q_signature_groups(spark, d):
     return diff.signature_groups(trees.encoded_paths(_nodes(spark, d), only=["fork_ids"]))
 
 
+def q_terminal_contexts(spark, d):
+    # all pairs of terminals, counted by their lowest common ancestor and types
+    return terminal_contexts(_nodes(spark, d))
+
+
+# --- vectors --------------------------------------------------------------------------------
+
+def q_vector_clusters(spark, d):
+    return clusters.vector_clusters(_t(spark, d, "embeddings"), N_CLUSTERS, SEED).members
+
+
+def q_top_clusters(spark, d):
+    return clusters.top_clusters(clusters.vector_clusters(_t(spark, d, "embeddings"), N_CLUSTERS, SEED), TOP_CLUSTERS)
+
+
 # --- diff and labels ------------------------------------------------------------------------
 
 def q_error_lines(spark, d):

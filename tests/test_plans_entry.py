@@ -23,7 +23,7 @@ def test_every_query_has_oracle_or_is_rows_only():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = {n for n in q if n in Q}
-    assert own - set(o) == {"html_nodes", "html_branches", "html_terminal_values"}
+    assert own - set(o) == {"html_nodes", "html_branches", "html_terminal_values", "vector_clusters", "top_clusters"}
 
 
 def test_entry_smoke(spark):
