@@ -10,8 +10,9 @@ scores, no best path has another tag, so the chain falls into short independent
 
 There are no secret labels, so the field is trained on spans of the base patterns: every document is searched for them,
 and of all documents that hold one, ``FIT_HITS`` give at most ``FIT_HITS`` windows of tokens with a span. At most
-``FIT_CONTRAST`` windows without one come from ``FIT_DOCS`` of all documents. Both are picked by a seeded hash. The
-field finds spans of similar shape and surroundings that the patterns miss. Spans that overlap a base span are not added.
+``FIT_CONTRAST`` windows without one come from ``FIT_DOCS`` of all documents. Both are picked by a seeded hash. Half of the
+windows (``BLIND``) are learned without their key words and prefixes. The field finds spans of similar shape and
+surroundings that the patterns miss. Spans that overlap a base span are not added.
 
 Defined results: a null text is an empty one; no spans give the digest of the empty string and empty spans; repeated
 rows are scanned again; an empty table, or one without any base span, gets no further spans; a very long text is
@@ -47,7 +48,9 @@ WINDOW = 24
 CACHED_WORDS = 400_000
 BATCH_BYTES = 4 << 20
 OFFSETS = (-3, -2, -1, 0, 1)
+BLIND = 0.5  # share of the training windows whose key words and known prefixes are hidden
 N_SHAPES, N_FILE = 26, 4
+VARIED = 10  # different characters that make a long token varied, whatever its length
 O, B, I = 0, 1, 2  # noqa: E741
 _TOKEN = re.compile(r"[\w+/.\-]+|[^\w\s]")
 _KEYWORDS = re.compile(r"pass|secret|token|key|auth|cred|pwd|private", re.IGNORECASE)
@@ -82,7 +85,7 @@ def shape(token: str) -> int:
         letters = sum(c.isalpha() for c in token)
         on.append(10 if digits == n else 11 if digits and letters else 12)
         on += [13] * bool(digits and _HEX.fullmatch(token)) + [14] * bool(digits and token.isupper())
-        on += [15] * (digits + letters < n) + [16] * (digits >= 4) + [17] * (n >= 12 and len(set(token)) >= 0.4 * n)
+        on += [15] * (digits + letters < n) + [16] * (digits >= 4) + [17] * (n >= 12 and len(set(token)) >= min(0.4 * n, VARIED))
     on.append(18 if n < 6 else 19 if n < 12 else 20 if n < 18 else 21 if n < 32 else 22)
     on += [23] * bool(_KEYWORDS.search(token)) + [24] * token.startswith(_PREFIXES)
     on += [25] * (n >= 6 and token.isascii())
@@ -104,7 +107,7 @@ def in_context(profiles: np.ndarray) -> np.ndarray:
     return np.stack([padded[4 + o:4 + o + len(profiles)] for o in OFFSETS], axis=1)
 
 
-_MIXED = 1 << 11
+_MIXED, _NAMED = 1 << 11, 1 << 23 | 1 << 24
 
 
 def windows(text: str) -> list[dict]:
@@ -174,14 +177,20 @@ class Field:
         return tags
 
 
-def train(rows: list, steps: int = 150, rate: float = 0.1, ridge: float = 0.02) -> Field:
-    """Maximum likelihood with a Gaussian prior, by full-batch gradient steps (Adam) with forward-backward sums."""
+def train(rows: list, steps: int = 150, rate: float = 0.1, ridge: float = 0.02, blind: float = BLIND) -> Field:
+    """Maximum likelihood with a Gaussian prior, by full-batch gradient steps (Adam) with forward-backward sums.
+
+    In a seeded share ``blind`` of the windows no token counts as a key word or shows a known prefix, so that
+    the field also learns what secrets look like without them.
+    """
     n, length = len(rows), WINDOW
     x = np.zeros((n, length, len(OFFSETS) * N_SHAPES + N_FILE), np.float32)
     tags, lengths = np.zeros((n, length), int), np.array([len(r["tags"]) for r in rows])
+    hidden = np.random.default_rng(0).random(n) < blind
     for i, r in enumerate(rows):
         k = len(r["tags"])
-        x[i, :k, :-N_FILE] = bits(np.array(r["context"]).reshape(k, len(OFFSETS))).reshape(k, -1)
+        context = np.array(r["context"]) & (~_NAMED if hidden[i] else -1)
+        x[i, :k, :-N_FILE] = bits(context.reshape(k, len(OFFSETS))).reshape(k, -1)
         x[i, :k, -N_FILE:] = r["file"]
         tags[i, :k] = r["tags"]
     inside = np.arange(length)[None, :] < lengths[:, None]

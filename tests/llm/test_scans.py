@@ -1,9 +1,12 @@
 import hashlib
 import itertools
+import random
 import re
+import string
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from sylva.llm import licenses, secret_scan
 from sylva.llm.words import Capped
@@ -172,3 +175,62 @@ def test_field_learns_from_rare_secrets_whatever_the_size_of_the_table(spark, mo
     assert [tuple(r) for r in got] == [tuple(r) for r in again]
     few = secret_scan.training_windows(docs, hits=1, contrast=5, sample=10)
     assert sum(max(r.tags) > 0 for r in few) == 1
+
+
+def prose_with_secrets(kinds, each, seed):
+    """(kind, text) of prose with one secret of the kind, or none."""
+    rnd = random.Random(seed)
+    plain = ("alpha beta gamma delta report meeting version 2024 item-7 value x1 builds config server name (see page 12) "
+             "done, next: the of and in").split()
+
+    def some(chars, n):
+        return "".join(rnd.choice(chars) for _ in range(n))
+
+    def secret(kind):
+        letters = string.ascii_letters + string.digits
+        if kind == "assign":
+            return rnd.choice(['password = "%s"', "token: %s", "api_key=%s", "secret: '%s'"]) % some(letters, rnd.randint(16, 40))
+        if kind == "access":
+            return "AKIA" + some(string.ascii_uppercase + string.digits, 16)
+        return some("0123456789abcdef", rnd.choice([32, 40, 64])) if kind == "hex" else some(letters, rnd.randint(24, 40))
+
+    out = []
+    for kind in kinds:
+        for _ in range(each):
+            w = [rnd.choice(plain) for _ in range(60)]
+            if kind:
+                w.insert(rnd.randint(5, 55), secret(kind))
+            out.append((kind, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("hidden", ["assign", "access", "hex"])
+def test_a_kind_hidden_from_training_is_found(monkeypatch, hidden):
+    """Documents with the hidden kind are not trained on, and its pattern is off in the scan: only the field can find it."""
+    kinds = ["assign", "access", "hex", None]
+    trained = [t for k, t in prose_with_secrets(kinds, 120, 1) if k != hidden]
+    field = secret_scan.train([w for t in trained for w in secret_scan.windows(t)])
+    real = secret_scan.base_spans
+    monkeypatch.setattr(secret_scan, "base_spans", lambda t: [s for s in real(t) if s[0] != hidden])
+    found = wrong = total = 0
+    for kind, text in prose_with_secrets(kinds, 100, 2):
+        _, every = secret_scan.scan(text, field, np.frombuffer(secret_scan.token_rows(text, field), np.int64))
+        want = [s for s in real(text) if s[0] == hidden]
+        more = [s for s in every if s[0] == "crf"]
+        total += len(want)
+        found += sum(any(m[1] < w[2] and w[3] < m[2] for m in more) for w in want)
+        wrong += sum(not any(m[1] < w[2] and w[1] < m[2] for w in want) for m in more)
+    assert total >= 100 and found >= 0.8 * total, (found, total)
+    assert wrong <= 4, wrong  # of 400 documents
+
+
+def test_the_scan_adds_secrets_that_no_pattern_knows(spark):
+    rows = prose_with_secrets(["assign", "access", "hex", None], 60, 3)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    field = secret_scan.fit_field(docs)
+    own = prose_with_secrets(["bare", None], 60, 4)
+    own = [(i, k, t) for i, (k, t) in enumerate(own) if not secret_scan.base_spans(t)]
+    seen = secret_scan.scan_secrets(spark.createDataFrame([(i, t) for i, _, t in own], "doc_id long, text string"), field)
+    n_crf = {r.doc_id: r.n_crf for r in seen.collect()}
+    bare, plain = [n_crf[i] for i, k, _ in own if k], [n_crf[i] for i, k, _ in own if not k]
+    assert sum(n > 0 for n in bare) >= 0.8 * len(bare) > 40 and sum(plain) <= 1
