@@ -24,6 +24,11 @@ Steps, all on Spark:
    exact sets verify them. Buckets of more than ``BLOCK`` points are dealt out as pairs of blocks.
 5. Components of all verified links.
 
+With ``exact=True`` step 2 leaves nothing to chance: a class sends its point to the buckets of its first
+``n - ceil(0.75 n) + 1`` shingles in one order that puts the most frequent shingles last, and two sets that link always share
+one of those. That is a quarter of all shingles instead of ``KEYS`` a class, so it costs much more for long texts.
+No bucket is held by one task: points are dealt by (shingle, piece of ``PIECE`` points) before they are sorted.
+
 Skipped pairs are only those that are already connected, so components are those of all links. Defined results:
 null and empty texts have the empty set and stay alone; a document with a null id takes part, but a
 component's id is its smallest non-null id; rows that repeat an id are separate documents.
@@ -37,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +59,7 @@ CROWD = 200  # points in a bucket from which its shingle is passed over, at leas
 MOST_CROWDED = 1 << 20  # bound on the number of such shingles, which are sent to every task (8 MB)
 MOSTLY = 0.4  # share of crowded shingles in a sample from which crowded buckets are used too
 BLOCK = 8192
+PIECE = 1024  # points of a bucket that are sorted and compared by size together
 BATCH_BYTES = 4 << 20
 LEAF = 32
 FAN = 16
@@ -251,6 +257,39 @@ def crowded_tokens(classes: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.token for r in held], np.int64))
 
 
+def _all_shingles(texts: DataFrame, crowded: np.ndarray | None) -> DataFrame:
+    """(token, cid): all shingles of every class, or with ``crowded`` those that the exact way uses as buckets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, unpack = Capped(word_hash), zstandard.ZstdDecompressor()
+        for b in doc_slices(batches):
+            for cid, packed in zip(b.column("cid").to_pylist(), b.column("packed").to_pylist(), strict=True):
+                own = text_set(unpack.decompress(packed), cache).view(np.int64)
+                if crowded is not None:
+                    hot = np.isin(own, crowded)
+                    own = np.concatenate([own[~hot], own[hot]])[:len(own) - needed_of(len(own)) + 1]
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(np.full(len(own), cid))], ["token", "cid"])
+
+    return texts.mapInArrow(run, "token long, cid long")
+
+
+def needed_of(n: int) -> int:
+    """Smallest overlap at which a set of ``n`` links with any other."""
+    return -(-PERCENT * n // 100)
+
+
+def exact_keys(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(token, cid): buckets in which any two classes that link meet.
+
+    Shingles held by more than a limit of classes come last in the common order; the limit rises with the number of
+    shingles so that there are at most ``MOST_CROWDED`` of them.
+    """
+    total = classes.agg(F.sum("n").alias("n")).first().n or 0
+    limit = max(CROWD, -(-total // MOST_CROWDED))
+    held = _all_shingles(texts, None).groupBy("token").count().where(F.col("count") > limit).select("token").collect()
+    return _all_shingles(texts, np.sort(np.array([r.token for r in held], np.int64)))
+
+
 def bucket_keys(classes: DataFrame, crowded: np.ndarray) -> DataFrame:
     """(token, cid): the buckets of every class."""
 
@@ -320,12 +359,13 @@ def _pair_batches(pairs: Iterator[tuple[int, int]], rows: int = 20_000) -> Itera
 def near_links(members: DataFrame, each: int = EACH) -> DataFrame:
     """(a, b): for every point, the ``each`` most similar by bound that some bucket shows it, of other labels.
 
-    In a bucket, in order of size, a point looks at the ``LOOK`` points before it; a bucket passes on two.
+    In a piece of a bucket, in order of size, a point looks at the ``LOOK`` points before it; a bucket passes on two.
+    Only the buckets in a point's ``keys`` are looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, alike = [], [], []
-        for _, (cid, n, point, label) in _groups(batches, ["token"], ["cid", "n", "point", "label"], LOOK):
+        for _, (cid, n, point, label) in _groups(batches, ["token", "piece"], ["cid", "n", "point", "label"], LOOK):
             points = [Point(p) for p in point]
             for at in range(0, len(cid), LOOK):
                 seen = np.arange(max(0, at - LOOK), min(at + LOOK, len(cid)))
@@ -347,7 +387,8 @@ def near_links(members: DataFrame, each: int = EACH) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(alike, pa.float64())],
                                          ["a", "b", "alike"])
 
-    found = (members.repartition("token").sortWithinPartitions("token", "n", "cid")
+    found = (members.where(F.array_contains("keys", F.col("token")))
+             .repartition("token", "piece").sortWithinPartitions("token", "piece", "n", "cid")
              .mapInArrow(run, "a long, b long, alike double"))
     # a point has at most 2 * 2 * KEYS rows here
     best = F.slice(F.sort_array(F.collect_set(F.struct((-F.col("alike")).alias("order"), "a"))), 1, each)
@@ -357,9 +398,8 @@ def near_links(members: DataFrame, each: int = EACH) -> DataFrame:
 
 def tree_pairs(mixed: DataFrame) -> DataFrame:
     """(a, b) of different components that some bucket's R-tree cannot rule out; ``mixed`` has a label per point."""
-    count = F.count("*").over(Window.partitionBy("token"))
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-    dealt = (mixed.withColumn("blocks", F.ceil(count / BLOCK)).withColumn("own", own)
+    dealt = (mixed.withColumn("blocks", F.ceil(F.col("held") / BLOCK))
+             .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
              .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
              .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other")))
 
@@ -436,32 +476,46 @@ def _mixed(members: DataFrame, roots: DataFrame | None) -> DataFrame:
         return members.withColumn("label", F.col("cid"))
     of = roots.select(F.col("node").alias("cid"), "root")
     marked = members.join(of, "cid", "left").select(*members.columns, F.coalesce("root", "cid").alias("label"))
-    per_token = Window.partitionBy("token")
-    return (marked.withColumn("_low", F.min("label").over(per_token)).withColumn("_high", F.max("label").over(per_token))
-            .where("_low <> _high").drop("_low", "_high"))
+    several = (members.select("token", "cid", "held").join(of, "cid", "left").groupBy("token")
+               .agg(F.min(F.coalesce("root", "cid")).alias("low"), F.max(F.coalesce("root", "cid")).alias("high"),
+                    F.max("held").alias("held")).where("low <> high"))
+    pieces = several.select("token", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("held") / PIECE) - 1)).alias("piece"))
+    return marked.join(pieces, ["token", "piece"], "left_semi")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, cid (class of equal sets) and root (of its component)."""
+def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
+    """One row a document: doc_id, n_shingles, component_id, cid (class of equal sets) and root (of its component).
+
+    ``exact``: no link can be missed, at a higher cost (see the module text).
+    """
     spark = docs.sparkSession
     every = save(document_points(docs), "jaccard-points")
     classes = save(every.where("cid IS NOT NULL").groupBy("cid").agg(
         F.min("doc_id").alias("first_doc"), F.min(F.struct("doc_id", "text_key")).alias("of"), F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"),
         F.first("point").alias("point")), "jaccard-classes")
-    crowded = crowded_tokens(classes)
-    keys = bucket_keys(classes, crowded)
-    shared = keys.withColumn("_n", F.count("*").over(Window.partitionBy("token"))).where("_n > 1").drop("_n")
-    own = shared.groupBy("cid").agg(F.sort_array(F.collect_list("token")).alias("keys"))  # at most 2 * KEYS
-    members = save(shared.join(own, "cid").join(classes.select("cid", "n", "point"), "cid"), "jaccard-members")
-    texts = save(class_texts(docs, members.select("cid").distinct().join(classes.select("cid", "of"), "cid")),
-                 "jaccard-texts")
+    texts = None
+    if exact:
+        texts = save(class_texts(docs, classes), "jaccard-texts")
+        keys = save(exact_keys(classes, texts), "jaccard-keys")
+    else:
+        keys = save(bucket_keys(classes, crowded_tokens(classes)), "jaccard-keys")
+    shared = keys.join(keys.groupBy("token").agg(F.count("*").alias("held")).where("held > 1"), "token")
+    # at most 2 * KEYS, all of them unless exact
+    own = shared.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, 2 * KEYS).alias("keys"))
+    piece = F.pmod(F.xxhash64("cid", F.lit("piece")), F.ceil(F.col("held") / PIECE))
+    members = save(shared.withColumn("piece", piece).join(own, "cid").join(classes.select("cid", "n", "point"), "cid"),
+                   "jaccard-members")
+    if texts is None:
+        texts = save(class_texts(docs, members.select("cid").distinct().join(classes.select("cid", "of"), "cid")),
+                     "jaccard-texts")
 
     links = label = None
     for _ in range(ROUNDS):
         found = save(verified(near_links(_mixed(members, label)), texts).select("a", "b"), "jaccard-links")
         links = found if links is None else save(links.unionByName(found), "jaccard-links")
         label = components(links)
-    pairs = save(tree_pairs(_mixed(members, label)), "jaccard-pairs")
+    pairs = tree_pairs(_mixed(members, label))
+    pairs = save(pairs.distinct() if exact else pairs, "jaccard-pairs")
     links = save(links.unionByName(verified(pairs, texts).select("a", "b")), "jaccard-links")
     roots = save(components(links), "jaccard-roots")
     placed = (classes.select("cid", "first_doc").join(roots.withColumnRenamed("node", "cid"), "cid", "left")

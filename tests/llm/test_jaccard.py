@@ -35,9 +35,13 @@ def brute(rows):
     return sorted((str(r[0]), len(sets[i]), str(least.get(find(i)))) for i, r in enumerate(rows))
 
 
+def found(spark, rows, exact=False):
+    got = J.jaccard_components(odd_docs.table(spark, rows), exact=exact).collect()
+    return sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got)
+
+
 def check(spark, rows):
-    got = J.jaccard_components(odd_docs.table(spark, rows)).collect()
-    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows)
+    assert found(spark, rows) == brute(rows)
 
 
 def test_components_equal_brute_force_on_odd_documents(spark):
@@ -65,6 +69,43 @@ def test_components_equal_brute_force_on_near_copies_around_the_limit(spark, mon
     check(spark, near_copies(150, length, length, edits))
 
 
+def pairs_near_the_limit(n, seed):
+    """Texts of 65 to 500 shingles in pairs whose similarity is just above or just below the limit, and a shared passage."""
+    rnd = random.Random(seed)
+    passage = [f"p{i}" for i in range(12)]
+    out = []
+    for i in range(n):
+        words = [f"d{i}w{rnd.randint(0, 10**6)}" for _ in range(rnd.randint(69, 504) - len(passage))] + passage
+        united = len(words) - 4
+        for edits in (0, rnd.choice([0.9, 1.4])):
+            w = list(words)
+            if edits:  # every edit far from the others removes and adds five shingles
+                for at in range(int(edits * 0.25 / 1.75 * united * 2 / 10)):
+                    w[5 + 7 * at % (len(w) - 20)] = f"e{i}x{at}"
+            out.append((2 * i + bool(edits), " ".join(w), "en", "s", None, 1, 0, 0, 0, 0, 0.0))
+    return out
+
+
+def test_the_exact_way_misses_nothing_whatever_the_number_of_keys(spark, monkeypatch):
+    monkeypatch.setattr(J, "KEYS", 1)
+    monkeypatch.setattr(J, "CROWD", 5)
+    rows = pairs_near_the_limit(60, 3)
+    want = brute(rows)
+    linked = len(rows) - len({r[2] for r in want})
+    assert 15 < linked < 55
+    assert found(spark, rows, exact=True) == want
+    assert found(spark, rows) != want  # one key a class is too few without it
+
+
+def test_the_exact_way_on_odd_documents_and_in_small_pieces(spark, monkeypatch):
+    monkeypatch.setattr(J, "PIECE", 5)
+    monkeypatch.setattr(J, "BLOCK", 7)
+    assert found(spark, odd_docs.rows(), exact=True) == brute(odd_docs.rows())
+    rows = near_copies(90, 2, 70, 6)
+    assert found(spark, rows, exact=True) == found(spark, rows) == brute(rows)
+    assert J.jaccard_components(odd_docs.empty(spark), exact=True).count() == 0
+
+
 def test_points_bound_overlaps_from_above():
     rnd = np.random.default_rng(3)
     for _ in range(200):
