@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylva.llm.common import save
+from sylva.llm.common import discard, save
 
 MOST_ROUNDS = 60
 
@@ -32,7 +32,8 @@ def components(edges: DataFrame) -> DataFrame:
         small = (large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(low.select("a", F.col("m").alias("b")))
                  .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-        e = save(small, "edges")
+        old, e = e, save(small, "edges")
+        discard(old)
         now = _state(e)
         if now == before:
             roots = e.select("b").distinct()

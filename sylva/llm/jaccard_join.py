@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylva.llm.common import doc_slices, per_worker, read_table, save, sized_slices
+from sylva.llm.common import discard, doc_slices, per_worker, read_table, save, sized_slices
 from sylva.llm.components import components
 from sylva.llm.words import Capped, batch_words, shingle_set, word_hash, word_hashes
 
@@ -505,6 +505,7 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
     piece = F.pmod(F.xxhash64("cid", F.lit("piece")), F.ceil(F.col("held") / PIECE))
     members = save(shared.withColumn("piece", piece).join(own, "cid").join(classes.select("cid", "n", "point"), "cid"),
                    "jaccard-members")
+    discard(keys)
     if texts is None:
         texts = save(class_texts(docs, members.select("cid").distinct().join(classes.select("cid", "of"), "cid")),
                      "jaccard-texts")
@@ -516,7 +517,10 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
         label = components(links)
     pairs = tree_pairs(_mixed(members, label))
     pairs = save(pairs.distinct() if exact else pairs, "jaccard-pairs")
+    discard(members)
     links = save(links.unionByName(verified(pairs, texts).select("a", "b")), "jaccard-links")
+    discard(pairs)
+    discard(texts)
     roots = save(components(links), "jaccard-roots")
     placed = (classes.select("cid", "first_doc").join(roots.withColumnRenamed("node", "cid"), "cid", "left")
               .withColumn("root", F.coalesce("root", "cid")))
