@@ -46,8 +46,10 @@ from sylva.session import ensure_checkpoint_dir
 END_ID = 0
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 256
-BATCH_BYTES = 10 << 20
-CACHED_WORDS = 500_000
+# Bytes of text that a task encodes at once, and entries of a cache: an executor holds both once a core.
+BATCH_BYTES = 5 << 20
+CACHED_WORDS = 300_000
+CACHED_PIECES = 75_000
 FILE_OPTIONS = {"compression": "zstd", "parquet.enable.dictionary": "true",
                 "parquet.block.size": str(ROW_GROUP_BYTES), "parquet.page.row.count.limit": str(PAGE_ROWS)}
 SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
@@ -92,8 +94,8 @@ class Encoder:
         self.letters = _byte_letters()
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.model = self.tokenizer.model
-        self.piece = Capped(self._piece)
-        self.chunk = Capped(self._chunk)
+        self.piece = Capped(self._piece, CACHED_PIECES)
+        self.chunk = Capped(self._chunk, CACHED_PIECES)
         self.word = Capped(self._word, CACHED_WORDS)
 
     def whole(self, text: str) -> bytes:

@@ -50,3 +50,14 @@ def test_selective_reads_and_empty_table(spark):
     assert "EqualTo(doc_id,5)" in plan and "ids" not in plan.split("ReadSchema:")[1].split("\n")[0]
     tokens.write_tokens(odd_docs.empty(spark), path + "2")
     assert tokens.token_digest(tokens.read_tokens(spark, path + "2")).count() == 0
+
+
+def test_small_caches_and_batches_give_the_same_ids(spark, monkeypatch):
+    for name, most in (("CACHED_WORDS", 2), ("CACHED_PIECES", 3), ("BATCH_BYTES", 40)):
+        monkeypatch.setattr(tokens, name, most)
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    texts = [f"a{i} bé{i % 7}, <|endoftext|> x\ty{i}" if i % 3 else f"plain words {i}" for i in range(60)]
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    assert encoder.encode_batch(pa.array(texts), 0).to_pylist() == [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    for cache, most in ((encoder.word, 2), (encoder.piece, 3), (encoder.chunk, 3)):
+        assert cache.most == most and len(cache) + len(cache.older) <= 2 * most
