@@ -1,7 +1,10 @@
 """Tables dealt by document: what reads them by document moves no row again."""
 
+import pytest
+
+from sylva import session
 from sylva.operators import subtrees, trees
-from sylva.session import deal_table
+from sylva.session import bucket_count, by_document, deal_table
 from sylva.sources import fixtures as fx
 from tests.test_trees import _bushy
 
@@ -36,3 +39,34 @@ def test_numbers_of_equal_subtrees_are_not_broadcast_with_salts(spark, monkeypat
         got = subtrees.equal_subtrees(nodes)
         assert "SortMergeJoin" in _plan(got) and "explode" not in _plan(got)
         assert sorted(map(tuple, got.collect())) == want
+
+
+@pytest.mark.parametrize("hashed", [0, 1_000_000])
+def test_a_short_walk_moves_no_row_after_its_first_write(spark, monkeypatch, hashed):
+    nodes, plans, real = _bushy(spark, 6), [], trees.deal_table
+    want = sorted(map(tuple, trees.encode_leaf_paths(trees.root_paths(nodes)).select("doc_id", "leaf_ord", "path_ids").collect()))
+
+    def deal(df, tag, buckets=None, apart=None):
+        with by_document(spark):
+            plans.append(_plan(df))
+        return real(df, tag, buckets=buckets, apart=apart)
+
+    monkeypatch.setattr(trees, "deal_table", deal)
+    monkeypatch.setattr(trees, "HASHED_NODES", hashed)
+    monkeypatch.setattr(trees, "JUMPS", 6)
+    got = trees.encoded_paths(nodes, only=["path_ids"]).select("doc_id", "leaf_ord", "path_ids")
+    assert sorted(map(tuple, got.collect())) == want
+    assert len(plans) == 3 and not any("Exchange hashpartitioning" in p for p in plans[1:])
+    assert all(("ShuffledHashJoin" in p) == bool(hashed) for p in plans[1:])
+
+
+def test_more_input_makes_more_buckets(spark, monkeypatch, tmpdir_fresh):
+    _bushy(spark, 6).write.parquet(f"{tmpdir_fresh}/nodes")
+    nodes, n = spark.read.parquet(f"{tmpdir_fresh}/nodes"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert bucket_count(nodes) == n == bucket_count(_bushy(spark, 6))
+    monkeypatch.setattr(session, "INPUT_PER_BUCKET", 50)
+    more = bucket_count(nodes)
+    assert more > n and bucket_count(deal_table(nodes, buckets=more)) == more
+    want, got = ([sorted(map(tuple, trees.encoded_paths(df, only=["path_ids"]).select("doc_id", "leaf_ord", "path_ids").collect()))
+                  for df in (_bushy(spark, 6), nodes)])
+    assert got == want
