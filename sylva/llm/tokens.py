@@ -7,7 +7,8 @@ of the vocabulary), row groups and pages are kept small, and Parquet's page inde
 reader fetch the pages of a few documents, or the counts without any ids.
 
 Encoding is the library's own, run once per distinct piece of text: a byte-level BPE never joins across the
-borders that its pre-tokenizer sets, and there is always a border before white space that follows a word. Texts
+borders that its pre-tokenizer sets, and there is always a border before white space that follows a word. The
+library's model gets many new pieces in one call, with a byte between them that it has no merge for. Texts
 with unusual white space or with the string of a special token, and tokenizers of any other kind, are
 encoded whole by the library.
 
@@ -21,7 +22,8 @@ import json
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ PAGE_ROWS = 256
 BATCH_BYTES = 5 << 20
 CACHED_WORDS = 300_000
 CACHED_PIECES = 75_000
+# Pieces that one call of the model gets.
+PIECES_AT_ONCE = 400
 FILE_OPTIONS = {"compression": "zstd", "parquet.enable.dictionary": "true",
                 "parquet.block.size": str(ROW_GROUP_BYTES), "parquet.page.row.count.limit": str(PAGE_ROWS)}
 SCHEMA = "doc_id long, part int, seq long, n_tokens int, ids array<int>"
@@ -61,6 +65,8 @@ _TAIL = ".,;:!?*%$&#|)]}\"'"
 _ODD = re.compile(r"[^\S \n\t\r]")
 _CHUNK = re.compile(r" ?[^ \n\t\r]+|[ \n\t\r]+(?![^ \n\t\r])|[ \n\t\r]")
 _LATIN_END = "ɐ"  # below it, character classes do not depend on the Unicode version
+_LETTERS = "".join(c for c in map(chr, range(ord(_LATIN_END))) if regex.match(r"\p{L}", c))
+_NEVER_IN_TEXT = (0xFF, 0xFE, 0xFD, 0xFC, 0xFB, 0xFA, 0xF9, 0xF8, 0xC1, 0xC0)  # bytes that UTF-8 does not use
 
 
 def default_tokenizer() -> str:
@@ -76,6 +82,38 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _gather(ids: np.ndarray, length: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches ``codes`` of ``ids``, which has stretches of these lengths, and the end of each in the result."""
+    place = np.cumsum(length, dtype=np.int32) - length
+    n = length[codes]
+    upto = np.cumsum(n, dtype=np.int32)
+    return ids[np.repeat(place[codes] - (upto - n), n) + np.arange(n.sum(), dtype=np.int32)], upto
+
+
+class Together(Capped):
+    """A :class:`Capped` that can compute many missing values in one go."""
+
+    def many(self, keys: list[str], make: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Values of distinct keys."""
+        values = list(map(self.get, keys))
+        absent = [i for i, v in enumerate(values) if v is None]
+        keys = [keys[i] for i in absent]
+        older = list(map(self.older.get, keys))
+        made = iter(make([k for k, v in zip(keys, older, strict=True) if v is None]))
+        found = [next(made) if v is None else v for v in older]
+        for i, v in zip(absent, found, strict=True):
+            values[i] = v
+        at = 0
+        while at < len(keys):
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            to = at + self.most - len(self)
+            self.update(zip(keys[at:to], found[at:to], strict=True))
+            at = to
+        return values
+
+
 class Encoder:
     """Text to little-endian 32-bit ids, equal to ``Tokenizer.encode(text, add_special_tokens=False)``."""
 
@@ -96,7 +134,19 @@ class Encoder:
         self.model = self.tokenizer.model
         self.piece = Capped(self._piece, CACHED_PIECES)
         self.chunk = Capped(self._chunk, CACHED_PIECES)
-        self.word = Capped(self._word, CACHED_WORDS)
+        self.word = Together(self._chunk, CACHED_WORDS)  # by the word with the space or line end before it
+        self.border = self._border(spec) if self.by_piece else None
+        if self.border:  # UTF-8 to letters, one 16-bit character a byte, and NUL to the border
+            self.alphabet = np.array([ord(self.border), *(ord(self.letters[b]) for b in range(1, 256))], "<u2")
+            self.border_id = self.model.token_to_id(self.border)
+
+    def _border(self, spec: dict) -> str | None:
+        """A letter that is in no text and that the model never merges, so that it parts the pieces of one call."""
+        if spec["model"].get("continuing_subword_prefix") or spec["model"].get("end_of_word_suffix"):
+            return None
+        merged = set().union(*map("".join, spec["model"]["merges"]))
+        free = (self.letters[b] for b in _NEVER_IN_TEXT)
+        return next((c for c in free if c not in merged and self.model.token_to_id(c) is not None), None)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -105,6 +155,19 @@ class Encoder:
         letters = piece.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """:meth:`_piece` of many pieces without a NUL."""
+        if not self.border:
+            return list(map(self._piece, pieces))
+        out = []
+        for at in range(0, len(pieces), PIECES_AT_ONCE):
+            text = np.frombuffer("\0".join([*pieces[at:at + PIECES_AT_ONCE], ""]).encode(), np.uint8)
+            tokens = self.model.tokenize(self.alphabet[text].tobytes().decode("utf-16-le"))
+            ids = np.fromiter(map(attrgetter("id"), tokens), "<u4", len(tokens))
+            ends, data = np.nonzero(ids == self.border_id)[0] * 4, ids.tobytes()
+            out += [data[i:j] for i, j in zip([0, *(ends[:-1] + 4).tolist()], ends.tolist(), strict=True)]
+        return out
+
     def _chunk(self, text: str) -> bytes:
         if not text:
             return b""
@@ -116,16 +179,41 @@ class Encoder:
             return self._piece(word) + (self.piece[tail] if tail else b"")
         return b"".join(map(self.piece.__getitem__, self.split(text)))
 
-    def _word(self, word: str) -> bytes:
-        if word[:1] == "\n":
-            return self._chunk(word)
-        return self._chunk(word[1:] if word[:1] == _FIRST else " " + word)
-
     def encode(self, text: str) -> bytes:
         if not self.by_piece or any(s in text for s in self.specials) or _ODD.search(text):
             return self.whole(text)
         return b"".join(map(self.chunk.__getitem__, _CHUNK.findall(text)))
 
+    def _word_ids(self, words: pa.LargeStringArray, whole: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and how many each has.
+
+        A plain word is Latin letters with signs behind, two pieces; equal letters are looked up once.
+        """
+        line = pc.starts_with(words, "\n")
+        head = pc.utf8_rtrim(pc.utf8_ltrim(words, _FIRST + "\n"), _TAIL)
+        plain = pc.match_substring_regex(head, f"^[{_LETTERS}]+$")
+        spaced = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), head, pa.scalar(" ", pa.large_string()))
+        head = pc.if_else(pc.or_(line, pc.starts_with(words, _FIRST)), head, spaced).filter(plain).dictionary_encode()
+        tail = pc.utf8_ltrim(words.filter(plain), _LETTERS + _FIRST + "\n").dictionary_encode()
+        known = [b"", self.piece["\n"], *(self.piece[t] if t else b"" for t in tail.dictionary.to_pylist())]
+        heads = len(known)
+        known += self.word.many(head.dictionary.to_numpy(zero_copy_only=False).tolist(), self._pieces)
+        others = len(known)
+        for w in words.filter(pc.invert(plain)).to_pylist():
+            if w[:2] == _FIRST * 2:
+                known.append(whole[w])
+            else:
+                known.append(self.word[w if w[:1] == "\n" else w[1:] if w[:1] == _FIRST else " " + w])
+        plain = plain.to_numpy(zero_copy_only=False)
+        parts = np.zeros((len(words), 3), np.int32)
+        parts[:, 0] = plain & line.to_numpy(zero_copy_only=False)
+        parts[plain, 1] = heads + head.indices.to_numpy()
+        parts[plain, 2] = 2 + tail.indices.to_numpy()
+        parts[~plain, 1] = np.arange(others, len(known))
+        length = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        ids, _ = _gather(np.frombuffer(b"".join(known), "<i4"), length, parts.ravel())
+        return ids, length[parts].sum(axis=1, dtype=np.int32)
+
     def encode_batch(self, texts: pa.Array, end_id: int) -> pa.ListArray:
         """Ids of each text, then the end id. Words are looked up once per distinct word of the batch."""
         texts = texts.cast(pa.large_string()).fill_null("")
@@ -145,15 +233,10 @@ class Encoder:
             pa.scalar(_FIRST, pa.large_string()), pc.replace_substring(texts, "\n", " \n"), pa.scalar("", pa.large_string()))
         lists = pc.split_pattern(spaced, " ")
         coded = lists.flatten().dictionary_encode()
-        known = [whole[w] if w[:2] == _FIRST * 2 else self.word[w] for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
-        known.append(array("I", [end_id]).tobytes())
-        length = np.fromiter(map(len, known), np.int32, len(known)) // 4
-        place = np.cumsum(length, dtype=np.int32) - length
+        ids, length = self._word_ids(coded.dictionary, whole)
         ends = lists.offsets.to_numpy()[1:] - lists.offsets.to_numpy()[0]
-        codes = np.insert(coded.indices.to_numpy(), ends, len(known) - 1)
-        n = length[codes]
-        upto = np.cumsum(n, dtype=np.int32)
-        ids = np.frombuffer(b"".join(known), "<i4")[np.repeat(place[codes] - (upto - n), n) + np.arange(upto[-1], dtype=np.int32)]
+        codes = np.insert(coded.indices.to_numpy(), ends, len(length))
+        ids, upto = _gather(np.append(ids, np.array([end_id], "<u4").view("<i4")), np.append(length, np.int32(1)), codes)
         offsets = np.concatenate([[0], upto[ends + np.arange(len(ends))]]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 

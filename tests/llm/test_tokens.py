@@ -61,3 +61,59 @@ def test_small_caches_and_batches_give_the_same_ids(spark, monkeypatch):
     assert encoder.encode_batch(pa.array(texts), 0).to_pylist() == [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
     for cache, most in ((encoder.word, 2), (encoder.piece, 3), (encoder.chunk, 3)):
         assert cache.most == most and len(cache) + len(cache.older) <= 2 * most
+
+
+class _Counted:
+    """The library's model, with the number of its calls."""
+
+    def __init__(self, model):
+        self.model, self.calls = model, 0
+
+    def tokenize(self, text):
+        self.calls += 1
+        return self.model.tokenize(text)
+
+
+def test_new_words_share_calls_of_the_model():
+    rnd = random.Random(2)
+    letters = ["th", "on", "er", "ä", "ß", "é", "ñ", "ing", "Qu", "ª", "ɏ", "ÿ", "x"]
+    words = sorted({"".join(rnd.choice(letters) for _ in range(rnd.randint(1, 8))) for _ in range(4000)})
+    texts = [" ".join(words[i::7]) for i in range(7)] + [f"{w}," for w in words] + [f"a {w}.\n{w} {w}***" for w in words]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    encoder.model = _Counted(encoder.model)
+    got = encoder.encode_batch(pa.array(texts), 0).to_pylist()
+    assert encoder.model.calls < len(words) / 20
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    assert got == [library.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    kept = len(encoder.word)
+    more = [f"b {w}), {w}'\n" for w in words]  # other signs behind known words
+    assert encoder.encode_batch(pa.array(more), 0).to_pylist() == [library.encode(t, add_special_tokens=False).ids + [0] for t in more]
+    assert len(encoder.word) <= kept + 2
+
+
+@pytest.mark.parametrize("border", [True, False])
+def test_words_of_many_kinds_equal_the_library(border):
+    encoder, library = tokens.Encoder(tokens.default_tokenizer()), Tokenizer.from_file(tokens.default_tokenizer())
+    assert encoder.border
+    if not border:  # a model that merges all letters gets its pieces one by one
+        encoder.border = None
+    rnd = random.Random(3)
+    parts = ["we", "'ll", "'", "it's", "12", "é", "日本", "Привет", "\0", "ÿ", "þ", "***", ".", ",", "ſ", "ɐ", "ʼ", " ", " ", " ", "\n"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(3000)]
+    texts += [None, "", "\n", "a\n", "\na", "a \n", ".", "\n.", "a.\n.b", "\0", "\0\0 a\0b"]
+    for batch in (texts, texts[::-1]):  # the second time from the caches
+        got = encoder.encode_batch(pa.array(batch), 5).to_pylist()
+        assert got == [library.encode(t or "", add_special_tokens=False).ids + [5] for t in batch]
+
+
+def test_values_made_together_stay_within_the_cache():
+    cache, made = tokens.Together(str.encode, 3), []
+
+    def make(keys):
+        made.append(keys)
+        return [k.encode() for k in keys]
+
+    assert cache.many(list("abcdefgh"), make) == [b"a", b"b", b"c", b"d", b"e", b"f", b"g", b"h"]
+    assert len(cache) <= 3 and len(cache.older) <= 3
+    assert cache.many(list("xhd"), make) == [b"x", b"h", b"d"] and made == [list("abcdefgh"), ["x"]]
+    assert len(cache) <= 3 and len(cache.older) <= 3
